@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-_MANTISSA_BITS = 11
-
 
 def with_dense_key(df: DataFrame, name: str) -> DataFrame:
     """Number the rows of a stored Parquet table 1..N, in no particular order.
@@ -50,43 +48,51 @@ def tile_summary(df: DataFrame, value: str, tiles: int) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_bucket", _magnitude_bucket(F.col(value), df.schema[value].dataType.scale))
     )
-    # One row per bucket: 63 bit lengths times 1024 steps, times two signs, at most.
+    # One row per bucket, at most 9000 for each number of digits and sign, with where the bucket
+    # starts in the whole order and how the whole splits into tiles.
     above = Window.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    buckets = histogram.groupBy("_bucket").agg(F.sum("_n").alias("_size"))
-    buckets = buckets.select(
-        "_bucket",
-        F.coalesce(F.sum("_size").over(above), F.lit(0)).alias("_above"),
-        F.sum("_size").over(Window.partitionBy()).alias("_total"),
-    )
-    inside = (
-        Window.partitionBy("_bucket").orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
+    total = F.sum("_size").over(Window.partitionBy())
+    buckets = (
+        histogram.groupBy("_bucket")
+        .agg(F.sum("_n").alias("_size"))
+        .select(
+            "_bucket",
+            F.coalesce(F.sum("_size").over(above), F.lit(0)).alias("_above"),
+            F.floor(total / tiles).cast("long").alias("_small"),
+            (total % tiles).alias("_larger"),
+        )
+        .withColumn("_cut", F.col("_larger") * (F.col("_small") + 1))
     )
-    placed = histogram.join(F.broadcast(buckets), "_bucket").withColumn(
+    inside = Window.partitionBy("_bucket").orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
+    # Every bucket has its totals, so left and inner join agree; the left join adds no filter
+    # below the histogram, whose shuffle both branches can then share.
+    placed = histogram.join(F.broadcast(buckets), "_bucket", "left").withColumn(
         "_first", F.col("_above") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
     )
-    quotient = F.floor(F.col("_total") / tiles)
-    remainder = F.col("_total") % tiles
+    small, larger, cut, first = (F.col(c) for c in ("_small", "_larger", "_cut", "_first"))
+    end = first + F.col("_n")
 
-    def tile_start(tile: Column) -> Column:
-        return tile * quotient + F.least(tile.cast("long"), remainder)
+    def tile_of(position: Column) -> Column:
+        return F.when(position < cut, F.floor(position / (small + 1))).otherwise(
+            larger + F.floor((position - cut) / small)
+        )
 
-    candidates = placed.withColumn("_tile", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))))
-    rows = F.least(F.col("_first") + F.col("_n"), tile_start(F.col("_tile") + 1)) - F.greatest(
-        F.col("_first"), tile_start(F.col("_tile"))
-    )
-    parts = candidates.withColumn("_rows", rows).filter("_rows > 0")
-    return parts.groupBy((F.col("_tile") + 1).alias("tile")).agg(
+    spans = placed.withColumn("_tile", F.explode(F.sequence(tile_of(first), tile_of(end - 1))))
+    tile = F.col("_tile")
+    tile_start = tile * small + F.least(tile, larger)
+    tile_end = (tile + 1) * small + F.least(tile + 1, larger)
+    parts = spans.withColumn("_rows", F.least(end, tile_end) - F.greatest(first, tile_start))
+    return parts.groupBy((tile + 1).alias("tile")).agg(
         F.sum("_rows").alias("n"),
         F.min(value).alias("min_value"),
         F.max(value).alias("max_value"),
-        F.sum(F.col(value) * F.col("_rows").cast("decimal(18,0)")).alias("total"),
+        F.sum(F.col(value) * F.col("_rows").cast("decimal(18,0)")).cast("decimal(22,2)").alias("total"),
     )
 
 
 def _magnitude_bucket(value: Column, scale: int) -> Column:
-    """Order-preserving bucket of a decimal: its bit length and its leading bits."""
+    """Order-preserving bucket of a decimal: how many digits it has and the leading four."""
     units = (value * F.lit(10**scale).cast("decimal(20,0)")).cast("long")
-    size = F.abs(units)
-    drop = F.greatest(F.length(F.bin(size)) - _MANTISSA_BITS, F.lit(0))
-    level = drop * (1 << _MANTISSA_BITS) + F.call_function("shiftright", size, drop)
-    return F.when(units < 0, -level).otherwise(level).cast("long")
+    digits = F.abs(units).cast("string")
+    level = F.length(digits) * 10000 + F.substring(F.rpad(digits, 4, "0"), 1, 4).cast("int")
+    return (F.signum(units) * level).cast("long")

@@ -25,9 +25,9 @@ def _mean(c: str, places: int = 2) -> Column:
     return ratio(F.sum(c), F.count(c), places)
 
 
-def _by_category(model) -> DataFrame:
+def _by_category(model, items: DataFrame | None = None) -> DataFrame:
     products = model.dim_product.select("product_key", F.col("category_name_english").alias("category"))
-    return model.fact_order_items.join(products, "product_key")
+    return (model.fact_order_items if items is None else items).join(products, "product_key")
 
 
 def _with_state(model, fact: DataFrame) -> DataFrame:
@@ -349,13 +349,13 @@ def filtered_category_revenue(model, first_day: int, last_day: int, state: str)
     The month bounds restate the date bounds on the partition column, so only the
     files of those months are opened.
     """
-    items = _by_category(model).filter(
+    items = model.fact_order_items.filter(
         F.col(MONTH_PARTITION).between(first_day // 100, last_day // 100)
         & F.col("purchase_date_key").between(first_day, last_day)
     )
+    of_state = _with_state(model, items).filter(F.col("state") == state)
     return (
-        _with_state(model, items)
-        .filter(F.col("state") == state)
+        _by_category(model, of_state)
         .groupBy("category")
         .agg(F.count_distinct("order_id").alias("orders"), F.sum("price").alias("merchandise_value"))
         .orderBy(F.desc("merchandise_value"), "category")

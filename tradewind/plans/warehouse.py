@@ -25,14 +25,18 @@ class Warehouse:
     Tables are attributes: ``warehouse.fact_orders``.
     """
 
-    def __init__(self, spark: SparkSession, raw: Raw, root: str):
+    def __init__(self, spark: SparkSession, raw: Raw, root: str, staging: Warehouse | None = None):
+        """``staging`` lends the staging tables of another warehouse instead of writing its own."""
         self.spark = spark
         self.raw = raw
         self.root = root.rstrip("/")
+        self._staging = staging
         self._tables: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
 
     def staged(self, entity: str) -> DataFrame:
+        if self._staging is not None:
+            return self._staging.staged(entity)
         return self._stored(f"stg_{entity}", lambda: stage(self.raw, entity))
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -48,18 +52,20 @@ class Warehouse:
         """The fact with its dense integer key, derived from file positions on read."""
         return with_dense_key(self.table(fact), star.FACT_KEYS[fact])
 
-    def rebuild(self) -> None:
-        """Write every table anew; what was there before is replaced."""
-        with self._lock:
-            self._tables.clear()
-            self.build()
-
     def build(self) -> None:
         for entity in PREPARE:
             self.staged(entity)
         for name in DIMENSIONS + FACTS:
             self.table(name)
 
+    def rebuild_model(self) -> None:
+        """Write dimensions and facts anew from staging; what was there before is replaced."""
+        with self._lock:
+            for name in DIMENSIONS + FACTS:
+                self._tables.pop(name, None)
+            for name in DIMENSIONS + FACTS:
+                self.table(name)
+
     def _build(self, name: str) -> DataFrame:
         if name == "dim_date":
             return star.build_dim_date(self.staged("orders"), self.staged("order_reviews")).coalesce(1)

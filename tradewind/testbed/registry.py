@@ -231,16 +231,13 @@ def _(wh):
     f"SELECT table_name, row_count AS first_build, row_count AS second_build FROM ({_MODEL_SQL})",
 )
 def _(wh):
-    other = Warehouse(wh.spark, wh.raw, work_dir(wh.spark))
-    other.build()
-    first = quality.row_counts({t: other.table(t) for t in DIMENSIONS + FACTS})
-    before = {r.table_name: r.row_count for r in first.collect()}  # one row per table
-    other.rebuild()
-    second = quality.row_counts({t: other.table(t) for t in DIMENSIONS + FACTS})
-    counts = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
-    return second.select(
-        "table_name", counts[F.col("table_name")].alias("first_build"), F.col("row_count").alias("second_build")
+    other = Warehouse(wh.spark, wh.raw, work_dir(wh.spark), staging=wh)
+    other.rebuild_model()
+    first, second = (
+        quality.row_counts({t: w.table(t) for t in DIMENSIONS + FACTS}).withColumnRenamed("row_count", name)
+        for w, name in ((wh, "first_build"), (other, "second_build"))
     )
+    return first.join(second, "table_name")
 
 
 # ---------------------------------------------------------------- profiling
