@@ -69,5 +69,5 @@ def ratio(numerator: Column, denominator: Column, places: int = 2, factor: int =
 
 
 def share(value: Column, places: int = 2) -> Column:
-    """Percentage of the total over all rows; only for results that are already aggregated."""
+    """Percentage of the total over all rows, which one task sees: for a bounded number of rows only."""
     return ratio(value, F.sum(value).over(Window.partitionBy()), places, 100)

@@ -73,8 +73,8 @@ def key_profile(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
 def distinct_count(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
     """Distinct values of each column, nulls not counted."""
     frames = [
-        df.groupBy(c)
-        .agg(F.lit(1).alias("one"))
+        df.select(c)
+        .distinct()
         .agg(F.count(c).alias("distinct_values"))
         .select(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), "distinct_values")
         for c in columns

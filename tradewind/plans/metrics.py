@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tradewind.functions import ratio, share
+from tradewind.functions import ratio
 from tradewind.plans.slicing import By, Where, slice_fact
 
 
@@ -121,9 +121,13 @@ def freight_pct(model, by: By = (), where: Where | None = None) -> DataFrame:
 
 
 def contribution_pct(model, by: By, where: Where | None = None) -> DataFrame:
-    """Share of each group in the merchandise value of all groups."""
+    """Share of each group in the merchandise value of all groups.
+
+    The total is a scalar subquery, so groups as many as sellers or products stay distributed.
+    """
     values = merchandise(model, by, where).drop("freight_value")
-    return values.withColumn("contribution_pct", share(F.col("merchandise_value")))
+    total = values.agg(F.sum("merchandise_value")).scalar()
+    return values.withColumn("contribution_pct", _pct(F.col("merchandise_value"), total))
 
 
 def delivery_rates(model, by: By = (), where: Where | None = None) -> DataFrame:

@@ -203,26 +203,33 @@ def delay_vs_score(model) -> DataFrame:
 
 
 def at_risk_categories(model) -> DataFrame:
-    revenue = _by_category(model).groupBy("category").agg(F.sum("price").alias("merchandise_value"))
-    # One row per category from here on.
-    revenue = revenue.withColumn("revenue_rank", F.rank().over(Window.orderBy(F.desc("merchandise_value"))))
-    everything = Window.partitionBy()
-    valuable = (
-        revenue.withColumn("_sum", F.sum("merchandise_value").over(everything))
-        .withColumn("_n", F.count("merchandise_value").over(everything))
-        .filter(F.col("merchandise_value") * F.col("_n").cast("decimal(12,0)") > F.col("_sum"))
-    )
-    # A review counts once for every category in its order.
-    order_category = _by_category(model).select("order_id", "category").distinct()
-    scores = (
-        order_category.join(model.fact_reviews.select("order_id", "review_score"), "order_id")
+    # One row per order and category: a review counts once for every category in its order, and
+    # the value comes along so that items are read and shuffled once.
+    order_category = _by_category(model).groupBy("order_id", "category").agg(F.sum("price").alias("_value"))
+    scores = model.fact_reviews.select("order_id", "review_score", F.lit(1).alias("_review"))
+    per_category = (
+        order_category.join(scores, "order_id", "left")
         .groupBy("category")
-        .agg(_n().alias("reviewed_orders"), F.sum("review_score").alias("_score"), F.count("review_score").alias("_scored"))
+        .agg(
+            F.sum("_value").alias("merchandise_value"),
+            F.count("_review").alias("reviewed_orders"),
+            F.sum("review_score").alias("_score"),
+            F.count("review_score").alias("_scored"),
+        )
     )
-    overall = model.fact_reviews.agg(F.avg("review_score").alias("score")).scalar()
+    # One row per category from here on: unpartitioned windows are fine.
+    everything = Window.partitionBy()
+    above_mean = F.col("merchandise_value") * F.col("_n").cast("decimal(12,0)") > F.col("_sum")
+    overall = model.fact_reviews.agg(F.avg("review_score")).scalar()
     return (
-        valuable.join(scores, "category")
-        .filter(F.col("_score") / F.col("_scored") < overall)
+        per_category.withColumns(
+            {
+                "revenue_rank": F.rank().over(Window.orderBy(F.desc("merchandise_value"))),
+                "_sum": F.sum("merchandise_value").over(everything),
+                "_n": F.count("merchandise_value").over(everything),
+            }
+        )
+        .filter(above_mean & (F.col("_score") / F.col("_scored") < overall))
         .select(
             "revenue_rank",
             "category",

@@ -15,6 +15,13 @@ from tradewind.operators.keys import with_dense_key
 # at the granularity that files are pruned by.
 MONTH_PARTITION = "purchase_month"
 
+# Surrogate key and natural key of the dimensions that have both.
+DIMENSION_KEYS = {
+    "dim_customer": ("customer_key", "customer_id"),
+    "dim_seller": ("seller_key", "seller_id"),
+    "dim_product": ("product_key", "product_id"),
+}
+
 FACT_KEYS = {
     "fact_orders": "order_key",
     "fact_order_items": "order_item_key",

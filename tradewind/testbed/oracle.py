@@ -63,27 +63,25 @@ CTES: dict[str, tuple[list[str], str]] = {
     ),
     "raw_order_payments": (
         [],
-        """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, 1 AS payment_sequential,
-          CASE WHEN o_orderkey % 5000 = 3 THEN 'not_defined' ELSE lower(substr(o_orderpriority, 3)) END AS payment_type,
-          CAST(o_orderkey % 13 AS INTEGER) AS payment_installments, CAST(o_totalprice AS DECIMAL(12,2)) AS payment_value
-        FROM orders
-        UNION ALL
-        SELECT CAST(o_orderkey AS VARCHAR), 2, 'voucher', 1, CAST(10 AS DECIMAL(12,2)) FROM orders WHERE o_orderkey % 3 = 0""",
+        """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(n AS INTEGER) AS payment_sequential,
+          CASE WHEN n = 2 THEN 'voucher' WHEN o_orderkey % 5000 = 3 THEN 'not_defined'
+            ELSE lower(substr(o_orderpriority, 3)) END AS payment_type,
+          CAST(CASE n WHEN 2 THEN 1 ELSE o_orderkey % 13 END AS INTEGER) AS payment_installments,
+          CAST(CASE n WHEN 2 THEN 10 ELSE o_totalprice END AS DECIMAL(12,2)) AS payment_value
+        FROM (SELECT *, unnest(range(1, CASE WHEN o_orderkey % 3 = 0 THEN 3 ELSE 2 END)) AS n FROM orders)""",
     ),
     "raw_order_reviews": (
         [],
-        """SELECT 'r' || o_orderkey AS review_id, CAST(o_orderkey AS VARCHAR) AS order_id,
-          CAST(1 + (o_orderkey * 31) % 97 % 5 AS INTEGER) AS review_score,
-          CASE WHEN o_orderkey % 2 = 1 THEN 'title ' || o_orderkey END AS review_comment_title,
-          CASE WHEN o_orderkey % 3 <> 0 THEN 'says "fine", order ' || o_orderkey || chr(10) || 'thanks' END AS review_comment_message,
-          o_orderdate + to_days(CAST(20 + o_orderkey % 11 AS INTEGER)) AS review_creation_date,
-          o_orderdate + to_days(CAST(22 + o_orderkey % 11 AS INTEGER)) AS review_answer_timestamp
-        FROM orders WHERE o_orderkey % 50 <> 3
-        UNION ALL
-        SELECT 'r' || o_orderkey || 'b', CAST(o_orderkey AS VARCHAR), 1, NULL, NULL,
-          o_orderdate + to_days(CAST(20 + o_orderkey % 11 + CASE WHEN o_orderkey % 200 = 1 THEN 0 ELSE 1 END AS INTEGER)),
-          o_orderdate + to_days(CAST(22 + o_orderkey % 11 + CASE WHEN o_orderkey % 200 = 1 THEN 0 ELSE 1 END AS INTEGER))
-        FROM orders WHERE o_orderkey % 20 = 1 AND o_orderkey % 50 <> 3""",
+        """SELECT 'r' || o_orderkey || CASE n WHEN 2 THEN 'b' ELSE '' END AS review_id, CAST(o_orderkey AS VARCHAR) AS order_id,
+          CAST(CASE n WHEN 2 THEN 1 ELSE 1 + (o_orderkey * 31) % 97 % 5 END AS INTEGER) AS review_score,
+          CASE WHEN n = 1 AND o_orderkey % 2 = 1 THEN 'title ' || o_orderkey END AS review_comment_title,
+          CASE WHEN n = 1 AND o_orderkey % 3 <> 0
+            THEN 'says "fine", order ' || o_orderkey || chr(10) || 'thanks' END AS review_comment_message,
+          o_orderdate + to_days(CAST(20 + o_orderkey % 11 + later AS INTEGER)) AS review_creation_date,
+          o_orderdate + to_days(CAST(22 + o_orderkey % 11 + later AS INTEGER)) AS review_answer_timestamp
+        FROM (SELECT *, CASE WHEN n = 2 AND o_orderkey % 200 <> 1 THEN 1 ELSE 0 END AS later FROM (
+          SELECT *, unnest(range(1, CASE WHEN o_orderkey % 50 = 3 THEN 1 WHEN o_orderkey % 20 = 1 THEN 3 ELSE 2 END)) AS n
+          FROM orders))""",
     ),
     "raw_customers": (
         [],
@@ -118,8 +116,8 @@ CTES: dict[str, tuple[list[str], str]] = {
         [],
         """SELECT CAST(c_custkey % 500 AS INTEGER) AS geolocation_zip_code_prefix, c_acctbal / 100 AS geolocation_lat,
           -c_acctbal / 200 AS geolocation_lng, lower(c_mktsegment) AS geolocation_city, lower(n_name) AS geolocation_state
-        FROM customer JOIN nation ON n_nationkey = c_nationkey, range(2) AS copies(i)
-        WHERE copies.i = 0 OR c_custkey % 7 = 0""",
+        FROM (SELECT *, unnest(range(CASE WHEN c_custkey % 7 = 0 THEN 2 ELSE 1 END)) AS copy FROM customer)
+        JOIN nation ON n_nationkey = c_nationkey""",
     ),
     "parsed_orders": (
         ["raw_orders"],

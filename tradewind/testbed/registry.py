@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions import date_key
-from tradewind.operators import cleaning, keys, profiling, quality, reconcile
+from tradewind.operators import cleaning, profiling, quality, reconcile
 from tradewind.operators.audit import decision_log
-from tradewind.plans import metrics, prepare, questions, reports, star
+from tradewind.plans import metrics, prepare, profile, questions, reports, star, validate
 from tradewind.plans.slicing import Between
 from tradewind.plans.warehouse import DIMENSIONS, FACTS, Warehouse
 from tradewind.session import work_dir
@@ -78,10 +78,6 @@ def money(expr: str, name: str) -> str:
     return MONEY.format(expr, name)
 
 
-def _in_name_order(wh: Warehouse) -> dict[str, DataFrame]:
-    return {e: wh.raw(e) for e in sorted(RAW_COLUMNS)}
-
-
 RAW_SQL = {e: f"raw_{e}" for e in RAW_COLUMNS} | {"product_category_name_translation": "raw_translation"}
 ALL_RAW = " ".join(RAW_SQL.values())
 ALL_STAGED = " ".join(f"stg_{e}" for e in STAGING_TYPES)
@@ -280,8 +276,7 @@ def _(wh):
     ),
 )
 def _(wh):
-    profiles = [profiling.profile_table(df, e) for e, df in _in_name_order(wh).items()]
-    return profiling.union_all(profiles).select("table_name", "column_name", "nulls")
+    return profile.column_report(wh.raw).select("table_name", "column_name", "nulls")
 
 
 @query(
@@ -296,7 +291,7 @@ def _(wh):
     ),
 )
 def _(wh):
-    return profiling.union_all([profiling.duplicate_rows(df, e) for e, df in _in_name_order(wh).items()])
+    return profile.duplicate_report(wh.raw)
 
 
 def _key_sql(entity: str, columns: list[str]) -> str:
@@ -309,32 +304,18 @@ def _key_sql(entity: str, columns: list[str]) -> str:
     )
 
 
-_SINGLE_KEYS = [
-    ("orders", ["order_id"]),
-    ("customers", ["customer_id"]),
-    ("products", ["product_id"]),
-    ("sellers", ["seller_id"]),
-    ("order_reviews", ["review_id"]),
-    ("order_reviews", ["order_id"]),
-]
-_COMPOSITE_KEYS = [
-    ("order_items", ["order_id", "order_item_id"]),
-    ("order_payments", ["order_id", "payment_sequential"]),
-]
-
-
 @query(
     "key_unique",
     "raw_orders raw_customers raw_products raw_sellers raw_order_reviews",
-    union_sql([_key_sql(e, k) for e, k in _SINGLE_KEYS]),
+    union_sql([_key_sql(e, k) for e, k in profile.SINGLE_KEYS]),
 )
 def _(wh):
-    return profiling.union_all([profiling.key_profile(wh.raw(e), k, e) for e, k in _SINGLE_KEYS])
+    return profile.key_report(wh.raw, profile.SINGLE_KEYS)
 
 
-@query("key_duplicates", "raw_order_items raw_order_payments", union_sql([_key_sql(e, k) for e, k in _COMPOSITE_KEYS]))
+@query("key_duplicates", "raw_order_items raw_order_payments", union_sql([_key_sql(e, k) for e, k in profile.COMPOSITE_KEYS]))
 def _(wh):
-    return profiling.union_all([profiling.key_profile(wh.raw(e), k, e) for e, k in _COMPOSITE_KEYS])
+    return profile.key_report(wh.raw, profile.COMPOSITE_KEYS)
 
 
 @query(
@@ -351,21 +332,6 @@ def _(wh):
     return profiling.distinct_count(wh.raw("customers"), ["customer_id", "customer_unique_id"], "customers")
 
 
-_ORPHANS = [
-    ("items with no order", "order_items", "orders", "order_id"),
-    ("payments with no order", "order_payments", "orders", "order_id"),
-    ("reviews with no order", "order_reviews", "orders", "order_id"),
-    ("items with no product", "order_items", "products", "product_id"),
-    ("items with no seller", "order_items", "sellers", "seller_id"),
-    ("orders with no customer", "orders", "customers", "customer_id"),
-]
-_COVERAGE = [
-    ("orders with no payment", "orders", "order_payments", "order_id"),
-    ("orders with no review", "orders", "order_reviews", "order_id"),
-    ("orders with no items", "orders", "order_items", "order_id"),
-]
-
-
 def _missing_sql(relations) -> str:
     return union_sql(
         [
@@ -376,26 +342,17 @@ def _missing_sql(relations) -> str:
     )
 
 
-def _missing(wh, relations) -> DataFrame:
-    return profiling.union_all(
-        [
-            profiling.orphan_count(wh.raw(child), wh.raw(parent), [key], [key], label)
-            for label, child, parent, key in relations
-        ]
-    )
-
-
 _RELATED = "raw_orders raw_order_items raw_order_payments raw_order_reviews raw_products raw_sellers raw_customers"
 
 
-@query("orphan_check", _RELATED, _missing_sql(_ORPHANS))
+@query("orphan_check", _RELATED, _missing_sql(profile.ORPHANS))
 def _(wh):
-    return _missing(wh, _ORPHANS)
+    return profile.relation_report(wh.raw, profile.ORPHANS)
 
 
-@query("coverage_check", _RELATED, _missing_sql(_COVERAGE))
+@query("coverage_check", _RELATED, _missing_sql(profile.COVERAGE))
 def _(wh):
-    return _missing(wh, _COVERAGE)
+    return profile.relation_report(wh.raw, profile.COVERAGE)
 
 
 @query(
@@ -405,13 +362,12 @@ def _(wh):
     "CAST(max(order_purchase_timestamp) AS VARCHAR) AS max_value FROM parsed_orders",
 )
 def _(wh):
-    purchase = ["order_purchase_timestamp"]
-    return profiling.value_range(cleaning.parse_timestamps(wh.raw("orders").select(*purchase), purchase), purchase[0])
+    return profile.date_report(wh.raw)
 
 
 @query("value_counts", "raw_orders", "SELECT order_status AS value, count(*) AS n FROM raw_orders GROUP BY order_status")
 def _(wh):
-    return profiling.value_counts(wh.raw("orders"), "order_status")
+    return profile.status_report(wh.raw)
 
 
 # ---------------------------------------------------------------- cleaning
@@ -558,26 +514,19 @@ def _(wh):
     return wh.dim_product.drop("product_key")
 
 
-_KEYED = {
-    "dim_customer": ("customer_key", "customer_id"),
-    "dim_seller": ("seller_key", "seller_id"),
-    "dim_product": ("product_key", "product_id"),
-}
-
-
 @query(
     "surrogate_key",
-    " ".join([*_KEYED, *FACTS]),
+    " ".join([*star.DIMENSION_KEYS, *FACTS]),
     union_sql(
         [
             f"SELECT '{t}' AS table_name, count(*) AS table_rows, count(*) AS distinct_keys, 1 AS min_key, "
             f"count(*) AS max_key, true AS is_dense FROM {t}"
-            for t in [*_KEYED, *FACTS]
+            for t in [*star.DIMENSION_KEYS, *FACTS]
         ]
     ),
 )
 def _(wh):
-    frames = {t: (wh.table(t), key) for t, (key, _) in _KEYED.items()}
+    frames = {t: (wh.table(t), key) for t, (key, _) in star.DIMENSION_KEYS.items()}
     frames |= {t: (wh.with_key(t), star.FACT_KEYS[t]) for t in FACTS}
     parts = []
     for table, (df, key) in frames.items():
@@ -595,7 +544,7 @@ def _(wh):
 
 def _natural(wh: Warehouse, fact: DataFrame) -> DataFrame:
     """The fact with natural keys in place of surrogate keys."""
-    for table, (key, natural) in _KEYED.items():
+    for table, (key, natural) in star.DIMENSION_KEYS.items():
         if key in fact.columns:
             fact = fact.join(wh.table(table).select(key, natural), key).drop(key)
     return fact.drop(star.MONTH_PARTITION)
@@ -691,31 +640,20 @@ def _(wh):
 
 # ---------------------------------------------------------------- validation and reconciliation
 
-_LOADED = {
-    "orders": ("orders", "fact_orders"),
-    "order_items": ("order_items", "fact_order_items"),
-    "payments": ("order_payments", "fact_payments"),
-    "reviews": ("order_reviews", "fact_reviews"),
-    "customers": ("customers", "dim_customer"),
-    "sellers": ("sellers", "dim_seller"),
-    "products": ("products", "dim_product"),
-}
-
-
 @query(
     "check_row_counts",
-    " ".join(f"stg_{s} {m}" for s, m in _LOADED.values()),
+    " ".join(f"stg_{s} {m}" for s, m in validate.LOADED.values()),
     "SELECT *, model_rows - staging_rows AS difference, model_rows = staging_rows AS passed FROM ("
     + union_sql(
         [
             f"SELECT '{e}' AS entity, (SELECT count(*) FROM stg_{s}) AS staging_rows, (SELECT count(*) FROM {m}) AS model_rows"
-            for e, (s, m) in _LOADED.items()
+            for e, (s, m) in validate.LOADED.items()
         ]
     )
     + ")",
 )
 def _(wh):
-    return quality.compare_counts({e: (wh.staged(s), wh.table(m)) for e, (s, m) in _LOADED.items()})
+    return validate.row_counts(wh)
 
 
 _MEASURES = [
@@ -739,12 +677,7 @@ _MEASURES = [
     + ")",
 )
 def _(wh):
-    return quality.compare_sums(
-        {
-            ("price", "freight_value"): (wh.staged("order_items"), wh.fact_order_items),
-            ("payment_value",): (wh.staged("order_payments"), wh.fact_payments),
-        }
-    )
+    return validate.money_totals(wh)
 
 
 @query(
@@ -759,7 +692,7 @@ def _(wh):
     ),
 )
 def _(wh):
-    return quality.check_grain({f: (wh.table(f), k) for f, k in star.FACT_GRAIN.items()})
+    return validate.grain(wh)
 
 
 @query(
@@ -769,7 +702,7 @@ def _(wh):
     "count(*) - count(DISTINCT customer_unique_id) AS overcount FROM dim_customer",
 )
 def _(wh):
-    return quality.check_identity(wh.dim_customer, "customer_key", "customer_unique_id")
+    return validate.identity(wh)
 
 
 @query(
@@ -782,49 +715,25 @@ def _(wh):
     "UNION ALL SELECT 'own grain', (SELECT sum(price) FROM fact_order_items), (SELECT sum(price) FROM fact_order_items))",
 )
 def _(wh):
-    return quality.fanout(wh.fact_order_items, wh.fact_payments, "order_id", "price")
-
-
-_REQUIRED = {
-    "dim_customer": ["customer_id", "customer_unique_id"],
-    "dim_seller": ["seller_id"],
-    "dim_product": ["product_id", "category_name", "category_name_english"],
-    "fact_orders": ["order_id", "purchase_date_key", "order_status", "purchase_timestamp", "is_delivered", "is_cancelled"],
-    "fact_order_items": ["order_id", "order_item_id", "purchase_date_key", "order_status", "price", "freight_value"],
-    "fact_payments": ["order_id", "payment_sequential", "purchase_date_key", "payment_type", "payment_installments", "payment_value"],
-    "fact_reviews": ["review_id", "order_id", "purchase_date_key", "review_score", "has_comment", "is_negative", "is_positive"],
-}
-_UNIQUE = {t: [natural] for t, (_, natural) in _KEYED.items()} | star.FACT_GRAIN
-_DATE_REFERENCES = {
-    "fact_orders": ["purchase_date_key", "delivered_date_key", "estimated_date_key"],
-    "fact_order_items": ["purchase_date_key"],
-    "fact_payments": ["purchase_date_key"],
-    "fact_reviews": ["purchase_date_key", "review_date_key"],
-}
-_KEY_REFERENCES = {
-    "fact_orders": ["customer_key"],
-    "fact_order_items": ["customer_key", "product_key", "seller_key"],
-    "fact_payments": ["customer_key"],
-    "fact_reviews": ["customer_key"],
-}
+    return validate.fanout(wh)
 
 
 def _constraint_sql() -> str:
     parts = []
-    for t in _REQUIRED:
-        for c in _REQUIRED[t]:
+    for t in validate.REQUIRED:
+        for c in validate.REQUIRED[t]:
             parts.append(f"SELECT '{t}' AS table_name, 'not null' AS rule, '{c}' AS columns, count(*) FILTER ({c} IS NULL) AS violations FROM {t}")
-        k = _UNIQUE[t]
+        k = validate.UNIQUE[t]
         parts.append(
             f"SELECT '{t}', 'unique', '{' + '.join(k)}', (SELECT count(*) FROM {t}) - "
             f"(SELECT count(*) FROM (SELECT DISTINCT {', '.join(k)} FROM {t}))"
         )
-        for c in _DATE_REFERENCES.get(t, []):
+        for c in validate.DATE_REFERENCES.get(t, []):
             parts.append(
                 f"SELECT '{t}', 'foreign key', '{c}', count(*) FROM {t} WHERE {c} IS NOT NULL "
                 f"AND {c} NOT IN (SELECT date_key FROM dim_date)"
             )
-        for c in _KEY_REFERENCES.get(t, []):
+        for c in validate.KEY_REFERENCES.get(t, []):
             natural = c.replace("_key", "_id")
             parts.append(
                 f"SELECT '{t}', 'foreign key', '{c}', count(*) FROM {t} WHERE {natural} NOT IN "
@@ -835,71 +744,7 @@ def _constraint_sql() -> str:
 
 @query("check_constraints", " ".join([*DIMENSIONS, *FACTS]), _constraint_sql())
 def _(wh):
-    parents = {c: (wh.dim_date, "date_key") for cs in _DATE_REFERENCES.values() for c in cs}
-    parents |= {k: (wh.table(t), k) for t, (k, _) in _KEYED.items()}
-    return profiling.union_all(
-        [
-            quality.check_constraints(
-                t,
-                wh.table(t),
-                not_null=_REQUIRED[t],
-                unique=[_UNIQUE[t]],
-                references={
-                    c: parents[c] for c in [*_DATE_REFERENCES.get(t, []), *_KEY_REFERENCES.get(t, [])]
-                },
-            )
-            for t in _REQUIRED
-        ]
-    )
-
-
-EXPLANATIONS = {
-    "Total reviews": "Only the latest review of an order is kept, so that reviews meet orders one to one.",
-}
-
-
-def _stage_metrics(orders, items, payments, reviews, people, sellers, products) -> DataFrame:
-    status = F.col("order_status")
-    money_sum = {c: F.sum(F.col(c).cast("decimal(12,2)")) for c in ("price", "freight_value", "payment_value")}
-    count = F.count(F.lit(1))
-    return reconcile.stage_metrics(
-        {
-            "orders": (
-                orders,
-                {
-                    "Total orders": F.count_distinct("order_id"),
-                    "Delivered orders": F.count_if(status == "delivered"),
-                    "Cancelled orders": F.count_if(status == "canceled"),
-                },
-            ),
-            "items": (
-                items,
-                {
-                    "Total order items": count,
-                    "Merchandise value": money_sum["price"],
-                    "Freight value": money_sum["freight_value"],
-                },
-            ),
-            "payments": (payments, {"Total payment records": count, "Payment value": money_sum["payment_value"]}),
-            "reviews": (reviews, {"Total reviews": count}),
-            "people": (people, {"Total customers (unique people)": F.count_distinct("customer_unique_id")}),
-            "sellers": (sellers, {"Total sellers": F.count_distinct("seller_id")}),
-            "products": (products, {"Total products": F.count_distinct("product_id")}),
-        }
-    )
-
-
-def reconciliation(wh: Warehouse) -> DataFrame:
-    entities = ["orders", "order_items", "order_payments", "order_reviews", "customers", "sellers", "products"]
-    model = ["fact_orders", "fact_order_items", "fact_payments", "fact_reviews", "dim_customer", "dim_seller", "dim_product"]
-    return reconcile.reconcile(
-        {
-            "raw": _stage_metrics(*[wh.raw(e) for e in entities]),
-            "cleaned": _stage_metrics(*[wh.staged(e) for e in entities]),
-            "model": _stage_metrics(*[wh.table(t) for t in model]),
-        },
-        EXPLANATIONS,
-    )
+    return validate.constraints(wh)
 
 
 def _reconcile_sql() -> str:
@@ -924,7 +769,7 @@ def _reconcile_sql() -> str:
             for m, e, s, t in metrics_sql
         ]
     )
-    ((metric, text),) = EXPLANATIONS.items()
+    ((metric, text),) = validate.EXPLANATIONS.items()
     status = f"CASE WHEN r = c AND c = w THEN 'Match' WHEN c = w AND metric = '{metric}' THEN 'Expected' ELSE 'MISMATCH' END"
     return (
         f"SELECT metric, {money('r', 'raw')}, {money('c', 'cleaned')}, {money('w', 'model')}, {status} AS status, "
@@ -941,7 +786,7 @@ _RECONCILE_TABLES = (
 
 @query("reconcile_stages", _RECONCILE_TABLES, _reconcile_sql())
 def _(wh):
-    return reconciliation(wh)
+    return validate.reconciliation(wh)
 
 
 @query(
@@ -951,7 +796,7 @@ def _(wh):
     f"count(*) FILTER (status = 'MISMATCH') AS mismatching, bool_and(status <> 'MISMATCH') AS reconciled FROM ({_reconcile_sql()})",
 )
 def _(wh):
-    return reconcile.overall(reconciliation(wh))
+    return reconcile.overall(validate.reconciliation(wh))
 
 
 # ---------------------------------------------------------------- business questions
