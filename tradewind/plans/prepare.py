@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,13 +72,15 @@ def prepare_products(raw: Raw) -> DataFrame:
     )
 
 
+def geolocation_points(raw: Raw) -> DataFrame:
+    """The raw points with numbers as numbers, so that equal coordinates are equal however written."""
+    return to_typed(raw("geolocation"), STAGING_TYPES["geolocation"])
+
+
 def prepare_geolocation(raw: Raw) -> DataFrame:
-    points = raw("geolocation").withColumns(
-        {c: F.col(c).try_cast(STAGING_TYPES["geolocation"][c]) for c in STAGING_TYPES["geolocation"]}
-    )
     # Spellings compete for the mode as they were entered; case is settled afterwards.
     collapsed = C.collapse_points(
-        points,
+        geolocation_points(raw),
         "geolocation_zip_code_prefix",
         ["geolocation_lat", "geolocation_lng"],
         ["geolocation_city", "geolocation_state"],
@@ -165,14 +167,10 @@ def cleaning_audit(raw: Raw, staged: Callable[[str], DataFrame]) -> DataFrame:
             },
         ),
     ]
-    points = raw("geolocation")
+    points = geolocation_points(raw)
     zips = staged("geolocation")
     parts.append(audit(points.distinct(), "geolocation", {"exact duplicates removed": F.lit(False)}, row_count(points)))
     parts.append(
         audit(zips, "geolocation", {"points merged per zip prefix": F.lit(False)}, row_count(points.distinct()))
     )
     return union_all(parts)
-
-
-def raw_reader(frames: Mapping[str, DataFrame]) -> Raw:
-    return frames.__getitem__
