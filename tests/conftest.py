@@ -12,7 +12,7 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[8]", 8, spark__driver__memory="4g")
+    session = build_session("tests", "local[8]", 4, spark__driver__memory="4g", spark__default__parallelism="2")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
