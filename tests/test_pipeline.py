@@ -2,8 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL, rows
-from tradewind.plans import pipeline, star
+from tradewind.plans import pipeline, reports, star
 from tradewind.plans import questions as Q
+from tradewind.plans.slicing import slice_fact
 from tradewind.plans.warehouse import FACTS
 from tradewind.sources.files import read_entity, write_csv
 from tradewind.sources.schemas import RAW_COLUMNS
@@ -60,6 +61,24 @@ def test_facts_are_pruned_by_month(small):
     assert not items  # columns the question does not use are not read
 
 
+def test_a_calendar_filter_prunes_files(small):
+    year = slice_fact(small, "fact_order_items", ["category"], {"year": 1997})
+    for df in (year, reports.conformed_filter(small, {"quarter_label": "Q1"})["fact_payments"]):
+        assert "dynamicpruning" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_views_answer_plain_sql(spark, small):
+    small.register_views()
+    got = spark.sql(
+        """SELECT p.category_name_english AS category, count(DISTINCT i.order_id) AS orders, sum(i.price) AS merchandise_value
+        FROM fact_order_items i JOIN dim_customer c ON c.customer_key = i.customer_key
+        JOIN dim_product p ON p.product_key = i.product_key
+        WHERE i.purchase_date_key BETWEEN 19971001 AND 19971231 AND c.state = 'NATION_3'
+        GROUP BY p.category_name_english"""
+    )
+    assert rows(got) == rows(Q.filtered_category_revenue(small, 19971001, 19971231, "NATION_3"))
+
+
 def test_no_cross_joins(small):
     for question in (Q.at_risk_categories, Q.seller_watchlist, Q.spend_quartiles, Q.repeat_customers):
         plan = question(small)._jdf.queryExecution().executedPlan().toString()

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tradewind.functions import ratio
 from tradewind.operators.profiling import union_all
 from tradewind.plans.slicing import Where, condition, month_bounds
+from tradewind.plans.star import MONTH_PARTITION
 
 # What each fact contributes to the filtered totals.
 FACT_MEASURES = {
@@ -24,10 +25,12 @@ def conformed_filter(model, dates: Where | None = None, customers: Where | None
     """All four facts under one date and one customer filter, without joining facts.
 
     Every fact carries the customer and purchase date keys, so each is semi-joined
-    with the filtered dimensions.
+    with the filtered dimensions. The month is part of the date join, which prunes
+    the files of the facts to the months that are left.
     """
     dates, customers = dict(dates or {}), dict(customers or {})
-    days = model.dim_date.select(F.col("date_key").alias("purchase_date_key"), "*")
+    month = (F.col("year") * 100 + F.col("month")).alias(MONTH_PARTITION)
+    days = model.dim_date.select(F.col("date_key").alias("purchase_date_key"), month, "*")
     for name, wanted in dates.items():
         days = days.filter(condition(F.col(name), wanted))
     people = model.dim_customer
@@ -40,7 +43,8 @@ def conformed_filter(model, dates: Where | None = None, customers: Where | None
         if bounds is not None:
             df = df.filter(bounds & condition(F.col("purchase_date_key"), dates["purchase_date_key"]))
         if dates:
-            df = df.join(days.select("purchase_date_key"), "purchase_date_key", "left_semi")
+            day = ["purchase_date_key", MONTH_PARTITION]
+            df = df.join(days.select(*day), day, "left_semi")
         if customers:
             df = df.join(people.select("customer_key"), "customer_key", "left_semi")
         result[fact] = df

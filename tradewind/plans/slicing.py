@@ -108,7 +108,9 @@ def slice_fact(model, fact: str, by: By = (), where: Where | None = None) -> Dat
     """The fact with the attributes in ``by``, filtered by ``where``.
 
     Names are attributes of a dimension or columns of the fact itself. A filter on
-    a dimension goes to that dimension before the join.
+    a dimension goes to that dimension before the join. The calendar is joined on
+    the month as well as the day: the month is the partition column, so a filter on
+    any calendar attribute prunes the files of the fact.
     """
     where = dict(where or {})
     df: DataFrame = getattr(model, fact)
@@ -125,13 +127,17 @@ def slice_fact(model, fact: str, by: By = (), where: Where | None = None) -> Dat
             continue
         if link.fact_key not in known:
             raise ValueError(f"{fact} has no {link.fact_key}: cannot use {', '.join(wanted)}")
-        dim = getattr(model, link.table).select(
-            F.col(link.key).alias(link.fact_key), *[F.col(link.attributes[n]).alias(n) for n in wanted]
+        dim = getattr(model, link.table)
+        on = {link.fact_key: F.col(link.key)}
+        if link.table == "dim_date" and MONTH_PARTITION in known:
+            on[MONTH_PARTITION] = F.col("year") * 100 + F.col("month")
+        dim = dim.select(
+            *[c.alias(n) for n, c in on.items()], *[F.col(link.attributes[n]).alias(n) for n in wanted]
         )
         for name in wanted:
             if name in where:
                 dim = dim.filter(condition(F.col(name), where.pop(name)))
-        df = df.join(dim, link.fact_key)
+        df = df.join(dim, list(on))
         missing = [n for n in missing if n not in wanted]
     if missing:
         raise ValueError(f"unknown attributes: {', '.join(missing)}")

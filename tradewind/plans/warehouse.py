@@ -52,6 +52,11 @@ class Warehouse:
         """The fact with its dense integer key, derived from file positions on read."""
         return with_dense_key(self.table(fact), star.FACT_KEYS[fact])
 
+    def register_views(self) -> None:
+        """Make dimensions and facts available to ``spark.sql`` under their names."""
+        for name in DIMENSIONS + FACTS:
+            self.table(name).createOrReplaceTempView(name)
+
     def build(self) -> None:
         for entity in PREPARE:
             self.staged(entity)
