@@ -16,6 +16,31 @@ from tradewind.functions import ratio, share
 from tradewind.operators.keys import tile_summary
 from tradewind.plans.star import MONTH_PARTITION
 
+# Upper bounds in days and labels of the report buckets; the last has no bound.
+GAP_BUCKETS = [
+    (0, "1. Same day"),
+    (30, "2. 1-30 days"),
+    (90, "3. 31-90 days"),
+    (180, "4. 91-180 days"),
+    (None, "5. Over 180 days"),
+]
+DELAY_BUCKETS = [
+    (-10, "1. 10+ days early"),
+    (-1, "2. 1-9 days early"),
+    (0, "3. On estimated day"),
+    (7, "4. 1-7 days late"),
+    (14, "5. 8-14 days late"),
+    (None, "6. 15+ days late"),
+]
+
+
+def _bucket(days: Column, buckets: list[tuple[int | None, str]]) -> Column:
+    """Label of the first bucket whose bound is not exceeded."""
+    label = F.lit(buckets[-1][1])
+    for bound, text in reversed(buckets[:-1]):
+        label = F.when(days <= bound, text).otherwise(label)
+    return label
+
 
 def _n(condition: Column | None = None) -> Column:
     return F.count(F.lit(1)) if condition is None else F.count_if(condition)
@@ -149,15 +174,8 @@ def second_order_gap(model) -> DataFrame:
         .filter("_n = 2")
         .select(F.datediff(F.col("_second").cast("date"), F.col("_first").cast("date")).alias("_days"))
     )
-    days = F.col("_days")
-    bucket = (
-        F.when(days == 0, "1. Same day")
-        .when(days <= 30, "2. 1-30 days")
-        .when(days <= 90, "3. 31-90 days")
-        .when(days <= 180, "4. 91-180 days")
-        .otherwise("5. Over 180 days")
-    )
-    counts = gaps.groupBy(bucket.alias("gap_bucket")).agg(_n().alias("customers"))
+    bucket = _bucket(F.col("_days"), GAP_BUCKETS).alias("gap_bucket")
+    counts = gaps.groupBy(bucket).agg(_n().alias("customers"))
     return counts.withColumn("pct", share(F.col("customers"))).orderBy("gap_bucket")
 
 
@@ -181,15 +199,8 @@ def state_delivery(model) -> DataFrame:
 
 def delay_vs_score(model) -> DataFrame:
     delay = F.col("delivery_delay_days")
-    bucket = (
-        F.when(delay <= -10, "1. 10+ days early")
-        .when(delay < 0, "2. 1-9 days early")
-        .when(delay == 0, "3. On estimated day")
-        .when(delay <= 7, "4. 1-7 days late")
-        .when(delay <= 14, "5. 8-14 days late")
-        .otherwise("6. 15+ days late")
-    )
-    delivered = model.fact_orders.filter(delay.isNotNull()).select("order_id", bucket.alias("delay_bucket"))
+    bucket = _bucket(delay, DELAY_BUCKETS).alias("delay_bucket")
+    delivered = model.fact_orders.filter(delay.isNotNull()).select("order_id", bucket)
     return (
         delivered.join(model.fact_reviews.select("order_id", "review_score", "is_negative"), "order_id")
         .groupBy("delay_bucket")

@@ -123,6 +123,7 @@ def constraints(wh: Warehouse) -> DataFrame:
     )
 
 
+# The metric names below are those of the published reconciliation.
 def _totals(orders, items, payments, reviews, customers, sellers, products) -> DataFrame:
     status = F.col("order_status")
     rows = F.count(F.lit(1))

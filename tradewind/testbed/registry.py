@@ -67,6 +67,11 @@ def union_sql(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def bucket_sql(days: str, buckets) -> str:
+    cases = " ".join(f"WHEN {days} <= {bound} THEN '{text}'" for bound, text in buckets[:-1])
+    return f"CASE {cases} ELSE '{buckets[-1][1]}' END"
+
+
 def col_list(columns: list[str], text: tuple[str, ...] = ()) -> str:
     return ", ".join(f"CAST({c} AS VARCHAR) AS {c}" if c in text else c for c in columns)
 
@@ -868,8 +873,7 @@ def _(wh):
     "q06_second_order_gap",
     "fact_orders",
     f"SELECT gap_bucket, customers, {pct('customers', 'total')} AS pct FROM ("
-    "SELECT *, sum(customers) OVER () AS total FROM (SELECT CASE WHEN days = 0 THEN '1. Same day' WHEN days <= 30 THEN '2. 1-30 days' "
-    "WHEN days <= 90 THEN '3. 31-90 days' WHEN days <= 180 THEN '4. 91-180 days' ELSE '5. Over 180 days' END AS gap_bucket, "
+    f"SELECT *, sum(customers) OVER () AS total FROM (SELECT {bucket_sql('days', questions.GAP_BUCKETS)} AS gap_bucket, "
     "count(*) AS customers FROM (SELECT date_diff('day', purchase_timestamp, "
     "lead(purchase_timestamp) OVER w) AS days, row_number() OVER w AS seq FROM fact_orders "
     "WINDOW w AS (PARTITION BY customer_unique_id ORDER BY purchase_timestamp, order_id)) "
@@ -896,9 +900,7 @@ def _(wh):
     "fact_orders fact_reviews",
     f"SELECT delay_bucket, count(*) AS reviewed_orders, {ratio('sum(review_score)', 'count(review_score)')} AS avg_review_score, "
     f"{pct('count(*) FILTER (is_negative)', 'count(*)')} AS negative_review_pct FROM ("
-    "SELECT CASE WHEN delivery_delay_days <= -10 THEN '1. 10+ days early' WHEN delivery_delay_days < 0 THEN '2. 1-9 days early' "
-    "WHEN delivery_delay_days = 0 THEN '3. On estimated day' WHEN delivery_delay_days <= 7 THEN '4. 1-7 days late' "
-    "WHEN delivery_delay_days <= 14 THEN '5. 8-14 days late' ELSE '6. 15+ days late' END AS delay_bucket, review_score, is_negative "
+    f"SELECT {bucket_sql('delivery_delay_days', questions.DELAY_BUCKETS)} AS delay_bucket, review_score, is_negative "
     "FROM fact_orders JOIN fact_reviews USING (order_id) WHERE delivery_delay_days IS NOT NULL) GROUP BY delay_bucket",
 )
 def _(wh):
