@@ -88,8 +88,11 @@ def test_large_partition_gets_several_writers(spark, tmp_path):
     before = spark.conf.get(key)
     spark.conf.set(key, "256KB")
     try:
-        df = spark.range(400000).select(F.sha2(F.col("id").cast("string"), 256).alias("s"), F.when(F.col("id") % 50 == 0, 1).otherwise(2).alias("m"))
-        stored = files.write_table(df.repartition(8), str(tmp_path / "t"), "m")
+        df = spark.range(0, 400000, 1, 8).select(
+            F.sha2(F.col("id").cast("string"), 256).alias("s"),
+            F.when(F.col("id") % 50 == 0, 1).otherwise(2).alias("m"),
+        )
+        stored = files.write_table(df, str(tmp_path / "t"), "m")
         writers = stored.filter("m = 2").select("_metadata.file_path").distinct().count()
         assert writers > 4
         assert stored.count() == 400000
