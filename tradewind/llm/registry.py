@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from tradewind.llm.ann import op9_collision_ann
 from tradewind.llm.packing import op10_vector_packing
 from tradewind.llm.sharding import op5_jump_sharding
 from tradewind.llm.simhash import op8_golay_simhash
+from tradewind.llm.topk import op7_columnar_topk
 
-QUERIES = {f.__name__: f for f in (op5_jump_sharding, op8_golay_simhash, op10_vector_packing)}
+QUERIES = {
+    f.__name__: f
+    for f in (op5_jump_sharding, op7_columnar_topk, op8_golay_simhash, op9_collision_ann, op10_vector_packing)
+}
 ORACLE: dict[str, str] = {}
