@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections import deque
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tradewind.session import work_dir
 
@@ -78,3 +82,40 @@ def gapless(df: DataFrame, group: str, rows: int, out: str, per_task: int = 20_0
         (F.col(first) + F.col(inside)).alias(first),
     )
     return numbered.select(*columns, (F.col(first) + F.col(part)).alias(out))
+
+
+def append_columns(
+    df: DataFrame, text_col: str, make: Callable[[Iterator[list]], Iterator[list]], ddl: dict[str, str]
+) -> DataFrame:
+    """All columns of ``df`` and further ones made from the bytes of a text column, batch by batch.
+
+    ``make`` gets an iterator of lists of texts (bytes or None) and gives, for each list, one
+    list or array per new column. The names in ``ddl`` must be new.
+    """
+    raw = fresh("text_bytes_", df.columns)
+    schema = T.StructType([*df.schema.fields, *T.StructType.fromDDL(", ".join(f"{n} {t}" for n, t in ddl.items())).fields])
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: deque = deque()
+
+        def texts() -> Iterator[list]:
+            for batch in batches:
+                held.append(batch)
+                yield batch.column(raw).to_pylist()
+
+        for made in make(texts()):
+            batch = held.popleft()
+            columns = [batch.column(i) for i in range(batch.num_columns) if batch.schema.names[i] != raw]
+            arrays = [pa.array(v, to_arrow_type(schema[n].dataType)) for n, v in zip(ddl, made, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns + arrays, names=schema.names)
+
+    return df.withColumn(raw, F.col(text_col).cast("binary")).mapInArrow(apply, schema)
+
+
+def sample_share(rows: int, wanted: int) -> float:
+    return min(1.0, wanted / max(1, rows))
+
+
+def chosen(key: Column, share: float, seed: int) -> Column:
+    """A fixed share of the keys, by hash: the same rows on every run and every retry."""
+    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
