@@ -3,13 +3,39 @@
 from __future__ import annotations
 
 from tradewind.llm.ann import op9_collision_ann
+from tradewind.llm.language import op6_crf_language
+from tradewind.llm.line_dedup import op2_winnowing_lines
+from tradewind.llm.mixing import op3_temperature_mixing
+from tradewind.llm.mixing_lm import op4_context_mixing
 from tradewind.llm.packing import op10_vector_packing
+from tradewind.llm.quality import op1_nnpu_quality
 from tradewind.llm.sharding import op5_jump_sharding
 from tradewind.llm.simhash import op8_golay_simhash
 from tradewind.llm.topk import op7_columnar_topk
 
 QUERIES = {
     f.__name__: f
-    for f in (op5_jump_sharding, op7_columnar_topk, op8_golay_simhash, op9_collision_ann, op10_vector_packing)
+    for f in (
+        op1_nnpu_quality, op2_winnowing_lines, op3_temperature_mixing, op4_context_mixing, op5_jump_sharding,
+        op6_crf_language, op7_columnar_topk, op8_golay_simhash, op9_collision_ann, op10_vector_packing,
+    )
+}
+
+# Exact integer arithmetic with ties by id: the one corpus query that SQL expresses as it stands.
+ORACLE = {
+    "op7_columnar_topk": """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v,
+    row_number() OVER () AS r
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.r AS q_row, q.vec_id AS query_id, c.vec_id, c.r, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.r <> c.r WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY q_row ORDER BY score DESC, vec_id, r) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+""",
 }
-ORACLE: dict[str, str] = {}
