@@ -25,11 +25,11 @@ QUERIES = {
 ORACLE = {
     "op7_columnar_topk": """
 WITH usable AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v,
+  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v,
     row_number() OVER () AS r
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), scored AS (
   SELECT q.r AS q_row, q.vec_id AS query_id, c.vec_id, c.r, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
   FROM usable q JOIN usable c ON q.r <> c.r WHERE q.vec_id % 20 = 0
