@@ -14,18 +14,23 @@ def with_dense_key(df: DataFrame, name: str) -> DataFrame:
     rows in the files before its own plus its position in the file: counting needs
     the file footers only, and no row is shuffled or sorted. Stored files do not
     change, so a repeated task gives the same keys. The window runs over one row
-    per file.
+    per file, and so does the broadcast of two 64-bit numbers a file: a million
+    files are 16 MB. Two paths of one hash fail the job.
     """
     columns = df.columns
-    tagged = df.select(
-        *columns,
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.row_index").alias("_row"),
+    path = F.xxhash64(F.col("_metadata.file_path"))
+    tagged = df.select(*columns, path.alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    counts = df.select(path.alias("_file"), F.col("_metadata.file_path").alias("_path")).groupBy("_path", "_file").count()
+    before = Window.orderBy("_file", "_path").rowsBetween(Window.unboundedPreceding, -1)
+    clash = F.lag("_file").over(Window.orderBy("_file", "_path")) == F.col("_file")
+    first = F.coalesce(F.sum("count").over(before), F.lit(0))
+    offsets = counts.select(
+        "_file",
+        F.when(clash, F.raise_error(F.concat(F.lit("two files have one hash: "), "_path")).cast("long"))
+        .otherwise(first)
+        .alias("_before"),
     )
-    files = df.select(F.col("_metadata.file_path").alias("_file")).groupBy("_file").count()
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = files.select("_file", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
-    numbered = tagged.join(offsets, "_file")
+    numbered = tagged.join(F.broadcast(offsets), "_file")
     return numbered.select((F.col("_before") + F.col("_row") + 1).alias(name), *columns)
 
 

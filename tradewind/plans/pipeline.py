@@ -59,16 +59,27 @@ def check_reports(wh: Warehouse) -> dict[str, DataFrame]:
     }
 
 
-def run(spark: SparkSession, folder: str, out: str, names: Mapping[str, str] | None = None) -> Warehouse:
+def run(
+    spark: SparkSession,
+    folder: str,
+    out: str,
+    names: Mapping[str, str] | None = None,
+    allow_lost_values: bool = False,
+) -> Warehouse:
     """Build everything below ``out`` and keep every report as a table in ``out``/reports.
 
-    The model is rebuilt from the raw files on every run.
+    The model is rebuilt from the raw files on every run. A value that does not fit its declared
+    type stops the run after the reports are written, unless ``allow_lost_values`` says that
+    nulls in their place are wanted.
     """
     out = out.rstrip("/")
     wh = Warehouse(spark, land(spark, folder, out, names).__getitem__, out)
     wh.build()
     for name, report in (profile_reports(wh) | load_reports(wh) | check_reports(wh)).items():
         write_table(report, f"{out}/reports/{name}")
+    lost = prepare.lost_values(spark.read.parquet(f"{out}/reports/cleaning_audit"))
+    if not allow_lost_values and (rules := lost.collect()):
+        raise ValueError("values lost in typing: " + "; ".join(f"{r.entity}, {r.rule}: {r.rows_changed} rows" for r in rules))
     return wh
 
 

@@ -113,6 +113,23 @@ def _unparsed(columns: list[str]) -> Column:
     return bad
 
 
+def _unfit(entity: str) -> Column:
+    """Rows with a value that staging would set to null because it does not fit its declared type."""
+    bad = F.lit(False)
+    for c, kind in STAGING_TYPES[entity].items():
+        bad = bad | (F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull())
+    return bad
+
+
+UNFIT = "value that does not fit its type set to null"
+UNPARSED = "text that is no timestamp set to null"
+
+
+def lost_values(audit_rows: DataFrame) -> DataFrame:
+    """What staging cannot keep, by entity. Lenient dates are a rule of the cleaning and not among it."""
+    return audit_rows.filter((F.col("rule") == UNFIT) & (F.col("rows_changed") > 0))
+
+
 def _recased(city: str, state: str) -> Column:
     return ~(
         F.col(city).eqNullSafe(title_case(F.col(city))) & F.col(state).eqNullSafe(strip_upper(F.col(state)))
@@ -127,7 +144,7 @@ def cleaning_audit(raw: Raw, staged: Callable[[str], DataFrame]) -> DataFrame:
             raw("orders"),
             "orders",
             {
-                "text that is no timestamp set to null": _unparsed(ORDER_DATES),
+                UNPARSED: _unparsed(ORDER_DATES),
             },
         ),
         audit(
@@ -138,7 +155,7 @@ def cleaning_audit(raw: Raw, staged: Callable[[str], DataFrame]) -> DataFrame:
                 "lateness left null without delivery date": F.col("is_late").isNull(),
             },
         ),
-        audit(raw("order_items"), "order_items", {"text that is no timestamp set to null": _unparsed(["shipping_limit_date"])}),
+        audit(raw("order_items"), "order_items", {UNPARSED: _unparsed(["shipping_limit_date"])}),
         audit(
             raw("order_payments"),
             "order_payments",
@@ -173,4 +190,7 @@ def cleaning_audit(raw: Raw, staged: Callable[[str], DataFrame]) -> DataFrame:
     parts.append(
         audit(zips, "geolocation", {"points merged per zip prefix": F.lit(False)}, row_count(points.distinct()))
     )
+    dates = ["review_creation_date", "review_answer_timestamp"]
+    parts.append(audit(raw("order_reviews"), "order_reviews", {UNPARSED: _unparsed(dates)}))
+    parts += [audit(PREPARE[e](raw), e, {UNFIT: _unfit(e)}) for e in STAGING_TYPES]
     return union_all(parts)

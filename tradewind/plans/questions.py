@@ -216,7 +216,9 @@ def delay_vs_score(model) -> DataFrame:
 def at_risk_categories(model) -> DataFrame:
     # One row per order and category: a review counts once for every category in its order, and
     # the value comes along so that items are read and shuffled once.
-    order_category = _by_category(model).groupBy("order_id", "category").agg(F.sum("price").alias("_value"))
+    # Dealt by order, they are also shuffled once for this sum and for the join on the order.
+    dealt = _by_category(model).select("order_id", "category", "price").repartition("order_id")
+    order_category = dealt.groupBy("order_id", "category").agg(F.sum("price").alias("_value"))
     scores = model.fact_reviews.select("order_id", "review_score", F.lit(1).alias("_review"))
     per_category = (
         order_category.join(scores, "order_id", "left")
@@ -253,14 +255,23 @@ def at_risk_categories(model) -> DataFrame:
 
 
 def freight_burden(model, min_items: int = 100, top: int = 15) -> DataFrame:
+    # Items are summed per product before they meet the dimension.
+    items = model.fact_order_items.groupBy("product_key").agg(
+        _n().alias("_items"),
+        F.count("price").alias("_prices"),
+        F.count("freight_value").alias("_freights"),
+        F.sum("price").alias("_price"),
+        F.sum("freight_value").alias("_freight"),
+    )
+    products = model.dim_product.select("product_key", F.col("category_name_english").alias("category"))
     return (
-        _by_category(model)
+        items.join(products, "product_key")
         .groupBy("category")
         .agg(
-            _n().alias("items_sold"),
-            _mean("price").alias("avg_price"),
-            _mean("freight_value").alias("avg_freight"),
-            ratio(F.sum("freight_value"), F.sum("price"), 2, 100).alias("freight_pct"),
+            F.sum("_items").alias("items_sold"),
+            ratio(F.sum("_price"), F.sum("_prices")).alias("avg_price"),
+            ratio(F.sum("_freight"), F.sum("_freights")).alias("avg_freight"),
+            ratio(F.sum("_freight"), F.sum("_price"), 2, 100).alias("freight_pct"),
         )
         .filter(F.col("items_sold") >= min_items)
         .orderBy(F.desc("freight_pct"), "category")
@@ -289,7 +300,9 @@ def payment_mix(model) -> DataFrame:
 
 def seller_watchlist(model, min_orders: int = 30, top: int = 20) -> DataFrame:
     # One row per seller and order; value comes along so that items are read once.
-    seller_order = model.fact_order_items.groupBy("seller_key", "order_id").agg(F.sum("price").alias("_value"))
+    # Dealt by order, items are shuffled once for this sum and for the joins on the order.
+    items = model.fact_order_items.select("seller_key", "order_id", "price").repartition("order_id")
+    seller_order = items.groupBy("seller_key", "order_id").agg(F.sum("price").alias("_value"))
     late = model.fact_orders.select("order_id", "is_late")
     scores = model.fact_reviews.select("order_id", "review_score")
     performance = (

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import date_key, month_key
 from tradewind.operators.calendar import calendar_for
+from tradewind.operators.cleaning import lookup
 from tradewind.operators.keys import with_dense_key
 
 # Facts are stored by purchase month. The column repeats what purchase_date_key says,
@@ -44,13 +45,13 @@ def build_dimension(df: DataFrame, key: str, columns: Mapping[str, str]) -> Data
 
 
 def locate(df: DataFrame, geo: DataFrame) -> DataFrame:
-    """Coordinates of the zip prefix; ``geo`` holds one row per prefix."""
+    """Coordinates of the zip prefix; the job fails if ``geo`` holds a prefix twice."""
     points = geo.select(
         F.col("geolocation_zip_code_prefix").alias("zip_code_prefix"),
         F.col("geolocation_lat").alias("latitude"),
         F.col("geolocation_lng").alias("longitude"),
     )
-    return df.join(points, "zip_code_prefix", "left").select(*df.columns, "latitude", "longitude")
+    return lookup(df, points, "zip_code_prefix", {"latitude": None, "longitude": None})
 
 
 def build_dim_date(stg_orders: DataFrame, stg_reviews: DataFrame) -> DataFrame:

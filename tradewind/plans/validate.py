@@ -22,10 +22,15 @@ LOADED = {
     "products": ("products", "dim_product"),
 }
 
+DATE_COLUMNS = [
+    *("date_key", "full_date", "year", "quarter", "quarter_label", "month", "month_name", "month_short"),
+    *("year_month", "day_of_month", "day_of_week", "day_name", "is_weekend"),
+]
 REQUIRED = {
-    "dim_customer": ["customer_id", "customer_unique_id"],
-    "dim_seller": ["seller_id"],
-    "dim_product": ["product_id", "category_name", "category_name_english"],
+    "dim_date": DATE_COLUMNS,
+    "dim_customer": ["customer_key", "customer_id", "customer_unique_id"],
+    "dim_seller": ["seller_key", "seller_id"],
+    "dim_product": ["product_key", "product_id", "category_name", "category_name_english"],
     "fact_orders": [
         "order_id",
         "purchase_date_key",
@@ -33,6 +38,7 @@ REQUIRED = {
         "purchase_timestamp",
         "is_delivered",
         "is_cancelled",
+        "customer_key",
     ],
     "fact_order_items": [
         "order_id",
@@ -41,6 +47,9 @@ REQUIRED = {
         "order_status",
         "price",
         "freight_value",
+        "customer_key",
+        "product_key",
+        "seller_key",
     ],
     "fact_payments": [
         "order_id",
@@ -49,6 +58,7 @@ REQUIRED = {
         "payment_type",
         "payment_installments",
         "payment_value",
+        "customer_key",
     ],
     "fact_reviews": [
         "review_id",
@@ -58,9 +68,14 @@ REQUIRED = {
         "has_comment",
         "is_negative",
         "is_positive",
+        "customer_key",
     ],
 }
-UNIQUE = {table: [natural] for table, (_, natural) in star.DIMENSION_KEYS.items()} | star.FACT_GRAIN
+UNIQUE = (
+    {"dim_date": [["date_key"], ["full_date"]]}
+    | {table: [[natural], [key]] for table, (key, natural) in star.DIMENSION_KEYS.items()}
+    | {fact: [grain] for fact, grain in star.FACT_GRAIN.items()}
+)
 DATE_REFERENCES = {
     "fact_orders": ["purchase_date_key", "delivered_date_key", "estimated_date_key"],
     "fact_order_items": ["purchase_date_key"],
@@ -113,7 +128,7 @@ def constraints(wh: Warehouse) -> DataFrame:
                 table,
                 wh.table(table),
                 not_null=REQUIRED[table],
-                unique=[UNIQUE[table]],
+                unique=UNIQUE[table],
                 references={
                     c: parents[c] for c in [*DATE_REFERENCES.get(table, []), *KEY_REFERENCES.get(table, [])]
                 },

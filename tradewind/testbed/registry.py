@@ -193,11 +193,16 @@ _AUDIT_SQL = union_sql(
         "count(*) FILTER (product_category_name_english = 'Unknown') FROM stg_products",
         "SELECT 'geolocation', 'exact duplicates removed', (SELECT count(*) FROM raw_geolocation), count(*), 0 FROM geo_points",
         "SELECT 'geolocation', 'points merged per zip prefix', (SELECT count(*) FROM geo_points), count(*), 0 FROM stg_geolocation",
+        "SELECT 'order_reviews', 'text that is no timestamp set to null', count(*), count(*), 0 FROM raw_order_reviews",
+        *[
+            f"SELECT '{e}', 'value that does not fit its type set to null', count(*), count(*), 0 FROM stg_{e}"
+            for e in STAGING_TYPES
+        ],
     ]
 )
 _AUDIT_TABLES = (
-    "raw_orders stg_orders raw_order_items raw_order_payments raw_order_reviews stg_order_reviews raw_customers "
-    "raw_sellers stg_products raw_geolocation geo_points stg_geolocation"
+    "raw_orders raw_order_items raw_order_payments raw_order_reviews raw_customers raw_sellers raw_geolocation "
+    f"geo_points {ALL_STAGED}"
 )
 
 
@@ -723,27 +728,74 @@ def _(wh):
     return validate.fanout(wh)
 
 
+# The rules of the published model, written out here on their own: table, columns that must be
+# present, unique column sets, dates that dim_date must have. A surrogate key stands for its natural key.
+_RULES = [
+    (
+        "dim_date",
+        "date_key full_date year quarter quarter_label month month_name month_short year_month day_of_month "
+        "day_of_week day_name is_weekend",
+        ["date_key", "full_date"],
+        "",
+    ),
+    ("dim_customer", "customer_key customer_id customer_unique_id", ["customer_id", "customer_key"], ""),
+    ("dim_seller", "seller_key seller_id", ["seller_id", "seller_key"], ""),
+    ("dim_product", "product_key product_id category_name category_name_english", ["product_id", "product_key"], ""),
+    (
+        "fact_orders",
+        "order_id purchase_date_key order_status purchase_timestamp is_delivered is_cancelled customer_key",
+        ["order_id"],
+        "purchase_date_key delivered_date_key estimated_date_key",
+    ),
+    (
+        "fact_order_items",
+        "order_id order_item_id purchase_date_key order_status price freight_value customer_key product_key seller_key",
+        ["order_id order_item_id"],
+        "purchase_date_key",
+    ),
+    (
+        "fact_payments",
+        "order_id payment_sequential purchase_date_key payment_type payment_installments payment_value customer_key",
+        ["order_id payment_sequential"],
+        "purchase_date_key",
+    ),
+    (
+        "fact_reviews",
+        "review_id order_id purchase_date_key review_score has_comment is_negative is_positive customer_key",
+        ["order_id"],
+        "purchase_date_key review_date_key",
+    ),
+]
+_NATURAL = {"customer_key": "customer_id", "product_key": "product_id", "seller_key": "seller_id"}
+
+
 def _constraint_sql() -> str:
     parts = []
-    for t in validate.REQUIRED:
-        for c in validate.REQUIRED[t]:
-            parts.append(f"SELECT '{t}' AS table_name, 'not null' AS rule, '{c}' AS columns, count(*) FILTER ({c} IS NULL) AS violations FROM {t}")
-        k = validate.UNIQUE[t]
-        parts.append(
-            f"SELECT '{t}', 'unique', '{' + '.join(k)}', (SELECT count(*) FROM {t}) - "
-            f"(SELECT count(*) FROM (SELECT DISTINCT {', '.join(k)} FROM {t}))"
-        )
-        for c in validate.DATE_REFERENCES.get(t, []):
+    for t, required, unique, dates in _RULES:
+        for c in required.split():
+            n = _NATURAL.get(c, c)
+            parent = f" OR {n} NOT IN (SELECT {n} FROM dim_{c.replace('_key', '')})" if c in _NATURAL and t.startswith("fact") else ""
             parts.append(
-                f"SELECT '{t}', 'foreign key', '{c}', count(*) FROM {t} WHERE {c} IS NOT NULL "
-                f"AND {c} NOT IN (SELECT date_key FROM dim_date)"
+                f"SELECT '{t}' AS table_name, 'not null' AS rule, '{c}' AS columns, "
+                f"count(*) FILTER ({n} IS NULL{parent}) AS violations FROM {t}"
             )
-        for c in validate.KEY_REFERENCES.get(t, []):
-            natural = c.replace("_key", "_id")
+        for k in map(str.split, unique):
+            natural = ", ".join(_NATURAL.get(c, c) for c in k)
             parts.append(
-                f"SELECT '{t}', 'foreign key', '{c}', count(*) FROM {t} WHERE {natural} NOT IN "
-                f"(SELECT {natural} FROM dim_{c.replace('_key', '')})"
+                f"SELECT '{t}', 'unique', '{' + '.join(k)}', (SELECT count(*) FROM {t}) - "
+                f"(SELECT count(*) FROM (SELECT DISTINCT {natural} FROM {t}))"
+            )
+        for c in dates.split():
+            parts.append(
+                f"SELECT '{t}', 'foreign key', '{c}', count(*) FROM {t} WHERE {c} IS NOT NULL "
+                f"AND {c} NOT IN (SELECT date_key FROM dim_date)"
             )
+        for c in required.split() if t.startswith("fact") else []:
+            if c in _NATURAL:
+                parts.append(
+                    f"SELECT '{t}', 'foreign key', '{c}', count(*) FROM {t} WHERE {_NATURAL[c]} NOT IN "
+                    f"(SELECT {_NATURAL[c]} FROM dim_{c.replace('_key', '')})"
+                )
     return f"SELECT *, violations = 0 AS passed FROM ({union_sql(parts)})"
 
 
