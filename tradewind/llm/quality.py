@@ -140,6 +140,8 @@ def _matrix(rows: DataFrame, id_col: str, text_col: str) -> np.ndarray:
     # In the order of ids: the fit draws batches by position.
     slim = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     made = append_columns(slim, "text", make, {"x": "array<float>"}).select("id", "x").toArrow().sort_by("id")
+    if not made.num_rows:
+        return np.zeros((0, 1))
     flat = made.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(made.num_rows, -1).astype(np.float64)
 
