@@ -88,7 +88,10 @@ def repeated_runs(docs: DataFrame, run_words: int = 50, gram_words: int = 25, id
         F.sum("l.words").alias("words"), F.min("l.pos").alias("first"), F.max("l.pos").alias("last")
     )
     found = runs.filter(F.col("words") >= run_words).groupBy("id", "th").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
-    return steps.keep(found, "runs")
+    found = steps.keep(found, "runs")
+    for name in ("lines", "grams", "packed"):
+        steps.drop(name)
+    return found
 
 
 def dedup_lines(
