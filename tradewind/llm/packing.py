@@ -10,7 +10,6 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +18,22 @@ from tradewind.llm.common import Steps, fresh, table
 # ASCII punctuation that the tokenizer's pattern always keeps in one run of its own after a letter.
 TAIL = ".,!;:?$%&*#"
 SPECIAL = b"<|"
-WORDS_KEPT = 600_000
+WORDS_KEPT = 350_000
+
+
+def _byte_characters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it can be shown."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = iter(range(256, 512))
+    return [chr(b if b in shown else next(hidden)) for b in range(256)]
+
+
+BYTE_CHARACTERS = _byte_characters()
+
+
+def letters(text: str) -> str:
+    """Normal form and lower case, one character at a time, as the tokenizer takes them."""
+    return "".join(map(str.lower, unicodedata.normalize("NFC", text)))
 
 
 class WordIds(dict):
@@ -40,10 +54,14 @@ class WordIds(dict):
             self.clear()
         text = word.decode()
         core = text.rstrip(TAIL)
-        if core != text and unicodedata.normalize("NFC", core).lower().isalpha():
+        if core != text and letters(core).isalpha():
             ids = self[core.encode()] + self[text[len(core) :].encode()]
         elif word.isascii() and SPECIAL not in word and (low := word.lower()) != word:
             ids = self[low]
+        elif (plain := letters(text)).isalpha():
+            # One run of letters: beyond normal form and case, the vocabulary's merges are all there is to do.
+            shown = plain if plain.isascii() else "".join(map(BYTE_CHARACTERS.__getitem__, plain.encode()))
+            ids = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], dtype="<u4").tobytes()
         else:
             ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         self[word] = ids
@@ -93,7 +111,7 @@ def pieces(
                 for start in range(0, len(ids), step):
                     run = ids[start : start + step]
                     at.append(i)
-                    cut.append((start // 4, len(run) // 4, zlib.crc32(run), len(ids) // 4, run))
+                    cut.append((start // 4, len(run) // 4, zlib.crc32(run), len(ids) // 4, run if with_ids else None))
             columns = list(zip(*cut, strict=True)) if cut else [()] * 5
             arrays = [batch.column("doc_id").take(pa.array(at, pa.int64()))]
             arrays += [pa.array(c, pa.int64()) for c in columns[:4]]
