@@ -328,6 +328,11 @@ def test_mixing_meets_its_weights(spark, docs):
         assert (part.tokens.cumsum() - part.tokens == part.offset).all()
 
 
+def test_mixing_draws_the_same_again(docs):
+    drawn = lambda df: sorted((r.doc_id, r["pass"], r.offset) for r in mixing.mix(df)[0].collect())
+    assert drawn(docs.repartition(5)) == drawn(docs.coalesce(1))
+
+
 @pytest.mark.parametrize("target", [0.5, 0.9])
 def test_exponent_reaches_the_entropy(spark, target):
     tokens = np.array([1000.0, 100.0, 10.0, 1.0])

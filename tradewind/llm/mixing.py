@@ -101,11 +101,18 @@ def mix(
     steps = Steps(docs.sparkSession)
     names = {n: fresh(n, docs.columns) for n in ("tokens", "pass", "offset", "weight", "block", "place")}
     row, group = fresh("mix_row_", docs.columns), fresh("mix_source_", docs.columns)
+    # Permutations follow from what a row holds, so a rerun draws the same; only equal rows tie.
+    print_ = fresh("mix_print_", docs.columns)
+    hashed = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
     keyed = docs.withColumns(
-        {names["tokens"]: count_tokens(F.col(text_col)), group: F.to_json(F.struct(F.col(source_col).alias("s")))}
+        {
+            names["tokens"]: count_tokens(F.col(text_col)),
+            group: F.to_json(F.struct(F.col(source_col).alias("s"))),
+            print_: F.xxhash64(*hashed),
+        }
     )
     stored = steps.keep(keyed, "documents").withColumn(row, F.monotonically_increasing_id())
-    slim = stored.select(F.col(row).alias("r"), F.col(group).alias("g"), F.col(names["tokens"]).alias("n"))
+    slim = stored.select(F.col(row).alias("r"), F.col(group).alias("g"), F.col(names["tokens"]).alias("n"), F.col(print_).alias("p"))
     sources = steps.keep(slim.groupBy("g").agg(F.sum("n").alias("t"), F.count(F.lit(1)).alias("rows")), "sources")
     live = sources.filter("t > 0")
     total, most, rows = sources.agg(F.sum("t"), F.max("t"), F.sum("rows")).first()
@@ -120,7 +127,7 @@ def mix(
     parts = max(1, -(-rows // per_task))
     drawn = slim.join(weighted.select("g", "t", "w", "q", "passes"), "g")
     drawn = drawn.withColumn("e", F.explode(F.sequence(F.lit(0), F.col("passes"))))
-    drawn = drawn.withColumn("key", F.xxhash64("r", "e", F.lit(seed)))
+    drawn = drawn.withColumn("key", F.xxhash64("p", "e", F.lit(seed)))
     drawn = drawn.withColumn("part", F.pmod(F.shiftright("key", 17), F.lit(parts)))
     inside = Window.partitionBy("g", "e", "part").orderBy("key", "r")
     placed = drawn.withColumn("inside", F.sum("n").over(inside) - F.col("n"))
