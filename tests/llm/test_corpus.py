@@ -304,6 +304,33 @@ def test_later_runs_of_lines_go(documents):
     assert kept == want
 
 
+def test_repeats_whose_lines_first_occur_apart(documents):
+    lines = [passage(tag, 30) for tag in "abc"]
+    rows = [(i, f"only {i}\n{line}\nend {i}", "en", "s") for i, line in enumerate(lines)]
+    rows += [(10, "\n".join(["x", *lines, "y"]), "en", "s"), (11, "\n".join(["z", *lines, "end"]), "en", "s")]
+    kept = {r.doc_id: r.text for r in line_dedup.dedup_lines(documents(rows))[0].collect()}
+    assert kept == {d: t for d, t, _, _ in rows} | {11: "z\nend"}
+
+
+def test_no_later_run_of_lines_is_missed(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    runs = {r.id: [(x["first"], x["last"]) for x in r.runs] for r in line_dedup.repeated_runs(docs).collect()}
+    seen, later = set(), 0
+    for r in docs.orderBy("doc_id").collect():
+        lines = [(p, x.rstrip(" "), len(x.encode().split())) for p, x in enumerate((r.text or "").split("\n"))]
+        lines = [x for x in lines if x[2]]
+        for i in range(len(lines)):
+            ends = [j for j, n in enumerate(itertools.accumulate(x[2] for x in lines[i : i + 50]), i) if n >= 50]
+            if not ends:
+                break
+            run = lines[i : ends[0] + 1]
+            if (key := tuple(x[1] for x in run)) in seen:
+                later += 1
+                assert all(any(a <= p <= b for a, b in runs[r.doc_id]) for p, _, _ in run)
+            seen.add(key)
+    assert later > 100
+
+
 def test_line_dedup_keeps_every_long_line_once(spark, texts):
     rows = QUERIES["op2_winnowing_lines"](spark, SMALL).collect()
     long = lambda ts: Counter(x.rstrip(" ") for t in ts for x in t.split("\n") if len(x.encode().split()) >= 50)

@@ -30,39 +30,42 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def winnow(lines: DataFrame, run_words: int, gram_words: int) -> DataFrame:
-    """(id, th, gram, idx): the selected grams of every text.
+    """(id, th, gram, run, idx): the selected grams of every text, once for each run that selects them.
 
     A gram is the shortest run of lines from its first line with ``gram_words`` words. From every
     line on, the smallest of the grams that begin within ``run_words`` - ``gram_words`` words is
     selected. These all end within the shortest run of ``run_words`` words from that line, so two
-    equal runs of that many words have a selected gram in common.
+    equal runs of that many words have a selected gram in common, at the same place in both.
+    ``run`` is the hash of the run: a gram may also stand elsewhere, amid other lines.
     """
     along = Window.partitionBy("id", "th").orderBy("start")
     gram = along.rangeBetween(0, gram_words - 1)
     full = F.sum("words").over(gram) >= gram_words
     grams = lines.withColumn("gram", F.when(full, F.xxhash64(F.collect_list("h").over(gram))))
     least = F.min(F.when(F.col("gram").isNotNull(), F.struct("gram", "idx"))).over(along.rangeBetween(0, run_words - gram_words))
-    whole = F.sum("words").over(along.rangeBetween(0, run_words - 1)) >= run_words
-    picked = grams.select("id", "th", F.when(whole, least).alias("m")).filter("m is not null")
-    return picked.select("id", "th", "m.gram", "m.idx").distinct()
+    run = along.rangeBetween(0, run_words - 1)
+    whole = F.sum("words").over(run) >= run_words
+    picked = grams.select("id", "th", F.when(whole, least).alias("m"), F.xxhash64(F.collect_list("h").over(run)).alias("run"))
+    return picked.filter("m is not null").select("id", "th", "m.gram", "run", "m.idx")
 
 
 def repeated_runs(docs: DataFrame, run_words: int = 50, gram_words: int = 25, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th, runs): line positions, first and last, of the later repeats in each text (of hash th).
 
     A selected gram is matched with the one before it in the same text, or else with its first
-    occurrence in the order of ids and text hashes; a gram has one match, so a gram that a third of
-    all texts share adds one row each. A match gives a diagonal, a pair of texts with a shift,
-    along which equal lines are extended both ways. Runs of at least ``run_words`` words count.
-    Every match lies earlier, so the first occurrence of a run always stays.
+    occurrence in the order of ids and text hashes, in both cases among those that an equal run
+    selects: so every later run of ``run_words`` words meets an earlier one. A gram has one match a
+    run, so a passage that a third of all texts share adds a few rows each. A match gives a
+    diagonal, a pair of texts with a shift, along which equal lines are extended both ways. Runs of
+    at least ``run_words`` words count. Every match lies earlier, so the first of them always stays.
     """
     steps = Steps(docs.sparkSession)
     lines = steps.keep(line_table(docs, id_col, text_col), "lines")
     grams = steps.keep(winnow(lines, run_words, gram_words), "grams")
     place = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("th"), F.col("idx"))
-    first = grams.groupBy("gram").agg(F.min(place).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    same = Window.partitionBy("id", "th", "gram").orderBy("idx")
-    met = grams.withColumn("before", F.lag("idx").over(same)).join(first.select("gram", "f"), "gram")
+    first = grams.groupBy("gram", "run").agg(F.min(place).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    same = Window.partitionBy("id", "th", "gram", "run").orderBy("idx")
+    met = grams.withColumn("before", F.lag("idx").over(same)).join(first.select("gram", "run", "f"), ["gram", "run"])
     met = met.filter(F.col("before").isNotNull() | (F.col("f") != place))
     own = F.col("before").isNotNull()
     diagonals = met.select(
