@@ -56,8 +56,19 @@ CASES = {
 @pytest.mark.parametrize("case", CASES)
 def test_tiles_equal_a_global_ntile(frame, case, tiles):
     df = frame("v decimal(22,2)", [(v,) for v in CASES[case]])
-    got = sorted(tuple(r) for r in tile_summary(df, "v", tiles).collect())
-    assert got == expected_tiles(CASES[case], tiles)
+    rows = tile_summary(df, "v", tiles).collect()
+    assert sorted(tuple(r)[:5] for r in rows) == expected_tiles(CASES[case], tiles)
+    assert all(r.n_valued == r.n for r in rows)
+
+
+def test_rows_without_a_value_are_in_the_last_tiles(frame):
+    df = frame("v decimal(22,2)", [(cents(-300),), (None,), (cents(500),), (None,), (None,)])
+    got = sorted(tuple(r) for r in tile_summary(df, "v", 3).collect())
+    assert got == [
+        (1, 2, cents(-300), cents(500), cents(200), 2),
+        (2, 2, None, None, None, 0),
+        (3, 1, None, None, None, 0),
+    ]
 
 
 def test_tiles_never_rank_rows_in_one_task(frame):

@@ -38,7 +38,8 @@ def tile_summary(df: DataFrame, value: str, tiles: int) -> DataFrame:
     """Split rows into ``tiles`` equal groups by descending ``value`` and sum each up.
 
     Same groups as ``ntile(tiles)`` over a global order: sizes differ by at most
-    one, larger groups first. Gives tile, rows, min, max and total of the value.
+    one, larger groups first. Gives tile, rows, min, max and total of the value, and
+    the rows that have one. Rows without a value rank last, as in a descending order.
 
     Rows of equal value are interchangeable here, so the work is done on a
     histogram of the distinct values: however many rows share one value, they are
@@ -47,11 +48,11 @@ def tile_summary(df: DataFrame, value: str, tiles: int) -> DataFrame:
     every retry agrees); ranks come from a running count inside each bucket plus
     the rows in the buckets above.
     """
+    bucket = _magnitude_bucket(F.col(value), df.schema[value].dataType.scale)
     histogram = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(value)
+        df.groupBy(value)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", _magnitude_bucket(F.col(value), df.schema[value].dataType.scale))
+        .withColumn("_bucket", F.coalesce(bucket, F.lit(-(1 << 62))))
     )
     # One row per bucket, at most 9000 for each number of digits and sign, with where the bucket
     # starts in the whole order and how the whole splits into tiles.
@@ -92,6 +93,7 @@ def tile_summary(df: DataFrame, value: str, tiles: int) -> DataFrame:
         F.min(value).alias("min_value"),
         F.max(value).alias("max_value"),
         F.sum(F.col(value) * F.col("_rows").cast("decimal(18,0)")).cast("decimal(22,2)").alias("total"),
+        F.sum(F.when(F.col(value).isNotNull(), F.col("_rows")).otherwise(0)).alias("n_valued"),
     )
 
 

@@ -29,6 +29,11 @@ def _mean(c: str) -> Column:
     return ratio(F.sum(c), F.count(c))
 
 
+def _total(c: str) -> Column:
+    """Sum of money in the type of a single sum, also where the column already holds sums."""
+    return F.sum(c).cast("decimal(22,2)")
+
+
 def _meet(frames: list[DataFrame], by: By) -> DataFrame:
     """Full outer meeting of aggregates on their groups; a null group meets a null group.
 
@@ -89,18 +94,18 @@ def new_customers(model, period: str = "year_month") -> DataFrame:
 
 
 def merchandise(model, by: By = (), where: Where | None = None) -> DataFrame:
+    values = ["price", "freight_value"]
     return (
-        slice_fact(model, "fact_order_items", by, where)
+        slice_fact(model, "fact_order_items", by, where, sums=values)
         .groupBy(*by)
-        .agg(F.sum("price").alias("merchandise_value"), F.sum("freight_value").alias("freight_value"))
+        .agg(*[_total(c).alias(n) for c, n in zip(values, ("merchandise_value", "freight_value"), strict=True)])
     )
 
 
 def financials(model, by: By = (), where: Where | None = None) -> DataFrame:
     """Merchandise, freight and payment value, each from its own fact, never added up."""
-    paid = (
-        slice_fact(model, "fact_payments", by, where).groupBy(*by).agg(F.sum("payment_value").alias("payment_value"))
-    )
+    value = "payment_value"
+    paid = slice_fact(model, "fact_payments", by, where, sums=[value]).groupBy(*by).agg(_total(value).alias(value))
     return _meet([merchandise(model, by, where), paid], by)
 
 

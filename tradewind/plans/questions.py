@@ -346,7 +346,7 @@ def spend_quartiles(model, tiles: int = 4) -> DataFrame:
         F.col("n").alias("customers"),
         F.col("min_value").alias("min_spend"),
         F.col("max_value").alias("max_spend"),
-        ratio(F.col("total"), F.col("n")).alias("avg_spend"),
+        ratio(F.col("total"), F.col("n_valued")).alias("avg_spend"),
         share(F.col("total")).alias("pct_of_revenue"),
     ).orderBy("spend_quartile")
 

@@ -70,9 +70,10 @@ def conformed_totals(model, dates: Where | None = None, customers: Where | None
 def propagate(items: DataFrame, group: Sequence[str], order_fact: DataFrame) -> DataFrame:
     """Order-level rows once per group that sold something in the order.
 
-    The order ids of a group filter the order fact; items never multiply it.
+    The order ids of a group filter the order fact; items never multiply it. Dealt by order,
+    items are shuffled once for the distinct pairs and for the join on the order.
     """
-    return items.select(*group, "order_id").distinct().join(order_fact, "order_id")
+    return items.select(*group, "order_id").repartition("order_id").distinct().join(order_fact, "order_id")
 
 
 def scores_by_category(model) -> DataFrame:

@@ -104,13 +104,18 @@ def month_bounds(where: Where) -> Column | None:
     return None
 
 
-def slice_fact(model, fact: str, by: By = (), where: Where | None = None) -> DataFrame:
+def slice_fact(model, fact: str, by: By = (), where: Where | None = None, sums: Sequence[str] = ()) -> DataFrame:
     """The fact with the attributes in ``by``, filtered by ``where``.
 
     Names are attributes of a dimension or columns of the fact itself. A filter on
     a dimension goes to that dimension before the join. The calendar is joined on
     the month as well as the day: the month is the partition column, so a filter on
     any calendar attribute prunes the files of the fact.
+
+    ``sums`` names the measures of a caller that only adds them up. They are then summed per
+    key before the joins, so that a large dimension meets a row per key instead of the raw
+    rows. With two dimensions besides the calendar, pairs of keys are nearly as many as rows and
+    the sum would only be a further shuffle: rows are joined as they are.
     """
     where = dict(where or {})
     df: DataFrame = getattr(model, fact)
@@ -121,6 +126,13 @@ def slice_fact(model, fact: str, by: By = (), where: Where | None = None) -> Dat
     for name in [n for n in where if n in known]:
         df = df.filter(condition(F.col(name), where.pop(name)))
     missing = [n for n in dict.fromkeys([*by, *where]) if n not in known]
+    joined = [link for link in LINKS if link.fact_key in known and not link.attributes.keys().isdisjoint(missing)]
+    if sums and joined and sum(link.table != "dim_date" for link in joined) <= 1:
+        keys = [link.fact_key for link in joined]
+        if MONTH_PARTITION in known and "purchase_date_key" in keys:
+            keys.append(MONTH_PARTITION)
+        keys = dict.fromkeys([*keys, *[n for n in by if n in known]])
+        df = df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
     for link in LINKS:
         wanted = [n for n in missing if n in link.attributes]
         if not wanted:

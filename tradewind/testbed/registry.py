@@ -29,7 +29,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 _warehouses: dict[tuple[str, str], Warehouse] = {}
-_lock = threading.Lock()
+_written: dict[tuple[str, str], object] = {}
+_lock = threading.RLock()
 
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
@@ -67,11 +68,6 @@ def union_sql(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def bucket_sql(days: str, buckets) -> str:
-    cases = " ".join(f"WHEN {days} <= {bound} THEN '{text}'" for bound, text in buckets[:-1])
-    return f"CASE {cases} ELSE '{buckets[-1][1]}' END"
-
-
 def col_list(columns: list[str], text: tuple[str, ...] = ()) -> str:
     return ", ".join(f"CAST({c} AS VARCHAR) AS {c}" if c in text else c for c in columns)
 
@@ -91,10 +87,18 @@ ALL_FACTS = " ".join(FACTS)
 # ---------------------------------------------------------------- sources and sinks
 
 
+def once(wh: Warehouse, name: str, make: Callable[[], object]):
+    """What a query writes for itself, kept with its warehouse: a second call leaves no second copy."""
+    with _lock:
+        if (wh.root, name) not in _written:
+            _written[wh.root, name] = make()
+        return _written[wh.root, name]
+
+
 def _csv_folder(wh: Warehouse, entities: list[str]) -> str:
-    folder = f"{work_dir(wh.spark)}/raw_csv"
+    folder = f"{wh.root}/raw_csv"
     for e in entities:
-        files.write_csv(wh.raw(e), f"{folder}/{e}.csv")
+        once(wh, f"{e}.csv", lambda e=e: files.write_csv(wh.raw(e), f"{folder}/{e}.csv"))
     return folder
 
 
@@ -137,9 +141,9 @@ _STAGED_COUNTS = [f"SELECT 'stg_{e}' AS table_name, count(*) AS row_count FROM s
 
 @query("write_clean", ALL_STAGED, union_sql(_STAGED_COUNTS))
 def _(wh):
-    folder = work_dir(wh.spark)
     written = {
-        f"stg_{e}": files.write_table(prepare.PREPARE[e](wh.raw), f"{folder}/{e}") for e in prepare.PREPARE
+        f"stg_{e}": once(wh, f"clean_{e}", lambda e=e: files.write_table(prepare.PREPARE[e](wh.raw), f"{wh.root}/clean_{e}"))
+        for e in prepare.PREPARE
     }
     return quality.row_counts(written)
 
@@ -154,6 +158,67 @@ def _(wh):
     return wh.staged("order_items")
 
 
+_GEO_SQL = {
+    "geolocation_zip_code_prefix": "zip",
+    "geolocation_lat": "lat",
+    "geolocation_lng": "lng",
+    "geolocation_city": "city",
+    "geolocation_state": "state",
+}
+
+
+def _content_sql(column: str, kind: str) -> str:
+    if kind == "string":
+        return f"length({column})"
+    if kind == "boolean":
+        return f"CAST({column} AS INTEGER)"
+    if kind == "timestamp_ntz":
+        return f"({sql_date_key(column)} * 100 + hour({column}))"
+    return f"CAST({column} AS DECIMAL(20,8))"
+
+
+def _content(column: str, kind: str):
+    c = F.col(column)
+    if kind == "string":
+        return F.length(c)
+    if kind == "boolean":
+        return c.cast("int")
+    if kind == "timestamp_ntz":
+        return date_key(c).cast("long") * 100 + F.hour(c)
+    return c.cast("decimal(20,8)")
+
+
+@query(
+    "stage_typed_columns",
+    ALL_STAGED,
+    union_sql(
+        [
+            f"SELECT 'stg_{e}' AS table_name, '{c}' AS column_name, count(*) AS table_rows, count({s}) AS non_null, "
+            f"round(CAST(sum({_content_sql(s, t)}) AS DOUBLE), 4) AS content_sum FROM stg_{e}"
+            for e, types in STAGING_TYPES.items()
+            for c, t in types.items()
+            for s in [_GEO_SQL.get(c, c)]
+        ]
+    ),
+)
+def _(wh):
+    """Every column of every typed staging table: rows, values, and a sum over what the values hold."""
+    tables = []
+    for e, types in STAGING_TYPES.items():
+        sums = [F.sum(_content(c, t)).cast("double") for c, t in types.items()]
+        totals = wh.staged(e).agg(
+            F.count(F.lit(1)).alias("table_rows"),
+            F.array(
+                *[
+                    F.struct(F.lit(c).alias("column_name"), F.count(c).alias("non_null"), F.round(s, 4).alias("content_sum"))
+                    for c, s in zip(types, sums, strict=True)
+                ]
+            ).alias("columns"),
+        )
+        tables.append(totals.select(F.lit(f"stg_{e}").alias("table_name"), "table_rows", F.inline("columns")))
+    return profiling.union_all([t.select("table_name", "column_name", "table_rows", "non_null", "content_sum") for t in tables])
+
+
 @query(
     "stage_verify",
     ALL_STAGED,
@@ -237,8 +302,12 @@ def _(wh):
     f"SELECT table_name, row_count AS first_build, row_count AS second_build FROM ({_MODEL_SQL})",
 )
 def _(wh):
-    other = Warehouse(wh.spark, wh.raw, work_dir(wh.spark), staging=wh)
-    other.rebuild_model()
+    def rebuilt():
+        other = Warehouse(wh.spark, wh.raw, f"{wh.root}/rebuilt", staging=wh)
+        other.rebuild_model()
+        return other
+
+    other = once(wh, "rebuilt", rebuilt)
     first, second = (
         quality.row_counts({t: w.table(t) for t in DIMENSIONS + FACTS}).withColumnRenamed("row_count", name)
         for w, name in ((wh, "first_build"), (other, "second_build"))
@@ -925,7 +994,9 @@ def _(wh):
     "q06_second_order_gap",
     "fact_orders",
     f"SELECT gap_bucket, customers, {pct('customers', 'total')} AS pct FROM ("
-    f"SELECT *, sum(customers) OVER () AS total FROM (SELECT {bucket_sql('days', questions.GAP_BUCKETS)} AS gap_bucket, "
+    "SELECT *, sum(customers) OVER () AS total FROM (SELECT CASE WHEN days <= 0 THEN '1. Same day' "
+    "WHEN days <= 30 THEN '2. 1-30 days' WHEN days <= 90 THEN '3. 31-90 days' "
+    "WHEN days <= 180 THEN '4. 91-180 days' ELSE '5. Over 180 days' END AS gap_bucket, "
     "count(*) AS customers FROM (SELECT date_diff('day', purchase_timestamp, "
     "lead(purchase_timestamp) OVER w) AS days, row_number() OVER w AS seq FROM fact_orders "
     "WINDOW w AS (PARTITION BY customer_unique_id ORDER BY purchase_timestamp, order_id)) "
@@ -952,7 +1023,9 @@ def _(wh):
     "fact_orders fact_reviews",
     f"SELECT delay_bucket, count(*) AS reviewed_orders, {ratio('sum(review_score)', 'count(review_score)')} AS avg_review_score, "
     f"{pct('count(*) FILTER (is_negative)', 'count(*)')} AS negative_review_pct FROM ("
-    f"SELECT {bucket_sql('delivery_delay_days', questions.DELAY_BUCKETS)} AS delay_bucket, review_score, is_negative "
+    "SELECT CASE WHEN delivery_delay_days <= -10 THEN '1. 10+ days early' WHEN delivery_delay_days <= -1 THEN '2. 1-9 days early' "
+    "WHEN delivery_delay_days <= 0 THEN '3. On estimated day' WHEN delivery_delay_days <= 7 THEN '4. 1-7 days late' "
+    "WHEN delivery_delay_days <= 14 THEN '5. 8-14 days late' ELSE '6. 15+ days late' END AS delay_bucket, review_score, is_negative "
     "FROM fact_orders JOIN fact_reviews USING (order_id) WHERE delivery_delay_days IS NOT NULL) GROUP BY delay_bucket",
 )
 def _(wh):
