@@ -139,6 +139,20 @@ def test_links_near_a_crowded_key(spark):
         assert len(together) == 1 and signed[4] not in found and found[0] == found[1 << 50]
 
 
+@pytest.mark.parametrize("rows_a_task", [250_000, 50])
+def test_components_of_a_chain_a_star_and_repeats(spark, monkeypatch, rows_a_task):
+    from tradewind.llm import components
+    from tradewind.llm.common import Steps
+
+    monkeypatch.setattr(components, "ROWS_A_TASK", rows_a_task)
+    pairs = [(i, i + 1) for i in range(60)] + [(500, i) for i in range(100, 200)] + [(7, 7), (900, 901), (901, 900), (900, 901)]
+    rows = components.components(spark.createDataFrame(pairs, "a long, b long"), Steps(spark)).collect()
+    want = {i: 0 for i in range(61)} | {i: 100 for i in [*range(100, 200), 500]} | {900: 900, 901: 900}
+    assert len(rows) == len(want) and {r.node: r.root for r in rows} == want
+    none = spark.createDataFrame([(7, 7)], "a long, b long")
+    assert components.components(none, Steps(spark)).count() == 0
+
+
 def test_near_duplicates_of_awkward_rows(awkward):
     rows = simhash.near_duplicates(awkward).collect()
     zero = {(r.doc_id, r.component_id) for r in rows if r.fingerprint == "0" * 16}
