@@ -8,6 +8,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -298,6 +299,29 @@ def test_language_model_of_awkward_rows(awkward):
     assert mixing_lm.score_documents(awkward.limit(0)).count() == 0
 
 
+def test_every_word_counts_in_its_prefixes(spark, monkeypatch):
+    # More types than a table of fixed size held; the rare ones count like the others.
+    monkeypatch.setattr(mixing_lm, "GROUP", 100_000)
+    counts = {f"{i * 7919 % 100_003:x}".encode(): i % 3 for i in range(60_000)} | {b"": 9, b"a\x01": 2, b"\xff" * 40: 1}
+    words = spark.createDataFrame(list(counts.items()), "word binary, trained long")
+    heads = mixing_lm.count_heads(words)
+    bits = {w: "".join(f"{b:08b}" for b in w + b" ") for w in counts}
+    want = Counter()
+    for w, path in bits.items():
+        for d in range(len(path) + 1):
+            want[path[:d]] += counts[w]
+    seen = 0
+    for part in mixing_lm.by_head(words, 3).rdd.glom().toLocalIterator():
+        rows = [{"word": bytes(r.word), "trained": r.trained, "head": bytes(r["head"])} for r in part]
+        batches = pa.Table.from_pylist(rows).to_batches(max_chunksize=1000)
+        for _, some, prefixes in mixing_lm.with_prefixes(iter(batches), heads):
+            got = prefixes.rows(np.arange(len(some)))
+            expected = [[want[bits[w][: 8 * i + k]] for k in range(9)] for w in some for i in range(len(w) + 1)]
+            assert (got == np.array(expected)).all()
+            seen += len(some)
+    assert seen == len(counts)
+
+
 def passage(tag, words):
     return " ".join(f"{tag}{i}" for i in range(words))
 

@@ -1,10 +1,10 @@
 """Language model by logistic mixing of hashed-context bit predictors, and a unigram base.
 
 A text is a run of words, each followed by a space byte, and one more space byte as its
-end. Every byte is coded in eight binary steps. Each step is predicted from counts in seven
-hashed contexts (place in the word, the last one to four and six bytes, its whole prefix);
-a gate picks the weights that mix them in the logistic domain, and an adaptive map refines
-the result. Contexts start anew at every word, so all occurrences of a word have one
+end. Every byte is coded in eight binary steps. Each step is predicted from counts in six
+hashed contexts (place in the word, the last one to four and six bytes) and from the exact
+counts of the word's whole prefix, over all training words; a gate picks the weights that mix
+them in the logistic domain, and an adaptive map refines the result. Contexts start anew at every word, so all occurrences of a word have one
 probability, which is computed once per distinct word of the corpus.
 """
 
@@ -18,22 +18,23 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import Steps, fold, table
 
-SIZES = (12, 16, 19, 20, 21, 21, 21)
+SIZES = (12, 16, 19, 20, 21, 21)
 BLOCK = 1 << 12
-PREFIX = len(SIZES) - 1
-GATING = (3, PREFIX)
+PREFIX = len(SIZES)
+GATING = 3
+HEAD = 3
+GROUP = 1_000_000
 CHUNK = 100_000
 COUNTED = 400_000
 CLASS_PRIOR = 0.1
 LEARNED, COMMON, FORGET, CALM = 60_000, 1000, 0.8, 20.0
 N_GATES, BINS, EDGE = 32, 49, 12.0
-SLOTS_PER_WORD = 36
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -72,10 +73,6 @@ class Layout:
             if back != 5:
                 contexts.append(last)
         with np.errstate(over="ignore"):
-            powers = np.cumprod(np.full(int(length.max()), MIX[0]), dtype=np.uint64)
-            value = (data.astype(np.uint64) + np.uint64(1)) * powers[place]
-            before = np.cumsum(value, dtype=np.uint64) - value
-            contexts.append(before - np.repeat(before[first], length))
             hashes = [(c + np.uint64(j + 1)) * MIX[1] for j, c in enumerate(contexts)]
         return cls(data, first, length, hashes)
 
@@ -107,27 +104,87 @@ def refine_cell(k: int, z: np.ndarray) -> np.ndarray:
     return k * BINS + np.rint(scaled).astype(np.int64)
 
 
-def count_tables(words: list[bytes], counts: np.ndarray, least: int, tables: list[np.ndarray]) -> None:
-    """Add the bits of words, as often as they occur. The prefix table takes words from ``least`` on."""
-    for some, often in chunks(words, counts):
+def count_tables(words: list[bytes], counts: np.ndarray, size: int, tables: list[np.ndarray]) -> None:
+    """Add the bits of words, as often as they occur, in runs of about ``size`` bytes."""
+    for some, often in chunks(words, counts, size):
         layout = Layout.of(some)
         weight = np.repeat(often, layout.length).astype(np.int64)
-        admitted = weight >= least
         for k in range(8):
             bit, node = layout.step(k)
             for j in range(len(SIZES)):
-                slot = layout.slot(j, node) * 2 + bit
-                if j == PREFIX:
-                    np.add.at(tables[j], slot[admitted], weight[admitted])
-                else:
-                    np.add.at(tables[j], slot, weight)
+                np.add.at(tables[j], layout.slot(j, node) * 2 + bit, weight)
+
+
+@dataclass
+class Prefixes:
+    """How often the first bits of each string occur in all of them, for 1 to all of its bits."""
+
+    counts: np.ndarray
+    first: np.ndarray
+    length: np.ndarray
+    total: int
+
+    @classmethod
+    def of(cls, strings: list[bytes], weight: np.ndarray) -> Prefixes:
+        """``strings`` are sorted and none begins with another; ``weight`` is how often each occurs.
+
+        Strings with the same first bits are neighbours, so a count is the sum of a run. Runs change
+        only at depths at which two neighbours part.
+        """
+        length = np.array([len(x) for x in strings], dtype=np.int64)
+        first = np.cumsum(length) - length
+        data = np.frombuffer(b"".join(strings), dtype=np.uint8)
+        counts = np.repeat(weight, 8 * length)
+        shared = np.zeros(max(0, len(strings) - 1), dtype=np.int64)
+        pairs, place = np.arange(len(shared)), 0
+        while len(pairs):
+            differ = data[first[pairs] + place] ^ data[first[pairs + 1] + place]
+            shared[pairs] = 8 * place + 8 - np.frexp(differ.astype(float))[1]
+            pairs, place = pairs[differ == 0], place + 1
+        start = np.r_[0, shared][: len(strings)]
+        reach = np.maximum(start, np.r_[shared, 0][: len(strings)])
+        at, above = np.arange(len(strings)), 0
+        for level in np.unique(shared):
+            at = at[reach[at] >= level]
+            edges = start[at] <= above
+            edges[:1] = True
+            run = np.add.reduceat(weight[at], np.nonzero(edges)[0])[np.cumsum(edges) - 1]
+            for depth in range(above, level):
+                counts[8 * first[at] + depth] = run
+            above = level
+        return cls(counts, first, length, int(weight.sum()))
+
+    def continue_from(self, heads: Prefixes, number: np.ndarray) -> None:
+        """Take the counts of the first bits from ``heads``: string i begins with head ``number[i]``."""
+        bits = 8 * heads.length[number]
+        inside = np.arange(bits.sum()) - np.repeat(np.cumsum(bits) - bits, bits)
+        self.counts[np.repeat(8 * self.first, bits) + inside] = heads.counts[np.repeat(8 * heads.first[number], bits) + inside]
+        self.total = heads.total
+
+    def rows(self, which: np.ndarray) -> np.ndarray:
+        """By byte of the strings ``which``: the count before its first bit and after each of its bits."""
+        length = self.length[which]
+        ends = np.cumsum(length)
+        inside = np.arange(ends[-1]) - np.repeat(ends - length, length)
+        out = np.empty((len(inside), 9), dtype=self.counts.dtype)
+        out[:, 1:] = self.counts.reshape(-1, 8)[np.repeat(self.first[which], length) + inside]
+        out[1:, 0] = out[:-1, 8]
+        out[inside == 0, 0] = self.total
+        return out
+
+
+def pair_of(rows: np.ndarray, k: int, bit: np.ndarray) -> np.ndarray:
+    """Counts of a zero and of a one after a prefix, side by side."""
+    own = rows[:, k + 1]
+    other = rows[:, k] - own
+    return np.column_stack([np.where(bit == 1, other, own), np.where(bit == 1, own, other)])
 
 
 class Mixer:
     """Mixing weights by step and gate, learned online by Newton steps on the coding cost."""
 
     def __init__(self):
-        inputs = len(SIZES) + 1
+        inputs = len(SIZES) + 2
         self.weights = np.full((8, N_GATES, inputs), 0.05)
         self.weights[:, :, -1], self.weights[:, :, PREFIX] = 0, 0.7
         self.curvature = np.zeros((8, N_GATES, inputs, inputs)) + np.eye(inputs) * CALM
@@ -152,32 +209,36 @@ class Mixer:
 
 
 def learn_mixing(
-    words: list[bytes], counts: np.ndarray, common: tuple[list[bytes], np.ndarray], share: float,
-    least: int, tables: list[np.ndarray], mixer: Mixer, cells: np.ndarray,
+    words: list[bytes], counts: np.ndarray, prefixes: Prefixes, which: np.ndarray,
+    common: tuple[list[bytes], np.ndarray, np.ndarray], share: float,
+    tables: list[np.ndarray], mixer: Mixer, cells: np.ndarray,
 ) -> None:
     """Update mixing weights online, and count outcomes for the adaptive map.
 
     Every chunk of words comes with the corpus's most ``common`` words, each at the chunk's share
     of its occurrences: ``share`` is their number per occurrence of another word. A chunk is thus
     like a stretch of the corpus. Each word is predicted as if one of its occurrences had
-    not been counted, so that the weights suit words that are new or rare.
+    not been counted, so that the weights suit words that are new or rare. The counts of a word's
+    prefixes are those of ``prefixes`` at its number in ``which``.
     """
-    pairs = [t.view(np.int64) for t in tables]
+    pairs, at = [t.view(np.int64) for t in tables], 0
     for some, often in chunks(words, counts, LEARNED):
+        rows = np.vstack([prefixes.rows(which[at : at + len(some)]), common[2]])
+        at += len(some)
         layout = Layout.of(some + common[0])
-        full = np.concatenate([often, common[1]])
         part = np.concatenate([often.astype(float), common[1] * (share * often.sum())])
-        weight, own = np.repeat(part, layout.length), np.repeat(full >= least, layout.length)
+        weight = np.repeat(part, layout.length)
         even = np.arange(len(layout.data)) * 2
         for k in range(8):
             bit, node = layout.step(k)
-            inputs, seen = np.ones((len(bit), len(SIZES) + 1), dtype=np.float32), {}
+            inputs, seen = np.ones((len(bit), len(SIZES) + 2), dtype=np.float32), {}
             own_count = even + bit
-            for j in range(len(SIZES)):
-                both = pairs[j][layout.slot(j, node)].view(np.int32).astype(np.float32)
-                both[own_count] -= own if j == PREFIX else 1
+            for j in range(len(SIZES) + 1):
+                both = pair_of(rows, k, bit).ravel() if j == PREFIX else pairs[j][layout.slot(j, node)].view(np.int32)
+                both = both.astype(np.float32)
+                both[own_count] -= 1
                 np.maximum(both, 0, out=both)
-                if j in GATING:
+                if j in (GATING, PREFIX):
                     seen[j] = both[0::2] + both[1::2]
                 logs = np.log(both + np.float32(0.05))
                 inputs[:, j] = np.clip(logs[1::2] - logs[0::2], -EDGE, EDGE)
@@ -198,7 +259,7 @@ class Model:
     def prepared(self) -> Ready:
         return Ready(
             [stretched(t[0::2].astype(np.float32), t[1::2].astype(np.float32)) for t in self.tables],
-            {j: np.minimum(t[0::2].astype(np.int64) + t[1::2], 1000).astype(np.int16) for j, t in enumerate(self.tables) if j in GATING},
+            np.minimum(self.tables[GATING][0::2].astype(np.int64) + self.tables[GATING][1::2], 1000).astype(np.int16),
             self.weights,
             self.refined,
         )
@@ -207,22 +268,24 @@ class Model:
 @dataclass
 class Ready:
     inputs: list[np.ndarray]
-    seen: dict[int, np.ndarray]
+    seen: np.ndarray
     weights: np.ndarray
     refined: np.ndarray
 
-    def log10(self, words: list[bytes]) -> np.ndarray:
-        """log10 probability of each word with the space after it."""
+    def log10(self, words: list[bytes], prefixes: Prefixes | None = None) -> np.ndarray:
+        """log10 probability of each word with the space after it; without counts all prefixes are new."""
         out = [np.zeros(0)]
-        for some, _ in chunks(words, np.zeros(len(words))):
+        for some, which in chunks(words, np.arange(len(words))):
             layout = Layout.of(some)
+            rows = prefixes.rows(which) if prefixes else np.zeros((len(layout.data), 9), dtype=np.int64)
             total = np.zeros(len(layout.data))
             for k in range(8):
                 bit, node = layout.step(k)
                 slots = [layout.slot(j, node) for j in range(len(SIZES))]
-                gate = gate_of(self.seen[3][slots[3]], self.seen[PREFIX][slots[PREFIX]])
+                gate = gate_of(self.seen[slots[GATING]], rows[:, k])
                 weights = self.weights[k]
-                z = weights[gate, -1].copy()
+                both = pair_of(rows, k, bit).astype(np.float32)
+                z = weights[gate, -1] + weights[gate, PREFIX] * stretched(both[:, 0], both[:, 1])
                 for j, slot in enumerate(slots):
                     z += weights[gate, j] * self.inputs[j][slot]
                 p = np.clip((squash(z) + self.refined[refine_cell(k, z)]) / 2, 1e-6, 1 - 1e-6)
@@ -286,13 +349,66 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], n
             yield batch.column("word").to_pylist(), batch.column("trained").to_numpy()
 
 
-def build_tables(words: DataFrame, least: int, tasks: int) -> list[np.ndarray]:
+def head() -> Column:
+    """The first bytes of a word and its end."""
+    return F.substring(F.concat("word", F.lit(b" ")), 1, HEAD)
+
+
+def count_heads(words: DataFrame) -> tuple[list[bytes], Prefixes]:
+    """The first bytes of all words, at most 2^24 values, and how often their prefixes occur."""
+    got = words.groupBy(head().alias("head")).agg(F.sum("trained").alias("trained")).orderBy("head").toArrow()
+    return got.column("head").to_pylist(), Prefixes.of(got.column("head").to_pylist(), got.column("trained").to_numpy())
+
+
+def by_head(words: DataFrame, tasks: int) -> DataFrame:
+    """Words with the same first bytes one after the other in one task, in the order of a hash of these."""
+    dealt = words.withColumn("head", head()).withColumn("order", F.xxhash64("head"))
+    return dealt.repartition(tasks, "head").sortWithinPartitions("order", "head").drop("order").coalesce(tasks)
+
+
+def with_prefixes(
+    batches: Iterator[pa.RecordBatch], heads: tuple[list[bytes], Prefixes]
+) -> Iterator[tuple[pa.Table, list[bytes], Prefixes]]:
+    """Rows of ``by_head`` in groups of all words with the same first bytes, with their prefixes' counts.
+
+    A group has about ``GROUP`` bytes, and more only if more begin with the same bytes.
+    """
+    number = {x: i for i, x in enumerate(heads[0])}
+    held: list[pa.RecordBatch] = []
+
+    def group(rows: pa.Table) -> tuple[pa.Table, list[bytes], Prefixes]:
+        strings = [w + b" " for w in rows.column("word").to_pylist()]
+        order = sorted(range(len(strings)), key=strings.__getitem__)
+        rows, strings = rows.take(pa.array(order)), [strings[i] for i in order]
+        prefixes = Prefixes.of(strings, rows.column("trained").to_numpy())
+        prefixes.continue_from(heads[1], np.array([number[x[:HEAD]] for x in strings]))
+        return rows, [x[:-1] for x in strings], prefixes
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        if sum(b.column("word").nbytes for b in held) < GROUP:
+            continue
+        rows = pa.Table.from_batches(held)
+        names = rows.column("head").to_pylist()
+        cut = len(names) - 1
+        while cut and names[cut - 1] == names[-1]:
+            cut -= 1
+        if cut:
+            yield group(rows.slice(0, cut))
+            held = rows.slice(cut).combine_chunks().to_batches()
+    if held:
+        yield group(pa.Table.from_batches(held))
+
+
+def build_tables(words: DataFrame, tasks: int) -> list[np.ndarray]:
     """Counts by context, slot and bit, summed over all words. Their size is fixed by ``SIZES``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = [np.zeros(2 << b, dtype=np.int64) for b in SIZES]
         for some, often in _batches(batches):
-            count_tables(some, often, least, tables)
+            count_tables(some, often, CHUNK, tables)
         for j, counts in enumerate(tables):
             for block, part in enumerate(np.split(counts, max(1, len(counts) // BLOCK))):
                 if part.any():
@@ -333,35 +449,49 @@ def build_tables(words: DataFrame, least: int, tasks: int) -> list[np.ndarray]:
     return tables
 
 
-def train(words: DataFrame, tasks: int) -> Model:
+def common_words(words: DataFrame, heads: Broadcast, tasks: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The most frequent training words, how often they occur, and the counts of their prefixes."""
+    top = words.filter("trained > 0").orderBy(F.desc("trained"), "word").limit(COMMON).select("word").toArrow()
+    wanted = frozenset(top.column("word").to_pylist())
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, some, prefixes in with_prefixes(batches, heads.value):
+            at = [i for i, w in enumerate(some) if w in wanted]
+            counts = [prefixes.rows(np.array([i])).astype(np.int64).tobytes() for i in at]
+            columns = [pa.array([some[i] for i in at], pa.binary()), rows.column("trained").combine_chunks().take(pa.array(at, pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.binary())], names=["word", "trained", "counts"])
+
+    same = words.filter(head().isin([F.lit(x) for x in sorted({(w + b" ")[:HEAD] for w in wanted})])) if wanted else words
+    dealt = by_head(same.select("word", "trained"), tasks)
+    got = dealt.mapInArrow(apply, "word binary, trained long, counts binary").orderBy(F.desc("trained"), "word").toArrow()
+    counts = np.frombuffer(b"".join(got.column("counts").to_pylist()), dtype=np.int64).reshape(-1, 9)
+    return got.column("word").to_pylist(), got.column("trained").to_numpy(), counts
+
+
+def train(words: DataFrame, heads: Broadcast, tasks: int) -> Model:
     """Tables from all trained words, then weights and map learned over all of them again."""
     spark = words.sparkSession
-    fit = (1 << SIZES[PREFIX]) // SLOTS_PER_WORD
-    edges = [2**i for i in range(1, 40)]
-    above = words.agg(*[F.count_if(F.col("trained") >= e).alias(str(e)) for e in edges]).first()
-    least = next((e for e, n in zip(edges, above, strict=True) if n <= fit), edges[-1])
-    if words.filter("trained > 0").count() <= fit:
-        least = 1
-    tables = build_tables(words, least, tasks)
+    tables = build_tables(words, tasks)
     shared = spark.sparkContext.broadcast(tables)
-
-    top = words.filter("trained > 0").orderBy(F.desc("trained"), "word").limit(COMMON).select("word", "trained").toArrow()
-    common = (top.column("word").to_pylist(), top.column("trained").to_numpy())
+    common = common_words(words, heads, tasks)
     total = words.agg(F.sum("trained")).first()[0] or 0
     share = 1.0 / max(1.0, float(total - common[1].sum()))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mixer, cells, tokens, skip = Mixer(), np.zeros((2, 8 * BINS)), 0.0, set(common[0])
-        for some, often in _batches(batches):
-            rest = [i for i, w in enumerate(some) if w not in skip]
-            if rest:
-                often = often[rest]
-                learn_mixing([some[i] for i in rest], often, common, share, least, shared.value, mixer, cells)
+        for rows, some, prefixes in with_prefixes(batches, heads.value):
+            rest = np.array([i for i, w in enumerate(some) if w not in skip], dtype=np.int64)
+            if len(rest):
+                # Words come sorted; in any order but that, a chunk is like the corpus.
+                np.random.default_rng(len(rest)).shuffle(rest)
+                often = rows.column("trained").to_numpy()[rest]
+                learn_mixing([some[i] for i in rest], often, prefixes, rest, common, share, shared.value, mixer, cells)
                 tokens += float(often.sum())
         values = [pa.array([x.tobytes()]) for x in (mixer.weights * tokens, cells)]
         yield pa.RecordBatch.from_arrays([*values, pa.array([tokens])], names=["weights", "cells", "tokens"])
 
-    rows = _trained(words, tasks).mapInArrow(learn, "weights binary, cells binary, tokens double").toLocalIterator()
+    dealt = by_head(words.filter("trained > 0").select("word", "trained"), tasks)
+    rows = dealt.mapInArrow(learn, "weights binary, cells binary, tokens double").toLocalIterator()
     weights, cells, tokens = np.zeros_like(Mixer().weights), np.zeros((2, 8 * BINS)), 0.0
     for row in rows:
         weights += np.frombuffer(row.weights).reshape(weights.shape)
@@ -392,23 +522,24 @@ class Sums:
         return np.log10((by_class + CLASS_PRIOR * share) / (counts + CLASS_PRIOR) / share)
 
 
-def score_words(words: DataFrame, model: Model, sums: Sums) -> DataFrame:
+def score_words(words: DataFrame, model: Model, sums: Sums, heads: Broadcast, tasks: int) -> DataFrame:
     """(word, trained, total, values): values are the base and model log10 probability and the ratios."""
     shared = words.sparkSession.sparkContext.broadcast((model, sums))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, sums = shared.value
         ready = model.prepared()
-        for batch in batches:
+        for rows, some, prefixes in with_prefixes(batches, heads.value):
+            batch = rows.combine_chunks().to_batches()[0]
             trained = batch.column("trained").to_numpy()
             by_class = batch.column("by_class").flatten().to_numpy().reshape(len(trained), -1)
-            lm = ready.log10(batch.column("word").to_pylist())
+            lm = ready.log10(some, prefixes)
             values = np.column_stack([sums.base(trained), lm, sums.ratios(by_class)])
             lists = pa.FixedSizeListArray.from_arrays(pa.array(values.ravel()), values.shape[1]).cast(pa.list_(pa.float64()))
             columns = [batch.column("word"), pa.array(trained), batch.column("total"), lists]
             yield pa.RecordBatch.from_arrays(columns, names=["word", "trained", "total", "values"])
 
-    return words.mapInArrow(apply, "word binary, trained long, total long, values array<double>")
+    return by_head(words, tasks).mapInArrow(apply, "word binary, trained long, total long, values array<double>")
 
 
 def _documents(docs: DataFrame, frequent: pa.Table, width: int) -> DataFrame:
@@ -490,8 +621,10 @@ def score_documents(
     ends = words.filter(F.octet_length("word") == 0).select("by_class").first()
     texts_by_class = np.array(ends[0] if ends else [0] * kinds, dtype=float)
     sums = Sums(tokens, distinct, np.array([x or 0 for x in row[4:]], dtype=float), texts_by_class)
-    model = train(words, max(1, math.ceil(types / words_per_task)))
-    scored = steps.keep(score_words(words, model, sums), "scored")
+    tasks = max(1, math.ceil(types / words_per_task))
+    heads = spark.sparkContext.broadcast(count_heads(words))
+    model = train(words, heads, tasks)
+    scored = steps.keep(score_words(words, model, sums, heads, 4 * tasks), "scored")
     least = max(2.0, frequent_share * total)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     parts = steps.keep(_documents(rows, scored.filter(F.col("total") >= least).toArrow(), kinds + 2), "documents")
