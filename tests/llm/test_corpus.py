@@ -260,6 +260,22 @@ def test_language_on_held_out_and_mixed_text(spark):
     assert (rows.lang_pred == rows.lang).mean() > 0.97
 
 
+def test_language_of_text_without_ascii_spaces():
+    rng = np.random.default_rng(3)
+    letters = {"a": "bcdefg", "b": "qrstuv"}
+    windows = [(n, ["".join(rng.choice(list(x), 5)) for _ in range(10)]) for n, x in letters.items() for _ in range(40)]
+    model = language.fit([(n, [f"^{w}$" for w in words]) for n, words in windows])
+    a, b = ([w for n, words in windows for w in words if n == lang][:60] for lang in letters)
+    texts = ["".join(a[:3] + b + a[3:6]), "\u00a0".join(a[:3] + b + a[3:6]), "\u3000".join(a + b[:4])]
+    names, scores, words = language.label_documents([t.encode() for t in texts], language.Emissions(model))
+    assert names == ["b", "b", "a"] and max(scores) < 0.99 and words[0] == math.ceil(330 / 24) and words[1:] == [66, 64]
+    for n in (1, 23, 24, 25, 47, 48, 49, 50, 71, 72, 73):
+        word = "".join(rng.choice(list(letters["a"]), n))
+        edged = f"^{word}$"
+        trigrams = [p[i : i + 3] for p in language.pieces(word) for i in range(len(p) - 2)]
+        assert trigrams == [edged[i : i + 3] for i in range(n)]
+
+
 def test_language_of_awkward_rows(awkward):
     rows = {(r.doc_id, r.lang_pred) for r in language.languages(awkward).collect()}
     assert {(2, "und"), (3, "und"), (5, "und"), (6, "und")} <= rows

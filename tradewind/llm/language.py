@@ -29,6 +29,25 @@ def core(word: str) -> str:
     return word[at[0] : at[-1] + 1] if at else ""
 
 
+def pieces(plain: str) -> list[str]:
+    """A word between marks of its ends, or the successive pieces of a long one; none of an empty one.
+
+    Pieces share two characters, so that every trigram of the word is in one of them.
+    """
+    edged = f"^{plain}$"
+    if not plain or len(plain) <= LONGEST:
+        return [edged] if plain else []
+    return [edged[i : i + LONGEST + 2] for i in range(0, len(edged) - 2, LONGEST)]
+
+
+def words_of(text: bytes | None) -> list[str | tuple[str]]:
+    """Words of a text between white space of any kind; a long one as its pieces, each in a tuple."""
+    words = (text or b"").decode("utf-8", "replace").lower().split()
+    if not words or max(map(len, words)) <= LONGEST:
+        return words
+    return [x for w in words for x in ([w] if len(w) <= LONGEST else [(p,) for p in pieces(core(w))])]
+
+
 class Slots(dict):
     """Slot of a feature, by hash; features are few against words, so each is hashed once."""
 
@@ -42,15 +61,16 @@ class Slots(dict):
 SLOT_OF = Slots()
 
 
-def word_features(word: str, lexicon: frozenset[str]) -> list[int]:
-    """Slots of a word's prefixes, suffixes and trigrams, and of the word if the lexicon has it."""
-    short = word if len(word) <= LONGEST else word[: LONGEST // 2] + word[-LONGEST // 2 :]
-    edged = f"^{short}$"
-    names = {edged[i : i + 3] for i in range(len(edged) - 2)}
-    names |= {edged[:2], edged[:4], edged[-2:], edged[-4:]}
+def word_features(piece: str, lexicon: frozenset[str]) -> list[int]:
+    """Slots of a piece's trigrams, of prefixes and suffixes at a word's ends, and of the piece if the lexicon has it."""
+    names = {piece[i : i + 3] for i in range(len(piece) - 2)}
+    if piece[0] == "^":
+        names |= {piece[:2], piece[:4]}
+    if piece[-1] == "$":
+        names |= {piece[-2:], piece[-4:]}
     slots = [SLOT_OF[n] for n in names]
-    if word in lexicon:
-        slots.append(SLOT_OF[f"word {word}"])
+    if piece in lexicon:
+        slots.append(SLOT_OF[f"word {piece[1:-1]}"])
     return slots
 
 
@@ -106,12 +126,12 @@ class Emissions(dict):
         self.model, self.cores, self.waiting = model, {"": 0}, []
         self.rows = np.ones((1, len(model.labels)), dtype=np.float32)
 
-    def __missing__(self, word: bytes) -> int:
-        plain = core(word.decode("utf-8", "replace"))
-        at = self.cores.get(plain)
+    def __missing__(self, word: str | tuple[str]) -> int:
+        piece = word[0] if isinstance(word, tuple) else "".join(pieces(core(word)))
+        at = self.cores.get(piece)
         if at is None:
-            at = self.cores[plain] = len(self.rows) + len(self.waiting)
-            self.waiting.append(plain)
+            at = self.cores[piece] = len(self.rows) + len(self.waiting)
+            self.waiting.append(piece)
         self[word] = at
         return at
 
@@ -126,13 +146,13 @@ class Emissions(dict):
 
 
 def label_documents(texts: list, table_: Emissions) -> tuple[list[str], list[float], list[int]]:
-    """Language, mean marginal of it, and number of words of each text."""
+    """Language, mean marginal of it, and number of words of each text, pieces of long ones counted each."""
     model = table_.model
     if len(table_) > WORDS_KEPT:
         table_.reset()
     words = []
     for text in texts:
-        rows = np.array(list(map(table_.__getitem__, (text or b"").lower().split())), dtype=np.int32)
+        rows = np.array(list(map(table_.__getitem__, words_of(text))), dtype=np.int32)
         words.append(rows[rows > 0])
     table_.settle()
     lengths = np.array([len(w) for w in words])
@@ -245,7 +265,7 @@ def train(
         for batch in texts:
             out = []
             for text in batch:
-                words = [w for w in map(core, text.decode("utf-8", "replace").split()) if w]
+                words = [p for w in words_of(text) for p in (w if isinstance(w, tuple) else pieces(core(w)))]
                 starts = sorted({int(i * max(0, len(words) - window) / max(1, windows - 1)) for i in range(windows)})
                 out.append([words[s : s + window] for s in starts if words[s : s + window]])
             yield [out]
