@@ -309,6 +309,37 @@ def test_word_probabilities_sum_to_one():
     assert 0 < end < 1 and ready.log10([b"ab"])[0] > ready.log10([b"zq"])[0]
 
 
+def test_class_experts_sum_to_one_over_all_words(documents):
+    taught = [("one two two three", "a"), ("one four four five", "b"), ("one one two six", "a")] * 20
+    ids = (i for i in itertools.count() if zlib.crc32(str(i).encode()) % 5 != 1)
+    rows = [(next(ids), t, lang, "s") for t, lang in taught]
+    words = ["", *sorted({w for t, _ in taught for w in t.split()})]
+    held = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 == 1][: len(words)]
+    rows += [(i, w, None, "s") for i, w in zip(held, words, strict=True)]
+
+    def probability(classes):
+        got = {r.doc_id: 10**r.score for r in mixing_lm.score_documents(documents(rows), most_classes=classes).collect()}
+        return np.array([got[i] for i in held])
+
+    alone = probability(1)
+    lm = np.r_[alone[0], alone[1:] / alone[0]]
+    by_class = np.zeros((len(words), 3))
+    for t, lang in taught:
+        for w in [*t.split(), ""]:
+            by_class[words.index(w), "ab".index(lang)] += 1
+    share = (by_class.sum(axis=0) + 1) / (by_class.sum(axis=0) + 1).sum()
+    ratio = (by_class + 0.1 * share) / (by_class.sum(axis=1, keepdims=True) + 0.1) / share
+    expert = lm[:, None] * ratio
+    rest = 1 - lm.sum()
+    whole = expert.sum(axis=0) + rest
+    assert abs(whole - 1).max() > 0.01
+    expert = expert / whole
+    assert np.allclose(expert.sum(axis=0) + rest / whole, 1)
+    texts = np.array([40, 20, 0]) + 0.5
+    first = np.vstack([np.ones(3), expert[1:]])
+    assert np.allclose(probability(3), (first * expert[0]) @ (texts / texts.sum()), rtol=1e-6)
+
+
 def test_language_model_of_awkward_rows(awkward):
     rows = mixing_lm.score_documents(awkward).collect()
     assert len(rows) == 8 and sorted(r.n_tokens for r in rows)[:3] == [1, 1, 1]

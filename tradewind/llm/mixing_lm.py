@@ -542,6 +542,16 @@ def score_words(words: DataFrame, model: Model, sums: Sums, heads: Broadcast, ta
     return by_head(words, tasks).mapInArrow(apply, "word binary, trained long, total long, values array<double>")
 
 
+def class_norms(scored: DataFrame, kinds: int) -> list[float]:
+    """log10 of the sum over all words of model probability times ratio, by class.
+
+    Words that training texts do not have, in the table or not, share what the others leave, at a ratio of 1.
+    """
+    trained, lm = F.col("trained") > 0, F.col("values")[1]
+    over = [F.sum(F.when(trained, F.pow(F.lit(10.0), lm + F.col("values")[z + 2]) - F.pow(F.lit(10.0), lm))) for z in range(kinds)]
+    return [math.log10(1 + (x or 0.0)) for x in scored.agg(*over).first()]
+
+
 def _documents(docs: DataFrame, frequent: pa.Table, width: int) -> DataFrame:
     """Two kinds of rows: sums of a text's frequent tokens (no word), and its other tokens, counted."""
     values = frequent.column("values").combine_chunks().flatten().to_numpy().reshape(-1, width)
@@ -599,8 +609,9 @@ def score_documents(
     The words of a text are mixed a second time: each class of the training texts is an expert
     that scales a word's probability by P(class | word) / P(class), and the experts' weights
     follow from how well they did on the words before. Over a whole text these weights
-    telescope to the sum over classes of their share times the product of the ratios. The class
-    of a text itself is never read when it is scored.
+    telescope to the sum over classes of their share times the product of the ratios, each divided
+    by the class's sum over all words, those never seen included, so that every expert is a
+    distribution. The class of a text itself is never read when it is scored.
 
     Words that make up at least ``frequent_share`` of all tokens, at most a million of them with
     at most a million mean token lengths of bytes together, are looked up in a shared table; the
@@ -637,7 +648,8 @@ def score_documents(
     whole = parts.filter("word is null").drop("word").join(more, "key", "left")
     known, base, lm, *ratio = (F.col("sums")[i] + F.coalesce(F.col(f"m{i}"), F.lit(0.0)) for i in range(kinds + 3))
     share = (texts_by_class + 0.5) / (texts_by_class + 0.5).sum()
-    logs = [r + math.log10(s) for r, s in zip(ratio, share, strict=True)]
+    norms = class_norms(scored, kinds)
+    logs = [r + math.log10(s) - F.col("times") * n for r, s, n in zip(ratio, share, norms, strict=True)]
     top = F.greatest(*logs) if kinds > 1 else logs[0]
     mixed = top + F.log10(sum((F.pow(F.lit(10.0), x - top) for x in logs[1:]), F.pow(F.lit(10.0), logs[0] - top)))
     out = whole.select("doc_id", "times", "bytes", known.alias("known"), base.alias("base"), (lm + mixed).alias("score"))
