@@ -468,8 +468,11 @@ def common_words(words: DataFrame, heads: Broadcast, tasks: int) -> tuple[list[b
     return got.column("word").to_pylist(), got.column("trained").to_numpy(), counts
 
 
-def train(words: DataFrame, heads: Broadcast, tasks: int) -> Model:
-    """Tables from all trained words, then weights and map learned over all of them again."""
+def train(words: DataFrame, heads: Broadcast, tasks: int) -> tuple[Broadcast, np.ndarray, np.ndarray]:
+    """Tables from all trained words, then weights and map learned over all of them again.
+
+    The tables are handed on as they were broadcast, as every executor keeps a file of each broadcast.
+    """
     spark = words.sparkSession
     tables = build_tables(words, tasks)
     shared = spark.sparkContext.broadcast(tables)
@@ -500,7 +503,7 @@ def train(words: DataFrame, heads: Broadcast, tasks: int) -> Model:
     weights = weights / tokens if tokens else Mixer().weights
     prior = squash(np.tile(np.linspace(-EDGE, EDGE, BINS), 8))
     refined = (cells[0] + 2 * prior) / (cells[1] + 2)
-    return Model(tables, weights, refined)
+    return shared, weights, refined
 
 
 @dataclass
@@ -522,13 +525,12 @@ class Sums:
         return np.log10((by_class + CLASS_PRIOR * share) / (counts + CLASS_PRIOR) / share)
 
 
-def score_words(words: DataFrame, model: Model, sums: Sums, heads: Broadcast, tasks: int) -> DataFrame:
+def score_words(words: DataFrame, model: tuple[Broadcast, np.ndarray, np.ndarray], sums: Sums, heads: Broadcast, tasks: int) -> DataFrame:
     """(word, trained, total, values): values are the base and model log10 probability and the ratios."""
-    shared = words.sparkSession.sparkContext.broadcast((model, sums))
+    tables, weights, refined = model
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, sums = shared.value
-        ready = model.prepared()
+        ready = Model(tables.value, weights, refined).prepared()
         for rows, some, prefixes in with_prefixes(batches, heads.value):
             batch = rows.combine_chunks().to_batches()[0]
             trained = batch.column("trained").to_numpy()
@@ -635,7 +637,7 @@ def score_documents(
     tasks = max(1, math.ceil(types / words_per_task))
     heads = spark.sparkContext.broadcast(count_heads(words))
     model = train(words, heads, tasks)
-    scored = steps.keep(score_words(words, model, sums, heads, 4 * tasks), "scored")
+    scored = steps.keep(score_words(words, model, sums, heads, math.ceil(4 * types / words_per_task) or 1), "scored")
     least = max(2.0, frequent_share * total)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     parts = steps.keep(_documents(rows, scored.filter(F.col("total") >= least).toArrow(), kinds + 2), "documents")
