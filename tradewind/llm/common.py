@@ -84,6 +84,22 @@ def gapless(df: DataFrame, group: str, rows: int, out: str, per_task: int = 20_0
     return numbered.select(*columns, (F.col(first) + F.col(part)).alias(out))
 
 
+def ordered(df: DataFrame, order: Sequence[Column], out: str, steps: Steps, name: str) -> DataFrame:
+    """Number all rows from 0 in an order, stored, without a task that holds them all.
+
+    Rows are sorted by ranges; the sizes of the ranges, one row a task, give each its first
+    number. The columns of ``order`` together must be unique, else equal rows share a task.
+    """
+    at, part, first = (fresh(n, df.columns) for n in ("at_", "part_", "first_"))
+    sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    stored = steps.keep(sorted_rows.withColumn(at, F.monotonically_increasing_id()), name)
+    stored = stored.withColumn(part, F.shiftright(at, 33))
+    sizes = stored.groupBy(part).agg(F.count(F.lit(1)).alias(first))
+    starts = sizes.withColumn(first, F.sum(first).over(Window.orderBy(part)) - F.col(first))
+    placed = stored.join(F.broadcast(starts), part)
+    return placed.select(*df.columns, (F.col(first) + F.col(at).bitwiseAND(F.lit((1 << 33) - 1))).alias(out))
+
+
 def append_columns(
     df: DataFrame, text_col: str, make: Callable[[Iterator[list]], Iterator[list]], ddl: dict[str, str]
 ) -> DataFrame:
