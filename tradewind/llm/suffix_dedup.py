@@ -17,8 +17,9 @@ SYMBOL = 8  # bytes that the transforms take as one letter
 SHARD = 1 << 16  # letters whose suffixes are sorted at a time
 SLICE = 1 << 18  # bytes that a task hashes at a time; positions there need 22 bits at most
 CHUNK = 1 << 20  # strings of one text that are handled at a time
-BUCKET_BYTES = 4 << 20
-GROUP = 4_000  # pieces; the pieces of an anchor that has more are dealt over several buckets
+BUCKET_BYTES = 2 << 20
+GROUP = 4_000  # pieces that may meet by one key; those of a key with more are split
+WIDTHS = (64, 8, 1)  # distances to the anchor that pieces of a key are split by, one after another
 LOW = np.uint64((1 << 22) - 1)
 
 
@@ -235,38 +236,75 @@ def repeated_strings(
     return found
 
 
-RUNS = "one long, two long, low long, high long, sum1 long, sum2 long"
+RUNS = "one long, two long, low long, high long"
 
 
 def _bucket(rows: pa.Table, length: int) -> pa.Table:
-    """Runs of repeated strings of a bucket's pieces, and checksums of the strings of dealt-out anchors."""
+    """Runs of repeated strings of a bucket's pieces, numbered within each piece."""
     pieces = rows.column("piece").to_pylist()
     ahead, strings, copies, one, two = (
         rows.column(c).to_numpy() for c in ("ahead", "strings", "copies", "one", "two")
     )
-    dealt = np.array(rows.column("dealt").to_pylist(), bool)
     found = repeated_strings(pieces, ahead, strings, copies, length)
     owner = np.repeat(np.arange(len(pieces)), strings)
-    first = np.cumsum(strings) - strings
-    nth = np.arange(len(owner)) - first[owner]
+    nth = np.arange(len(owner)) - (np.cumsum(strings) - strings)[owner]
     step = owner[1:] != owner[:-1]
     low = np.flatnonzero(found & np.r_[True, ~found[:-1] | step])
     high = np.flatnonzero(found & np.r_[~found[1:] | step, True])
-    out = [(one[owner[a]], two[owner[a]], nth[a], nth[b], None, None) for a, b in zip(low, high, strict=True)]
-    if dealt.any():
-        known: set[bytes] = set()
-        for i in np.flatnonzero(dealt[owner]).tolist():
-            start = int(nth[i])
-            check = xxhash.xxh3_128_digest(pieces[owner[i]][start : start + length])
-            sums = np.frombuffer(check, np.int64)
-            if not found[i]:
-                out.append((one[owner[i]], two[owner[i]], start, start, *sums))
-            elif check not in known:
-                known.add(check)
-                out.append((None, None, None, None, *sums))
-    columns = list(zip(*out, strict=True)) or [()] * 6
-    names = [c.split()[0] for c in RUNS.split(", ")]
-    return pa.table({n: pa.array([None if v is None else int(v) for v in c], pa.int64()) for n, c in zip(names, columns, strict=True)})
+    return pa.table({"one": one[owner[low]], "two": two[owner[low]], "low": nth[low], "high": nth[high]})
+
+
+PIECE = ("key", "one", "two", "copies", "ahead", "strings", "piece")
+
+
+def _split(pieces: DataFrame, width: int, length: int) -> DataFrame:
+    """Pieces by ranges of ``width`` distances to the anchor, keyed by the bytes that all strings of a range hold.
+
+    Equal strings have equal distances and equal bytes in the middle, so they get one key. Members
+    of a key differ in fewer than ``width`` bytes at either end; at a width of one in none.
+    """
+    ranges = F.sequence(
+        F.floor((F.col("ahead") - F.col("strings") + 1) / width).cast("long"), F.floor(F.col("ahead") / width).cast("long")
+    )
+    each = pieces.withColumn("range", F.explode(ranges))
+    far = F.least(F.col("ahead"), (F.col("range") + 1) * width - 1)
+    near = F.greatest(F.col("ahead") - F.col("strings") + 1, F.col("range") * width)
+    each = each.withColumns({"far": far, "near": near, "shift": F.col("ahead") - far})
+    part = F.expr(f"substring(piece, cast(shift + 1 as int), cast(far - near + {length} as int))")
+    middle = F.expr(f"substring(part, cast(far - range * {width} + 1 as int), {length - width + 1})")
+    return each.withColumn("part", part).select(
+        F.xxhash64("key", "range", middle).alias("key"),
+        F.xxhash64(F.lit(1), "far", "part").alias("one"),
+        F.xxhash64(F.lit(2), "far", "part").alias("two"),
+        F.col("one").alias("of_one"), F.col("two").alias("of_two"), "shift", "copies",
+        F.col("far").alias("ahead"), (F.col("far") - F.col("near") + 1).alias("strings"), F.col("part").alias("piece"),
+    )
+
+
+def _in_groups(pieces: DataFrame, length: int, steps: Steps) -> tuple[DataFrame, list[DataFrame]]:
+    """Pieces whose key has at most ``GROUP`` of them, and for every split the places of its parts in the wholes.
+
+    The pieces of a key that has more are split by distance, each range keyed by what its strings
+    have in common, equal parts counted as one; what is still too large is split finer, down to
+    single strings, of which a key has one.
+    """
+    ready, places = None, []
+    for turn, width in enumerate((0, *WIDTHS)):
+        if width:
+            parts = steps.keep(_split(pieces, width, length), f"parts{turn}")
+            places.append(parts.select("one", "two", "of_one", "of_two", "shift"))
+            first = [F.first(c).alias(c) for c in ("ahead", "strings", "piece")]
+            pieces = parts.groupBy("key", "one", "two").agg(F.sum("copies").alias("copies"), *first).select(*PIECE)
+            pieces = steps.keep(pieces, f"split{turn}")
+        sizes = pieces.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"))
+        large = steps.keep(sizes.filter(F.col("kinds") > GROUP).select("key"), f"large{turn}")
+        some = width != 1 and large.limit(1).count() > 0
+        fit = pieces.join(large, "key", "left_anti") if some else pieces
+        ready = fit if ready is None else ready.unionByName(fit)
+        if not some:
+            break
+        pieces = pieces.join(large, "key", "left_semi")
+    return ready, places
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,7 +339,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
        other with one anchor are a piece. Only pieces whose gram occurs twice can hold repeats.
     2. Equal pieces become one with a count. Pieces are dealt to buckets by their gram, so that all
        occurrences of a string meet. The pieces of a gram that is in more than ``GROUP`` different
-       ones are dealt over several buckets, and the strings that are left there meet by checksum.
+       ones are first split by distance to the anchor and dealt by the bytes their strings share.
     3. In a bucket, shards of pieces get their Burrows-Wheeler transform each; the transforms are
        merged by refining their interleave letter by letter, and the blocks that share a string's
        letters are the repeated intervals. These go back to all copies of their pieces.
@@ -323,27 +361,22 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     where = F.struct("row", "place", "strings", "ahead")
     distinct = pieces.groupBy("gram", "one", "two").agg(F.count(F.lit(1)).alias("copies"), F.min(where).alias("at"))
     distinct = steps.keep(distinct, "distinct")
-    grams = distinct.groupBy("gram").agg(F.sum("copies").alias("all"), F.count(F.lit(1)).alias("kinds"))
-    chosen = distinct.join(grams.filter("`all` > 1"), "gram").select("gram", "one", "two", "copies", "kinds", "at.*")
-    chosen = steps.keep(chosen, "chosen")
-    amount = chosen.agg(F.sum(F.col("strings") + length)).first()[0] or 0
-    buckets = max(1, -(-amount // BUCKET_BYTES))
-    part = F.pmod(F.col("one"), F.ceil(F.col("kinds") / GROUP).cast("long"))
-    dealt = chosen.withColumns(
-        {"bucket": F.pmod(F.xxhash64("gram", part), F.lit(buckets)), "dealt": F.col("kinds") > GROUP}
-    )
+    grams = distinct.groupBy("gram").agg(F.sum("copies").alias("all")).filter("`all` > 1").drop("all")
+    chosen = steps.keep(distinct.join(grams, "gram", "left_semi").select("gram", "one", "two", "copies", "at.*"), "chosen")
+    steps.drop("distinct")
     bytes_of = F.expr(f"substring(data, cast(place + 1 as int), cast(strings + {length - 1} as int))")
-    cut = dealt.join(texts.select("row", "data"), "row").select(
-        "bucket", "dealt", "one", "two", "copies", "ahead", "strings", bytes_of.alias("piece")
-    )
-    found = cut.groupBy("bucket").applyInArrow(lambda rows: _bucket(rows, length), RUNS)
-    found = steps.keep(found, "found")
-    runs = found.filter("one is not null and sum1 is null").select("one", "two", "low", "high")
-    if chosen.filter(F.col("kinds") > GROUP).limit(1).count():
-        left = found.filter("sum1 is not null")
-        twice = left.groupBy("sum1", "sum2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-        more = left.filter("one is not null").join(twice, ["sum1", "sum2"], "left_semi")
-        runs = runs.unionByName(more.select("one", "two", "low", "high"))
+    cut = chosen.join(texts.select("row", "data"), "row").select(F.col("gram").alias("key"), *PIECE[1:-1], bytes_of.alias("piece"))
+    ready, places = _in_groups(steps.keep(cut, "cut"), length, steps)
+    amount = ready.agg(F.sum(F.col("strings") + length)).first()[0] or 0
+    buckets = max(1, -(-amount // BUCKET_BYTES))
+    dealt = ready.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+    runs = steps.keep(dealt.groupBy("bucket").applyInArrow(lambda rows: _bucket(rows, length), RUNS), "found")
+    for place in reversed(places):
+        lifted = runs.join(place, ["one", "two"]).select(
+            F.col("of_one").alias("one"), F.col("of_two").alias("two"),
+            (F.col("low") + F.col("shift")).alias("low"), (F.col("high") + F.col("shift")).alias("high"),
+        )
+        runs = runs.unionByName(lifted)
     spans = pieces.join(runs, ["one", "two"]).select(
         "row", F.struct((F.col("place") + F.col("low")).alias("start"), (F.col("place") + F.col("high") + length).alias("stop")).alias("span")
     )
