@@ -10,6 +10,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +18,9 @@ from tradewind.llm.common import Steps, fresh, table
 
 # ASCII punctuation that the tokenizer's pattern always keeps in one run of its own after a letter.
 TAIL = ".,!;:?$%&*#"
-SPECIAL = b"<|"
-WORDS_KEPT = 350_000
+SPECIAL = "<|"
+WORDS_KEPT = 600_000
+BATCH_BYTES = 4 << 20
 
 
 def _byte_characters() -> list[str]:
@@ -37,7 +39,7 @@ def letters(text: str) -> str:
 
 
 class WordIds(dict):
-    """Ids of words between white space, as little-endian bytes, kept up to a fixed number.
+    """Ids of words between white space, as little-endian bytes; those of a fixed number of words are kept.
 
     The tokenizer drops white space and never joins across it, so the ids of a text are
     those of its words in order. The same holds for letters and the punctuation after them.
@@ -50,27 +52,37 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= WORDS_KEPT:
-            self.clear()
         text = word.decode()
         core = text.rstrip(TAIL)
         if core != text and letters(core).isalpha():
-            ids = self[core.encode()] + self[text[len(core) :].encode()]
-        elif word.isascii() and SPECIAL not in word and (low := word.lower()) != word:
-            ids = self[low]
-        elif (plain := letters(text)).isalpha():
+            return self[core.encode()] + self[text[len(core) :].encode()]
+        if (plain := letters(text)).isalpha():
             # One run of letters: beyond normal form and case, the vocabulary's merges are all there is to do.
             shown = plain if plain.isascii() else "".join(map(BYTE_CHARACTERS.__getitem__, plain.encode()))
             ids = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], dtype="<u4").tobytes()
         else:
             ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        if len(self) >= WORDS_KEPT:
+            self.clear()
         self[word] = ids
         return ids
 
-    def of(self, text: bytes) -> bytes:
-        if text.isascii() and SPECIAL not in text:
-            text = text.lower()
-        return b"".join(map(self.__getitem__, text.split()))
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one array, and where each text begins in it (one more at the end).
+
+        Words are split and numbered by Arrow; only distinct ones are looked up.
+        """
+        lower = pc.if_else(pc.match_substring(texts, SPECIAL), texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(lower)
+        numbered = split.flatten().dictionary_encode()
+        found = list(map(self.__getitem__, numbered.dictionary.cast(pa.binary()).to_pylist()))
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        pool, first = np.frombuffer(b"".join(found), "<u4"), np.cumsum(size) - size
+        word = numbered.indices.to_numpy()
+        count = size[word]
+        end = np.cumsum(count)
+        ids = pool[np.repeat(first[word] - (end - count), count) + np.arange(count.sum())]
+        return ids, np.r_[0, end][split.offsets.to_numpy() - split.offsets[0].as_py()]
 
 
 @cache
@@ -98,32 +110,42 @@ def pieces(
     ``tokenizer`` is the path of a vocabulary file that every executor has. A null text is an
     empty one: its only id is the end id.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end, step = word_ids(tokenizer), np.array([end_id], dtype="<u4").tobytes(), 4 * longest
-        for batch in batches:
+        words, end = word_ids(tokenizer), np.array([end_id], dtype="<u4")
+        for batch in some_rows(batches, "text", BATCH_BYTES):
+            ids, begin = words.of(batch.column("text"))
             at, cut = [], []
-            for i, text in enumerate(batch.column("text")):
-                ids = words.of(text.as_py() or b"") + end
-                for start in range(0, len(ids), step):
-                    run = ids[start : start + step]
+            for i in range(batch.num_rows):
+                whole = np.concatenate([ids[begin[i] : begin[i + 1]], end])
+                for start in range(0, len(whole), longest):
+                    run = whole[start : start + longest]
                     at.append(i)
-                    cut.append((start // 4, len(run) // 4, zlib.crc32(run), len(ids) // 4, run if with_ids else None))
+                    cut.append((start, len(run), zlib.crc32(run), len(whole), run if with_ids else None))
             columns = list(zip(*cut, strict=True)) if cut else [()] * 5
             arrays = [batch.column("doc_id").take(pa.array(at, pa.int64()))]
             arrays += [pa.array(c, pa.int64()) for c in columns[:4]]
             if with_ids:
-                runs = [np.frombuffer(r, dtype="<u4").astype(np.int32) for r in columns[4]]
-                arrays.append(pa.array(runs, pa.list_(pa.int32())))
+                arrays.append(pa.array([r.astype(np.int32) for r in columns[4]], pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
     return rows.mapInArrow(apply, schema)
 
 
+def some_rows(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most about ``limit`` bytes in a column, a longer one alone."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes) // limit
+        borders = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else []
+        for low, high in zip(borders, [*borders[1:], batch.num_rows], strict=True):
+            yield batch.slice(low, high - low)
+
+
 def dot_product_bins(demand: np.ndarray, limits: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
     """Bin of each item and its place in that bin. demand: a row per item, a column per limit.
 
