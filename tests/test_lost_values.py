@@ -1,11 +1,16 @@
 """Values that do not fit their type, repeated lookup keys, and keys above the broadcast threshold."""
 
+import json
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from conftest import rows
+from tradewind.operators import ledger
 from tradewind.operators.keys import with_dense_key
 from tradewind.plans import prepare, star
+from tradewind.sources.schemas import RAW_COLUMNS, REQUIRED_RAW, ROW_KEYS, raw_ddl, raw_types
 
 
 def test_unfit_values_are_counted(frame, small):
@@ -16,6 +21,53 @@ def test_unfit_values_are_counted(frame, small):
     assert [(r.entity, r.rule, r.rows_changed) for r in lost] == [("order_items", prepare.UNFIT, expected)]
 
 
+def _lost(raw, entity):
+    cells = ledger.lost_cells(raw, entity, raw_types(entity), REQUIRED_RAW[entity], ROW_KEYS[entity])
+    return rows(cells, "column_name", "reason", "value", "stops", "row_key")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_the_ledger_has_every_lost_cell(spark, frame, ansi):
+    kept = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        ddl = ", ".join(f"{c} string" for c in RAW_COLUMNS["geolocation"])
+        points = frame(ddl, [("1", "-23,5", "2.5", "c", "s"), (None, "1", "x", "c", "s"), ("10x2", "1", None, "", "s"), ("7", "1", "2", "c", "s")])
+        assert _lost(points, "geolocation") == sorted(
+            [
+                ("geolocation_lat", "not double", "-23,5", True, key("1", "-23,5", "2.5")),
+                ("geolocation_lng", "not double", "x", True, key(None, "1", "x")),
+                ("geolocation_zip_code_prefix", "missing", None, True, key(None, "1", "x")),
+                ("geolocation_zip_code_prefix", "not int", "10x2", True, key("10x2", "1", None)),
+            ],
+            key=lambda t: tuple((x is None, str(x)) for x in t),
+        )
+        ddl = ", ".join(f"{c} string" for c in RAW_COLUMNS["orders"])
+        day = "2017-01-02 03:04:05"
+        orders = frame(
+            ddl,
+            [("a", "c", "s", day, day, "soon", None, day), ("b", "c", "s", "soon", day, None, None, day), ("d", None, "s", None, None, None, None, None)],
+        )
+        got = {(r[0], r[1], r[3]) for r in _lost(orders, "orders")}
+        assert got == {
+            ("order_delivered_carrier_date", "not timestamp_ntz", False),  # set to null by a rule of the cleaning
+            ("order_purchase_timestamp", "not timestamp_ntz", True),
+            ("order_purchase_timestamp", "missing", True),
+            ("customer_id", "missing", True),
+        }
+        assert prepare.lost_values(prepare.cleaning_audit(EMPTY(spark), lambda e: prepare.stage(EMPTY(spark), e))).count() == 0
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", kept)
+
+
+def key(*values):
+    return json.dumps(dict(zip(ROW_KEYS["geolocation"], values, strict=True)), separators=(",", ":"))
+
+
+def EMPTY(spark):
+    return lambda e: spark.createDataFrame([], raw_ddl(e))
+
+
 def test_a_repeated_zip_prefix_fails(frame):
     geo = frame(
         "geolocation_zip_code_prefix int, geolocation_lat double, geolocation_lng double",

@@ -5,7 +5,8 @@ from __future__ import annotations
 import sys
 
 from tradewind.operators.reconcile import render_markdown
-from tradewind.plans.pipeline import failures, run
+from tradewind.plans.pipeline import run
+from tradewind.plans.warehouse import ChecksFailed
 from tradewind.session import build_session
 from tradewind.sources.schemas import RAW_COLUMNS
 
@@ -17,11 +18,14 @@ def main(arguments: list[str]) -> int:
     folder, out, *renamed = arguments
     names = {e: f"{e}.csv" for e in RAW_COLUMNS} | dict(item.split("=", 1) for item in renamed)
     spark = build_session()
-    run(spark, folder, out, names)
-    print(render_markdown(spark.read.parquet(f"{out}/reports/reconciliation")))
-    failed = failures(spark, out)
-    print("failed: " + ", ".join(failed) if failed else "all checks passed")
-    return bool(failed)
+    try:
+        wh = run(spark, folder, out, names)
+    except ChecksFailed as stopped:
+        print(stopped, file=sys.stderr)
+        return 1
+    print(render_markdown(spark.read.parquet(f"{wh.root}/reports/reconciliation")))
+    print("all checks passed")
+    return 0
 
 
 if __name__ == "__main__":

@@ -7,6 +7,7 @@ different facts are aggregated on their own and meet as groups.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -79,16 +80,20 @@ def customers(model, by: By = (), where: Where | None = None) -> DataFrame:
     )
 
 
-def new_customers(model, period: str = "year_month") -> DataFrame:
-    """People by the period of their first order. ``period`` is a calendar attribute."""
+def new_customers(model, period: str = "year_month", by: By = (), where: Where | None = None) -> DataFrame:
+    """People by the period of their first order. ``period`` is a calendar attribute.
+
+    With ``by``, a person is new in a group at their first order within it; ``where`` filters the
+    orders that are looked at.
+    """
     first = (
-        slice_fact(model, "fact_orders", ["customer_unique_id"])
-        .groupBy("customer_unique_id")
+        slice_fact(model, "fact_orders", [*by, "customer_unique_id"], where)
+        .groupBy(*by, "customer_unique_id")
         .agg(F.min("purchase_date_key").alias("date_key"))
     )
     return (
         first.join(model.dim_date.select("date_key", period), "date_key")
-        .groupBy(period)
+        .groupBy(*by, period)
         .agg(_n().alias("new_customers"))
     )
 
@@ -163,63 +168,98 @@ def reviews(model, by: By = (), where: Where | None = None) -> DataFrame:
     )
 
 
-# Time intelligence. The input of these has one row per month: year_month and one measure.
+# Time intelligence. The input of these has one row per group and month: the group attributes,
+# year_month and one measure. Without one it is the merchandise value by ``by``, filtered by ``where``.
+
 
+def monthly_merchandise(model, by: By = (), where: Where | None = None) -> DataFrame:
+    return merchandise(model, [*by, "year_month"], where).drop("freight_value")
 
-def monthly_merchandise(model, where: Where | None = None) -> DataFrame:
-    return merchandise(model, ["year_month"], where).drop("freight_value")
 
+def _number(month: Column) -> Column:
+    """A running number of months from ``yyyy-mm``."""
+    return F.substring(month, 1, 4).cast("int") * 12 + F.substring(month, 6, 2).cast("int") - 1
 
-def _month_spine(model) -> DataFrame:
-    """Every calendar month with the first day and a running month number."""
-    months = model.dim_date.groupBy("year_month", "year", "month").agg(F.count(F.lit(1)).alias("_days"))
-    return months.select("year_month", "year", "month", (F.col("year") * 12 + F.col("month")).alias("_no"))
 
+def _label(number: Column) -> Column:
+    return F.format_string("%04d-%02d", F.floor(number / 12).cast("int"), (number % 12 + 1).cast("int"))
 
-def shifted(model, monthly: DataFrame, value: str, months: int, name: str) -> DataFrame:
-    """The measure next to the same measure ``months`` calendar months earlier.
 
-    Months are shifted on the calendar, not by row, so a month without data gives
-    null instead of the value of an older month.
+def shifted(monthly: DataFrame, value: str, months: Mapping[str, int], by: By = ()) -> DataFrame:
+    """The measure of every group and month next to its values some calendar months earlier.
+
+    ``months`` gives the names and distances of the earlier values. Months are shifted on the
+    calendar, not by row, so a month without data gives null to the months after it instead of the
+    value of an older one. With groups, each has a row for every month from the first to the last of
+    the input, so that groups line up; without, a month without data has no row.
+
+    Rows are not joined: each is written out at its own month and at the later ones that look back
+    on it, and one combined aggregate by group and month gathers them, so a group meets only itself
+    and a large one is not one task's work.
     """
-    spine = _month_spine(model).select("year_month", "_no")
-    dated = monthly.join(spine, "year_month")
-    earlier = dated.select((F.col("_no") + months).alias("_no"), F.col(value).alias(name))
-    return dated.join(earlier, "_no", "left").select("year_month", value, name)
+    dated = monthly.select(*by, _number(F.col("year_month")).alias("_no"), F.col(value).alias("_value"))
+    names, kind = [value, *months], monthly.schema[value].dataType
+    first, last = (dated.agg(f("_no")).scalar() for f in (F.min, F.max))
+    places = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(k).alias("later")) for n, k in {value: 0, **months}.items()])
+    spread = dated.select(*by, "_no", "_value", F.inline(places)).select(
+        *by, (F.col("_no") + F.col("later")).alias("_no"), "name", "_value"
+    )
+    values = [F.max(F.when(F.col("name") == n, F.col("_value"))).cast(kind).alias(n) for n in names]
+    if by:
+        spine = dated.select(*by).distinct().select(*by, F.explode(F.sequence(first, last)).alias("_no"))
+        spread = spread.unionByName(spine, allowMissingColumns=True).filter(F.col("_no") <= last)
+    gathered = spread.groupBy(*by, "_no").agg(*values, F.count_if(F.col("name") == value).alias("_rows"))
+    gathered = gathered if by else gathered.filter("_rows > 0")
+    return gathered.select(*by, _label(F.col("_no")).alias("year_month"), *names)
+
+
+def _monthly(model, monthly: DataFrame | None, by: By, where: Where | None) -> DataFrame:
+    return monthly_merchandise(model, by, where) if monthly is None else monthly
 
 
-def prev_month(model, monthly: DataFrame | None = None, value: str = "merchandise_value") -> DataFrame:
-    monthly = monthly_merchandise(model) if monthly is None else monthly
-    return shifted(model, monthly, value, 1, "prev_month_value")
+def prev_month(
+    model, monthly: DataFrame | None = None, value: str = "merchandise_value", by: By = (), where: Where | None = None
+) -> DataFrame:
+    return shifted(_monthly(model, monthly, by, where), value, {"prev_month_value": 1}, by)
 
 
-def prev_year(model, monthly: DataFrame | None = None, value: str = "merchandise_value") -> DataFrame:
-    monthly = monthly_merchandise(model) if monthly is None else monthly
-    return shifted(model, monthly, value, 12, "prev_year_value")
+def prev_year(
+    model, monthly: DataFrame | None = None, value: str = "merchandise_value", by: By = (), where: Where | None = None
+) -> DataFrame:
+    return shifted(_monthly(model, monthly, by, where), value, {"prev_year_value": 12}, by)
 
 
 def _growth(df: DataFrame, value: str, base: str, name: str) -> DataFrame:
     return df.withColumn(name, _pct(F.col(value) - F.col(base), F.col(base)))
 
 
-def mom_growth(model, monthly: DataFrame | None = None, value: str = "merchandise_value") -> DataFrame:
-    return _growth(prev_month(model, monthly, value), value, "prev_month_value", "mom_growth_pct")
+def mom_growth(
+    model, monthly: DataFrame | None = None, value: str = "merchandise_value", by: By = (), where: Where | None = None
+) -> DataFrame:
+    return _growth(prev_month(model, monthly, value, by, where), value, "prev_month_value", "mom_growth_pct")
 
 
-def yoy_growth(model, monthly: DataFrame | None = None, value: str = "merchandise_value") -> DataFrame:
-    return _growth(prev_year(model, monthly, value), value, "prev_year_value", "yoy_growth_pct")
+def yoy_growth(
+    model, monthly: DataFrame | None = None, value: str = "merchandise_value", by: By = (), where: Where | None = None
+) -> DataFrame:
+    return _growth(prev_year(model, monthly, value, by, where), value, "prev_year_value", "yoy_growth_pct")
 
 
-def year_to_date(model, monthly: DataFrame | None = None, value: str = "merchandise_value") -> DataFrame:
-    monthly = monthly_merchandise(model) if monthly is None else monthly
-    dated = monthly.join(_month_spine(model), "year_month")
-    so_far = Window.partitionBy("year").orderBy("month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return dated.select("year_month", value, F.sum(value).over(so_far).alias("ytd_value"))
+def year_to_date(
+    model, monthly: DataFrame | None = None, value: str = "merchandise_value", by: By = (), where: Where | None = None
+) -> DataFrame:
+    """Running sum within group and year; a month without data repeats the sum so far."""
+    dense = shifted(_monthly(model, monthly, by, where), value, {}, by)
+    year = F.substring("year_month", 1, 4)
+    so_far = Window.partitionBy(*by, year).orderBy("year_month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return dense.select(*by, "year_month", value, F.sum(value).over(so_far).alias("ytd_value"))
 
 
-def complete_months(model, monthly: DataFrame | None = None) -> DataFrame:
+def complete_months(
+    model, monthly: DataFrame | None = None, by: By = (), where: Where | None = None
+) -> DataFrame:
     """Drop months that the data does not cover from first to last day."""
-    monthly = monthly_merchandise(model) if monthly is None else monthly
+    monthly = _monthly(model, monthly, by, where)
     covered = model.fact_orders.agg(
         F.min("purchase_date_key").alias("first_day"), F.max("purchase_date_key").alias("last_day")
     )

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.operators import quality, reconcile
+from tradewind.operators import ledger, quality, reconcile
 from tradewind.operators.audit import decision_log
 from tradewind.plans import prepare, profile, validate
-from tradewind.plans.warehouse import DIMENSIONS, FACTS, Warehouse
+from tradewind.plans.warehouse import DIMENSIONS, FACTS, ChecksFailed, Warehouse
 from tradewind.sources.files import scan_catalog, write_table
 from tradewind.sources.schemas import STAGING_TYPES
+from tradewind.sources.versions import Versions
 
 
 def land(spark: SparkSession, folder: str, out: str, names: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
@@ -59,37 +60,66 @@ def check_reports(wh: Warehouse) -> dict[str, DataFrame]:
     }
 
 
+CHECKS = ("check_row_counts", "check_money_totals", "check_grain", "check_constraints", "reconciliation")
+
+
+def failures(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the checks stored with a version that did not pass."""
+    failed = []
+    for name in CHECKS[:-1]:
+        if not spark.read.parquet(f"{folder}/reports/{name}").filter(~F.col("passed")).isEmpty():
+            failed.append(name)
+    result = spark.read.parquet(f"{folder}/reports/{CHECKS[-1]}")
+    if reconcile.overall(result).filter("reconciled").isEmpty():
+        failed.append(CHECKS[-1])
+    return failed
+
+
+def failed_checks(wh: Warehouse, accept: Collection[str] = ()) -> list[str]:
+    """Write the check reports next to a model and name those that did not pass."""
+    for name, report in check_reports(wh).items():
+        write_table(report, f"{wh.model_root}/reports/{name}")
+    return [c for c in failures(wh.spark, wh.model_root) if c not in accept]
+
+
 def run(
     spark: SparkSession,
     folder: str,
     out: str,
     names: Mapping[str, str] | None = None,
     allow_lost_values: bool = False,
+    accept: Collection[str] = (),
 ) -> Warehouse:
-    """Build everything below ``out`` and keep every report as a table in ``out``/reports.
+    """Build a version of everything below ``out``, check it, and make it the current one.
+
+    Each run writes raw text, staging, model, ledger and reports to a folder of its own. It stops
+    without publishing, with the reports written, on
 
-    The model is rebuilt from the raw files on every run. A value that does not fit its declared
-    type stops the run after the reports are written, unless ``allow_lost_values`` says that
-    nulls in their place are wanted.
+    - a value that does not fit its declared type or a required one that is missing, unless
+      ``allow_lost_values`` says that nulls in their place are wanted, and
+    - a check that does not pass, unless ``accept`` names it.
+
+    So ``Warehouse.open`` sees the last version that was whole and right, whatever happened since.
     """
-    out = out.rstrip("/")
-    wh = Warehouse(spark, land(spark, folder, out, names).__getitem__, out)
+    versions = Versions(spark, out)
+    home = versions.new_folder()
+    wh = Warehouse(spark, land(spark, folder, home, names).__getitem__, home)
+    lost = ledger.summary(wh.ledger.filter("stops"))
+    write_table(lost, f"{home}/reports/lost_values")
+    # Without required values there is no model worth checking: stop before it is built.
+    if not allow_lost_values and (found := spark.read.parquet(f"{home}/reports/lost_values").limit(20).collect()):
+        write_table(prepare.cleaning_audit(wh.raw, wh.staged), f"{home}/reports/cleaning_audit")
+        said = [f"{r.entity}.{r.column_name} {r.reason}: {r.cells} cells, such as {r.first_value!r}" for r in found]
+        raise ChecksFailed(["values lost in typing", *said])
     wh.build()
-    for name, report in (profile_reports(wh) | load_reports(wh) | check_reports(wh)).items():
-        write_table(report, f"{out}/reports/{name}")
-    lost = prepare.lost_values(spark.read.parquet(f"{out}/reports/cleaning_audit"))
-    if not allow_lost_values and (rules := lost.collect()):
-        raise ValueError("values lost in typing: " + "; ".join(f"{r.entity}, {r.rule}: {r.rows_changed} rows" for r in rules))
+    for name, report in (profile_reports(wh) | load_reports(wh)).items():
+        write_table(report, f"{home}/reports/{name}")
+    if failed := failed_checks(wh, accept):
+        raise ChecksFailed(failed)
+    versions.publish({"staging": home, "model": home})
     return wh
 
 
-def failures(spark: SparkSession, out: str) -> list[str]:
-    """Names of the stored checks that did not pass."""
-    failed = []
-    for name in ("check_row_counts", "check_money_totals", "check_grain", "check_constraints"):
-        if not spark.read.parquet(f"{out}/reports/{name}").filter(~F.col("passed")).isEmpty():
-            failed.append(name)
-    result = spark.read.parquet(f"{out}/reports/reconciliation")
-    if not reconcile.overall(result).filter("reconciled").isEmpty():
-        return failed
-    return [*failed, "reconciliation"]
+def rebuild(wh: Warehouse, out: str, accept: Collection[str] = ()) -> None:
+    """Build the model of a version anew; it replaces the current one when its checks pass."""
+    wh.rebuild_model(lambda new: failed_checks(new, accept), Versions(wh.spark, out))

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import strip_upper, title_case
 from tradewind.operators import cleaning as C
+from tradewind.operators import ledger
 from tradewind.operators.audit import audit, row_count
 from tradewind.operators.profiling import union_all
 from tradewind.sources.files import to_typed
-from tradewind.sources.schemas import ORDER_DATES, STAGING_TYPES
+from tradewind.sources.schemas import ORDER_DATES, RENAMED, REQUIRED_RAW, ROW_KEYS, STAGING_TYPES, raw_types
 
 # The labels that mark a product without a category or a translation,
 # and the payment type that marks an undefined payment.
@@ -39,7 +40,7 @@ def prepare_order_items(raw: Raw) -> DataFrame:
 
 
 def prepare_order_payments(raw: Raw) -> DataFrame:
-    payments = raw("order_payments").withColumn("payment_installments", F.col("payment_installments").cast("int"))
+    payments = raw("order_payments").withColumn("payment_installments", F.col("payment_installments").try_cast("int"))
     return C.replace_value(payments, "payment_installments", 0, 1)
 
 
@@ -57,12 +58,7 @@ def prepare_sellers(raw: Raw) -> DataFrame:
 
 
 def prepare_products(raw: Raw) -> DataFrame:
-    products = raw("products").withColumnsRenamed(
-        {
-            "product_name_lenght": "product_name_length",
-            "product_description_lenght": "product_description_length",
-        }
-    )
+    products = raw("products").withColumnsRenamed(RENAMED)
     products = C.fill_missing(products, "product_category_name", NO_CATEGORY)
     return C.lookup(
         products,
@@ -113,21 +109,32 @@ def _unparsed(columns: list[str]) -> Column:
     return bad
 
 
-def _unfit(entity: str) -> Column:
-    """Rows with a value that staging would set to null because it does not fit its declared type."""
-    bad = F.lit(False)
-    for c, kind in STAGING_TYPES[entity].items():
-        bad = bad | (F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull())
-    return bad
-
-
 UNFIT = "value that does not fit its type set to null"
 UNPARSED = "text that is no timestamp set to null"
+REQUIRED_MISSING = "required value missing"
+
+
+def ledger_of(raw: Raw) -> DataFrame:
+    """Every cell of the raw entities that typing loses, in one pass over each."""
+    return union_all(
+        [
+            ledger.lost_cells(raw(e), e, raw_types(e), REQUIRED_RAW[e], ROW_KEYS[e])
+            for e in STAGING_TYPES
+        ]
+    )
+
+
+def _losses(entity: str) -> dict[str, Column]:
+    types, required = raw_types(entity), REQUIRED_RAW[entity]
+    return {
+        UNFIT: ledger.lost_rows(types, required, "unfit"),
+        REQUIRED_MISSING: ledger.lost_rows(types, required, "missing"),
+    }
 
 
 def lost_values(audit_rows: DataFrame) -> DataFrame:
     """What staging cannot keep, by entity. Lenient dates are a rule of the cleaning and not among it."""
-    return audit_rows.filter((F.col("rule") == UNFIT) & (F.col("rows_changed") > 0))
+    return audit_rows.filter(F.col("rule").isin(UNFIT, REQUIRED_MISSING) & (F.col("rows_changed") > 0))
 
 
 def _recased(city: str, state: str) -> Column:
@@ -137,16 +144,27 @@ def _recased(city: str, state: str) -> Column:
 
 
 def cleaning_audit(raw: Raw, staged: Callable[[str], DataFrame]) -> DataFrame:
-    """Rows before, after and changed of every cleaning rule."""
-    installments = F.col("payment_installments").cast("int")
-    parts = [
-        audit(
-            raw("orders"),
-            "orders",
-            {
-                UNPARSED: _unparsed(ORDER_DATES),
-            },
-        ),
+    """Rows before, after and changed of every cleaning rule.
+
+    Rules on raw values, with the losses of typing, are counted together in one pass per entity.
+    """
+    installments = F.col("payment_installments").try_cast("int")
+    dates = ["review_creation_date", "review_answer_timestamp"]
+    on_raw: dict[str, dict[str, Column]] = {
+        "orders": {UNPARSED: _unparsed(ORDER_DATES)},
+        "order_items": {UNPARSED: _unparsed(["shipping_limit_date"])},
+        "order_payments": {
+            "zero installments set to one": installments == 0,
+            "undefined payment type kept and flagged": F.col("payment_type") == UNDEFINED_PAYMENT,
+        },
+        "order_reviews": {UNPARSED: _unparsed(dates)},
+        "customers": {"city and state case settled": _recased("customer_city", "customer_state")},
+        "sellers": {"city and state case settled": _recased("seller_city", "seller_state")},
+        "products": {},
+        "geolocation": {},
+    }
+    parts = [audit(raw(e), e, rules | _losses(e)) for e, rules in on_raw.items()]
+    parts += [
         audit(
             staged("orders"),
             "orders",
@@ -155,15 +173,6 @@ def cleaning_audit(raw: Raw, staged: Callable[[str], DataFrame]) -> DataFrame:
                 "lateness left null without delivery date": F.col("is_late").isNull(),
             },
         ),
-        audit(raw("order_items"), "order_items", {UNPARSED: _unparsed(["shipping_limit_date"])}),
-        audit(
-            raw("order_payments"),
-            "order_payments",
-            {
-                "zero installments set to one": installments == 0,
-                "undefined payment type kept and flagged": F.col("payment_type") == UNDEFINED_PAYMENT,
-            },
-        ),
         audit(
             staged("order_reviews"),
             "order_reviews",
@@ -173,8 +182,6 @@ def cleaning_audit(raw: Raw, staged: Callable[[str], DataFrame]) -> DataFrame:
             },
             row_count(raw("order_reviews")),
         ),
-        audit(raw("customers"), "customers", {"city and state case settled": _recased("customer_city", "customer_state")}),
-        audit(raw("sellers"), "sellers", {"city and state case settled": _recased("seller_city", "seller_state")}),
         audit(
             staged("products"),
             "products",
@@ -190,7 +197,4 @@ def cleaning_audit(raw: Raw, staged: Callable[[str], DataFrame]) -> DataFrame:
     parts.append(
         audit(zips, "geolocation", {"points merged per zip prefix": F.lit(False)}, row_count(points.distinct()))
     )
-    dates = ["review_creation_date", "review_answer_timestamp"]
-    parts.append(audit(raw("order_reviews"), "order_reviews", {UNPARSED: _unparsed(dates)}))
-    parts += [audit(PREPARE[e](raw), e, {UNFIT: _unfit(e)}) for e in STAGING_TYPES]
     return union_all(parts)

@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from tradewind.functions import ratio, share
 from tradewind.operators.keys import tile_summary
-from tradewind.plans.star import MONTH_PARTITION
+from tradewind.plans.star import MONTH_PARTITION, build_order_lines, build_order_outcomes
 
 # Upper bounds in days and labels of the report buckets; the last has no bound.
 GAP_BUCKETS = [
@@ -50,6 +50,17 @@ def _mean(c: str, places: int = 2) -> Column:
     return ratio(F.sum(c), F.count(c), places)
 
 
+def order_lines(model) -> DataFrame:
+    """The stored lines by order where the model has them, else the same rows from its tables."""
+    stored = getattr(model, "order_lines", None)
+    return build_order_lines(model.fact_order_items, model.dim_product) if stored is None else stored
+
+
+def order_outcomes(model) -> DataFrame:
+    stored = getattr(model, "order_outcomes", None)
+    return build_order_outcomes(model.fact_orders, model.fact_reviews) if stored is None else stored
+
+
 def _by_category(model, items: DataFrame | None = None) -> DataFrame:
     products = model.dim_product.select("product_key", F.col("category_name_english").alias("category"))
     return (model.fact_order_items if items is None else items).join(products, "product_key")
@@ -200,9 +211,10 @@ def state_delivery(model) -> DataFrame:
 def delay_vs_score(model) -> DataFrame:
     delay = F.col("delivery_delay_days")
     bucket = _bucket(delay, DELAY_BUCKETS).alias("delay_bucket")
-    delivered = model.fact_orders.filter(delay.isNotNull()).select("order_id", bucket)
     return (
-        delivered.join(model.fact_reviews.select("order_id", "review_score", "is_negative"), "order_id")
+        order_outcomes(model)
+        .filter(delay.isNotNull() & F.col("is_reviewed"))
+        .select(bucket, "review_score", "is_negative")
         .groupBy("delay_bucket")
         .agg(
             _n().alias("reviewed_orders"),
@@ -214,18 +226,16 @@ def delay_vs_score(model) -> DataFrame:
 
 
 def at_risk_categories(model) -> DataFrame:
-    # One row per order and category: a review counts once for every category in its order, and
-    # the value comes along so that items are read and shuffled once.
-    # Dealt by order, they are also shuffled once for this sum and for the join on the order.
-    dealt = _by_category(model).select("order_id", "category", "price").repartition("order_id")
-    order_category = dealt.groupBy("order_id", "category").agg(F.sum("price").alias("_value"))
-    scores = model.fact_reviews.select("order_id", "review_score", F.lit(1).alias("_review"))
+    # One row per order and category: a review counts once for every category in its order.
+    # Both tables lie in buckets of the order, so the sum and the join move no row.
+    lines = order_lines(model).groupBy("order_id", "category").agg(F.sum("price").alias("_value"))
+    scores = order_outcomes(model).select("order_id", "is_reviewed", "review_score")
     per_category = (
-        order_category.join(scores, "order_id", "left")
+        lines.join(scores, "order_id", "left")
         .groupBy("category")
         .agg(
             F.sum("_value").alias("merchandise_value"),
-            F.count("_review").alias("reviewed_orders"),
+            F.count_if("is_reviewed").alias("reviewed_orders"),
             F.sum("review_score").alias("_score"),
             F.count("review_score").alias("_scored"),
         )
@@ -299,15 +309,11 @@ def payment_mix(model) -> DataFrame:
 
 
 def seller_watchlist(model, min_orders: int = 30, top: int = 20) -> DataFrame:
-    # One row per seller and order; value comes along so that items are read once.
-    # Dealt by order, items are shuffled once for this sum and for the joins on the order.
-    items = model.fact_order_items.select("seller_key", "order_id", "price").repartition("order_id")
-    seller_order = items.groupBy("seller_key", "order_id").agg(F.sum("price").alias("_value"))
-    late = model.fact_orders.select("order_id", "is_late")
-    scores = model.fact_reviews.select("order_id", "review_score")
+    # One row per seller and order, summed and joined within the buckets of the order.
+    lines = order_lines(model).groupBy("order_id", "seller_key").agg(F.sum("price").alias("_value"))
+    outcomes = order_outcomes(model).select("order_id", "is_late", "review_score")
     performance = (
-        seller_order.join(late, "order_id")
-        .join(scores, "order_id", "left")
+        lines.join(outcomes, "order_id")
         .groupBy("seller_key")
         .agg(
             _n().alias("orders"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import ratio
 from tradewind.operators.profiling import union_all
+from tradewind.plans.questions import order_lines, order_outcomes
 from tradewind.plans.slicing import Where, condition, month_bounds
 from tradewind.plans.star import MONTH_PARTITION
 
@@ -70,21 +71,17 @@ def conformed_totals(model, dates: Where | None = None, customers: Where | None
 def propagate(items: DataFrame, group: Sequence[str], order_fact: DataFrame) -> DataFrame:
     """Order-level rows once per group that sold something in the order.
 
-    The order ids of a group filter the order fact; items never multiply it. Dealt by order,
-    items are shuffled once for the distinct pairs and for the join on the order.
+    The order ids of a group filter the order fact; items never multiply it. Pairs are made
+    distinct on the map side; where both tables lie in buckets of the order, no row moves.
     """
-    return items.select(*group, "order_id").repartition("order_id").distinct().join(order_fact, "order_id")
+    return items.select(*group, "order_id").distinct().join(order_fact, "order_id")
 
 
 def scores_by_category(model) -> DataFrame:
     """Reviews and lateness of the orders of each product category, every order once."""
-    categories = model.dim_product.select("product_key", F.col("category_name_english").alias("category"))
-    items = model.fact_order_items.join(categories, "product_key").select("category", "order_id")
-    orders = model.fact_orders.select("order_id", "is_late").join(
-        model.fact_reviews.select("order_id", "review_score"), "order_id", "left"
-    )
+    outcomes = order_outcomes(model).select("order_id", "is_late", "review_score")
     return (
-        propagate(items, ["category"], orders)
+        propagate(order_lines(model), ["category"], outcomes)
         .groupBy("category")
         .agg(
             F.count(F.lit(1)).alias("orders"),
@@ -99,19 +96,17 @@ def seller_detail(model, seller_id: str) -> DataFrame:
     """All measures of one seller: value from its items, the rest from the orders it took part in."""
     seller = model.dim_seller.filter(F.col("seller_id") == seller_id).select("seller_key", "seller_id", "state")
     per_order = (
-        model.fact_order_items.join(seller, "seller_key")
+        order_lines(model)
+        .join(seller, "seller_key")
         .groupBy("seller_id", "state", "order_id")
         .agg(
-            F.count(F.lit(1)).alias("_items"),
+            F.sum("items").alias("_items"),
             F.sum("price").alias("_price"),
             F.sum("freight_value").alias("_freight"),
         )
     )
-    orders = model.fact_orders.select("order_id", "is_late", "delivery_delay_days", "delivery_days")
-    scores = model.fact_reviews.select("order_id", "review_score", "is_negative", "is_positive")
     return (
-        per_order.join(orders, "order_id")
-        .join(scores, "order_id", "left")
+        per_order.join(order_outcomes(model), "order_id")
         .groupBy("seller_id", "state")
         .agg(
             F.count(F.lit(1)).alias("orders"),

@@ -16,6 +16,9 @@ from tradewind.operators.keys import with_dense_key
 # at the granularity that files are pruned by.
 MONTH_PARTITION = "purchase_month"
 
+# Tables for questions by order, stored in buckets of the order id so that they meet without a shuffle.
+ORDER_LAYOUT = ["order_lines", "order_outcomes"]
+
 # Surrogate key and natural key of the dimensions that have both.
 DIMENSION_KEYS = {
     "dim_customer": ("customer_key", "customer_id"),
@@ -199,3 +202,30 @@ def build_fact_reviews(stg_reviews: DataFrame, fact_orders: DataFrame) -> DataFr
         "is_positive",
         MONTH_PARTITION,
     )
+
+
+def build_order_lines(fact_order_items: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """One row per order, product and seller.
+
+    The sums are combined on the map side and dealt by all three keys, so an order with very many
+    items is split before it is ever stored as one; then it has a row for each product it holds.
+    """
+    lines = fact_order_items.groupBy("order_id", "product_key", "seller_key").agg(
+        F.count(F.lit(1)).alias("items"),
+        F.sum("price").cast("decimal(22,2)").alias("price"),
+        F.sum("freight_value").cast("decimal(22,2)").alias("freight_value"),
+    )
+    products = dim_product.select("product_key", F.col("category_name_english").alias("category"))
+    return lines.join(products, "product_key").select(
+        "order_id", "product_key", "seller_key", "category", "items", "price", "freight_value"
+    )
+
+
+def build_order_outcomes(fact_orders: DataFrame, fact_reviews: DataFrame) -> DataFrame:
+    """One row per order: how it was delivered and how it was reviewed."""
+    reviews = fact_reviews.select(
+        "order_id", F.lit(True).alias("is_reviewed"), "review_score", "is_negative", "is_positive"
+    )
+    orders = fact_orders.select("order_id", "is_late", "delivery_days", "delivery_delay_days")
+    joined = orders.join(reviews, "order_id", "left")
+    return joined.withColumn("is_reviewed", F.coalesce("is_reviewed", F.lit(False)))

@@ -148,6 +148,43 @@ STAGING_TYPES: dict[str, dict[str, str]] = {
     },
 }
 
+# The two misspelled source headers and what staging calls them.
+RENAMED = {
+    "product_name_lenght": "product_name_length",
+    "product_description_lenght": "product_description_length",
+}
+
+# Columns that the model cannot do without: natural keys, references, and the date of purchase.
+REQUIRED_RAW: dict[str, list[str]] = {
+    "orders": ["order_id", "customer_id", "order_purchase_timestamp"],
+    "order_items": ["order_id", "order_item_id", "product_id", "seller_id"],
+    "order_payments": ["order_id", "payment_sequential"],
+    "order_reviews": ["review_id", "order_id"],
+    "customers": ["customer_id", "customer_unique_id"],
+    "sellers": ["seller_id"],
+    "products": ["product_id"],
+    "geolocation": ["geolocation_zip_code_prefix"],
+}
+
+# What tells the rows of an entity apart in the ledger of lost values.
+ROW_KEYS: dict[str, list[str]] = {
+    "orders": ["order_id"],
+    "order_items": ["order_id", "order_item_id"],
+    "order_payments": ["order_id", "payment_sequential"],
+    "order_reviews": ["review_id", "order_id"],
+    "customers": ["customer_id"],
+    "sellers": ["seller_id"],
+    "products": ["product_id"],
+    "geolocation": ["geolocation_zip_code_prefix", "geolocation_lat", "geolocation_lng"],
+}
+
+
+def raw_types(entity: str) -> dict[str, str]:
+    """The declared type of every raw column, under its raw name."""
+    types = STAGING_TYPES[entity]
+    return {c: types[RENAMED.get(c, c)] for c in RAW_COLUMNS[entity]}
+
+
 # Text that the usual CSV readers of the data take for a missing value.
 MISSING_TOKENS = [
     "",

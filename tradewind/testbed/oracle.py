@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tradewind.testbed.raw import FLAWS
+
 
 def ratio(num: str, den: str, places: int = 2, factor: int = 1) -> str:
     """Half-up rounded quotient in exact integer arithmetic, as a double."""
@@ -252,6 +254,23 @@ CTES: dict[str, tuple[list[str], str]] = {
           r.review_score >= 4 AS is_positive
         FROM stg_order_reviews r JOIN fact_orders o USING (order_id)""",
     ),
+    **{
+        f"months_{name}": (
+            ["fact_order_items"],
+            f"""SELECT g.*, no, printf('%04d-%02d', no // 12, no % 12 + 1) AS year_month, no // 12 AS year, value
+            FROM (SELECT DISTINCT {by}, unnest(range((SELECT min(CAST(left(year_month, 4) AS INTEGER) * 12
+                + CAST(right(year_month, 2) AS INTEGER) - 1) FROM fact_order_items WHERE {where}),
+                (SELECT max(CAST(left(year_month, 4) AS INTEGER) * 12 + CAST(right(year_month, 2) AS INTEGER))
+                FROM fact_order_items WHERE {where}))) AS no
+              FROM fact_order_items WHERE {where}) g
+            LEFT JOIN (SELECT {by}, CAST(left(year_month, 4) AS INTEGER) * 12 + CAST(right(year_month, 2) AS INTEGER) - 1 AS no,
+              sum(price) AS value FROM fact_order_items WHERE {where} GROUP BY ALL) v USING ({by}, no)""",
+        )
+        for name, by, where in (
+            ("category", "category", "state <> 'NATION_3'"),
+            ("state_category", "state, category", "true"),
+        )
+    },
     "monthly": (
         ["fact_order_items"],
         "SELECT year_month, year, sum(price) AS value, count(DISTINCT order_id) AS orders FROM fact_order_items GROUP BY ALL",
@@ -259,13 +278,51 @@ CTES: dict[str, tuple[list[str], str]] = {
 }
 
 
-def _closure(names: list[str]) -> list[str]:
+# Raw tables with the planted faults, all as text, and the staging tables that read them leniently.
+def _flawed() -> dict[str, tuple[list[str], str]]:
+    columns: dict[str, dict[str, str]] = {}
+    for entity, column, where, text in FLAWS:
+        mine = columns.setdefault(f"raw_{entity}", {})
+        value = "NULL" if text is None else f"'{text}'"
+        mine[column] = f"CASE WHEN {where} THEN {value} ELSE {mine.get(column, f'CAST({column} AS VARCHAR)')} END"
+    out: dict[str, tuple[list[str], str]] = {}
+    for name, changed in columns.items():
+        needed, sql = CTES[name]
+        replaced = ", ".join(f"{value} AS {c}" for c, value in changed.items())
+        out[name] = (needed, f"SELECT * REPLACE ({replaced}) FROM ({sql})")
+    typed = {
+        "raw_order_items": {"price": "DECIMAL(12,2)", "order_item_id": "INTEGER"},
+        "raw_order_payments": {"payment_installments": "INTEGER", "payment_value": "DECIMAL(12,2)"},
+        "raw_order_reviews": {"review_score": "INTEGER"},
+        "raw_customers": {"customer_zip_code_prefix": "INTEGER"},
+        "raw_products": {"product_weight_g": "DOUBLE"},
+        "raw_geolocation": {"geolocation_lat": "DOUBLE", "geolocation_zip_code_prefix": "INTEGER"},
+    }
+    for name, kinds in typed.items():
+        casts = ", ".join(f"TRY_CAST({c} AS {kind}) AS {c}" for c, kind in kinds.items())
+        out[f"fit_{name}"] = ([name], f"SELECT * REPLACE ({casts}) FROM {name}")
+    for name in ("stg_order_items", "stg_order_payments", "stg_order_reviews", "stg_customers", "stg_products", "geo_points"):
+        needed, sql = CTES[name]
+        for raw in typed:
+            if raw in needed:
+                needed = [f"fit_{n}" if n == raw else n for n in needed]
+                sql = sql.replace(f"FROM {raw}", f"FROM fit_{raw}")
+        out[name] = (needed, sql)
+    needed, sql = CTES["stg_geolocation"]
+    out["stg_geolocation"] = (needed, sql.replace("FROM geo_points", "FROM (SELECT * FROM geo_points WHERE zip IS NOT NULL)"))
+    return out
+
+
+FLAWED_CTES = CTES | _flawed()
+
+
+def _closure(names: list[str], tables: dict[str, tuple[list[str], str]]) -> list[str]:
     seen: list[str] = []
 
     def visit(name: str) -> None:
         if name in seen:
             return
-        for needed in CTES[name][0]:
+        for needed in tables[name][0]:
             visit(needed)
         seen.append(name)
 
@@ -274,7 +331,8 @@ def _closure(names: list[str]) -> list[str]:
     return seen
 
 
-def with_tables(tables: str, select: str) -> str:
+def with_tables(tables: str, select: str, flawed: bool = False) -> str:
     """``select`` with the named tables, and all they use, in front."""
-    parts = [f"{n} AS MATERIALIZED ({CTES[n][1]})" for n in _closure(tables.split())]
+    known = FLAWED_CTES if flawed else CTES
+    parts = [f"{n} AS MATERIALIZED ({known[n][1]})" for n in _closure(tables.split(), known)]
     return "WITH " + ",\n".join(parts) + "\n" + select

@@ -29,16 +29,41 @@ def _money(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(12,2)").cast("string")
 
 
+# Faults planted on request: entity, column, condition in SQL on the base table's key, and the text in its place.
+FLAWS = [
+    ("orders", "order_purchase_timestamp", "CAST(order_id AS BIGINT) % 83 = 12", "1997-13-45"),
+    ("orders", "order_purchase_timestamp", "CAST(order_id AS BIGINT) % 211 = 5", None),
+    ("orders", "order_approved_at", "CAST(order_id AS BIGINT) % 97 = 8", "soon"),
+    ("order_items", "price", "CAST(order_id AS BIGINT) % 101 = 7", "12,50"),
+    ("order_items", "order_item_id", "CAST(order_id AS BIGINT) % 103 = 9", "first"),
+    ("order_payments", "payment_installments", "CAST(order_id AS BIGINT) % 89 = 4", "two"),
+    ("order_payments", "payment_value", "CAST(order_id AS BIGINT) % 107 = 6", "10 euros"),
+    ("order_reviews", "review_score", "CAST(order_id AS BIGINT) % 71 = 3", "five"),
+    ("customers", "customer_zip_code_prefix", "CAST(customer_id AS BIGINT) % 109 = 2", "10x2"),
+    ("products", "product_weight_g", "CAST(product_id AS BIGINT) % 61 = 1", "1 kg"),
+    ("geolocation", "geolocation_lat", "CAST(geolocation_zip_code_prefix AS BIGINT) % 53 = 9", "-23,5"),
+    ("geolocation", "geolocation_zip_code_prefix", "CAST(geolocation_zip_code_prefix AS BIGINT) % 59 = 11", "10x2"),
+    ("geolocation", "geolocation_zip_code_prefix", "CAST(geolocation_zip_code_prefix AS BIGINT) % 83 = 7", None),
+]
+
+
 class RawTables:
-    """Lazy raw frames of one test data folder, by entity name."""
+    """Lazy raw frames of one test data folder, by entity name; ``flawed`` ones hold values that do not fit."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, flawed: bool = False):
         self.spark = spark
         self.folder = folder
+        self.flawed = flawed
 
     def __call__(self, entity: str) -> DataFrame:
         build: Callable[[], DataFrame] = getattr(self, f"_{entity}")
-        return build().select(*RAW_COLUMNS[entity])
+        rows = build().select(*RAW_COLUMNS[entity])
+        changed: dict[str, Column] = {}
+        for of, column, where, text in FLAWS if self.flawed else ():
+            if of == entity:
+                now = changed.get(column, F.col(column).cast("string"))
+                changed[column] = F.when(F.expr(where), F.lit(text)).otherwise(now)
+        return rows.withColumns(changed)
 
     def _read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{table}.parquet")

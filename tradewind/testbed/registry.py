@@ -13,14 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions import date_key
-from tradewind.operators import cleaning, profiling, quality, reconcile
+from tradewind.operators import cleaning, ledger, profiling, quality, reconcile
 from tradewind.operators.audit import decision_log
 from tradewind.plans import metrics, prepare, profile, questions, reports, star, validate
 from tradewind.plans.slicing import Between
 from tradewind.plans.warehouse import DIMENSIONS, FACTS, Warehouse
 from tradewind.session import work_dir
 from tradewind.sources import files
-from tradewind.sources.schemas import ORDER_DATES, RAW_COLUMNS, STAGING_TYPES
+from tradewind.sources.schemas import ORDER_DATES, RAW_COLUMNS, REQUIRED_RAW, ROW_KEYS, STAGING_TYPES, raw_types
+from tradewind.sources.versions import Versions
 from tradewind.testbed.oracle import date_key as sql_date_key
 from tradewind.testbed.oracle import pct, ratio, title, upper, with_tables
 from tradewind.testbed.raw import RawTables
@@ -28,16 +29,16 @@ from tradewind.testbed.raw import RawTables
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-_warehouses: dict[tuple[str, str], Warehouse] = {}
-_written: dict[tuple[str, str], object] = {}
+_warehouses: dict[tuple[str, str, bool], Warehouse] = {}
 _lock = threading.RLock()
 
 
-def warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    key = (spark.sparkContext.applicationId, str(folder).rstrip("/"))
+def warehouse(spark: SparkSession, folder: str, flawed: bool = False) -> Warehouse:
+    """The shared warehouse of a data folder; a flawed one is built from raw tables with planted faults."""
+    key = (spark.sparkContext.applicationId, str(folder).rstrip("/"), flawed)
     with _lock:
         if key not in _warehouses:
-            _warehouses[key] = Warehouse(spark, RawTables(spark, key[1]), work_dir(spark))
+            _warehouses[key] = Warehouse(spark, RawTables(spark, key[1], flawed), work_dir(spark))
         return _warehouses[key]
 
 
@@ -55,10 +56,10 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*[plain(f) for f in df.schema.fields])
 
 
-def query(name: str, tables: str, sql: str):
+def query(name: str, tables: str, sql: str, flawed: bool = False):
     def register(build: Callable[[Warehouse], DataFrame]):
-        QUERIES[name] = lambda spark, folder: portable(build(warehouse(spark, folder)))
-        ORACLE[name] = with_tables(tables, sql)
+        QUERIES[name] = lambda spark, folder: portable(build(warehouse(spark, folder, flawed)))
+        ORACLE[name] = with_tables(tables, sql, flawed)
         return build
 
     return register
@@ -87,18 +88,11 @@ ALL_FACTS = " ".join(FACTS)
 # ---------------------------------------------------------------- sources and sinks
 
 
-def once(wh: Warehouse, name: str, make: Callable[[], object]):
-    """What a query writes for itself, kept with its warehouse: a second call leaves no second copy."""
-    with _lock:
-        if (wh.root, name) not in _written:
-            _written[wh.root, name] = make()
-        return _written[wh.root, name]
-
-
 def _csv_folder(wh: Warehouse, entities: list[str]) -> str:
+    """The raw entities as delimited files, written anew by each query that reads them."""
     folder = f"{wh.root}/raw_csv"
     for e in entities:
-        once(wh, f"{e}.csv", lambda e=e: files.write_csv(wh.raw(e), f"{folder}/{e}.csv"))
+        files.write_csv(wh.raw(e), f"{folder}/{e}.csv")
     return folder
 
 
@@ -142,8 +136,7 @@ _STAGED_COUNTS = [f"SELECT 'stg_{e}' AS table_name, count(*) AS row_count FROM s
 @query("write_clean", ALL_STAGED, union_sql(_STAGED_COUNTS))
 def _(wh):
     written = {
-        f"stg_{e}": once(wh, f"clean_{e}", lambda e=e: files.write_table(prepare.PREPARE[e](wh.raw), f"{wh.root}/clean_{e}"))
-        for e in prepare.PREPARE
+        f"stg_{e}": files.write_table(prepare.PREPARE[e](wh.raw), f"{wh.root}/clean_{e}") for e in prepare.PREPARE
     }
     return quality.row_counts(written)
 
@@ -188,10 +181,7 @@ def _content(column: str, kind: str):
     return c.cast("decimal(20,8)")
 
 
-@query(
-    "stage_typed_columns",
-    ALL_STAGED,
-    union_sql(
+_TYPED_SQL = union_sql(
         [
             f"SELECT 'stg_{e}' AS table_name, '{c}' AS column_name, count(*) AS table_rows, count({s}) AS non_null, "
             f"round(CAST(sum({_content_sql(s, t)}) AS DOUBLE), 4) AS content_sum FROM stg_{e}"
@@ -199,8 +189,11 @@ def _content(column: str, kind: str):
             for c, t in types.items()
             for s in [_GEO_SQL.get(c, c)]
         ]
-    ),
-)
+    )
+
+
+@query("stage_typed_columns_flawed", ALL_STAGED, _TYPED_SQL, flawed=True)
+@query("stage_typed_columns", ALL_STAGED, _TYPED_SQL)
 def _(wh):
     """Every column of every typed staging table: rows, values, and a sum over what the values hold."""
     tables = []
@@ -229,19 +222,42 @@ def _(wh):
     return quality.with_total(quality.row_counts({f"stg_{e}": wh.staged(e) for e in STAGING_TYPES}))
 
 
+_SQL_TYPES = {"int": "INTEGER", "double": "DOUBLE", "decimal(12,2)": "DECIMAL(12,2)", "timestamp_ntz": "TIMESTAMP"}
+
+
+def _lost_sql(entity: str) -> list[tuple[str, str, str, bool, str]]:
+    """Column, type, reason, whether it stops a run, and condition of every way to lose a cell."""
+    ways = []
+    for c, kind in raw_types(entity).items():
+        required = c in REQUIRED_RAW[entity]
+        if required:
+            ways.append((c, kind, "missing", True, f"{c} IS NULL"))
+        if kind != "string":
+            unfit = f"({c} IS NOT NULL AND TRY_CAST(CAST({c} AS VARCHAR) AS {_SQL_TYPES[kind]}) IS NULL)"
+            ways.append((c, kind, f"not {kind}", required or kind != "timestamp_ntz", unfit))
+    return ways
+
+
+def _any_lost(entity: str, missing: bool) -> str:
+    ways = [w for _, _, reason, stops, w in _lost_sql(entity) if stops and (reason == "missing") == missing]
+    return " OR ".join(ways) or "false"
+
+
+def _unparsed_sql(columns: list[str]) -> str:
+    return " OR ".join(f"({c} IS NOT NULL AND TRY_CAST(CAST({c} AS VARCHAR) AS TIMESTAMP) IS NULL)" for c in columns)
+
+
 _AUDIT_SQL = union_sql(
     [
         "SELECT 'orders' AS entity, 'text that is no timestamp set to null' AS rule, count(*) AS rows_before, "
-        "count(*) AS rows_after, count(*) FILTER ("
-        + " OR ".join(f"({c} IS NOT NULL AND TRY_CAST({c} AS TIMESTAMP) IS NULL)" for c in ORDER_DATES)
-        + ") AS rows_changed FROM raw_orders",
+        f"count(*) AS rows_after, count(*) FILTER ({_unparsed_sql(ORDER_DATES)}) AS rows_changed FROM raw_orders",
         "SELECT 'orders', 'missing delivery date kept as null', count(*), count(*), "
         "count(*) FILTER (order_delivered_customer_date IS NULL) FROM stg_orders",
         "SELECT 'orders', 'lateness left null without delivery date', count(*), count(*), "
         "count(*) FILTER (is_late IS NULL) FROM stg_orders",
         "SELECT 'order_items', 'text that is no timestamp set to null', count(*), count(*), 0 FROM raw_order_items",
         "SELECT 'order_payments', 'zero installments set to one', count(*), count(*), "
-        "count(*) FILTER (payment_installments = 0) FROM raw_order_payments",
+        "count(*) FILTER (TRY_CAST(payment_installments AS INTEGER) = 0) FROM raw_order_payments",
         "SELECT 'order_payments', 'undefined payment type kept and flagged', count(*), count(*), "
         "count(*) FILTER (payment_type = 'not_defined') FROM raw_order_payments",
         "SELECT 'order_reviews', 'latest review per order kept', (SELECT count(*) FROM raw_order_reviews), count(*), 0 "
@@ -260,31 +276,78 @@ _AUDIT_SQL = union_sql(
         "SELECT 'geolocation', 'points merged per zip prefix', (SELECT count(*) FROM geo_points), count(*), 0 FROM stg_geolocation",
         "SELECT 'order_reviews', 'text that is no timestamp set to null', count(*), count(*), 0 FROM raw_order_reviews",
         *[
-            f"SELECT '{e}', 'value that does not fit its type set to null', count(*), count(*), 0 FROM stg_{e}"
+            f"SELECT '{e}', '{rule}', count(*), count(*), count(*) FILTER ({_any_lost(e, missing)}) FROM raw_{e}"
             for e in STAGING_TYPES
+            for rule, missing in (("value that does not fit its type set to null", False), ("required value missing", True))
         ],
     ]
 )
 _AUDIT_TABLES = (
-    "raw_orders raw_order_items raw_order_payments raw_order_reviews raw_customers raw_sellers raw_geolocation "
-    f"geo_points {ALL_STAGED}"
+    f"{' '.join(f'raw_{e}' for e in STAGING_TYPES)} geo_points {ALL_STAGED}"
+)
+
+
+_DECISION_SQL = (
+    "SELECT entity, rule, entity || ': ' || rule || ': ' || CASE WHEN rows_before > rows_after "
+    "THEN format('{:,} rows reduced to {:,}', rows_before, rows_after) "
+    f"ELSE format('{{:,}} of {{:,}} rows', rows_changed, rows_after) END AS message FROM ({_AUDIT_SQL})"
 )
 
 
+@query("cleaning_audit_flawed", _AUDIT_TABLES, _AUDIT_SQL, flawed=True)
 @query("cleaning_audit", _AUDIT_TABLES, _AUDIT_SQL)
 def _(wh):
     return prepare.cleaning_audit(wh.raw, wh.staged)
 
 
+@query("decision_log_flawed", _AUDIT_TABLES, _DECISION_SQL, flawed=True)
+@query("decision_log", _AUDIT_TABLES, _DECISION_SQL)
+def _(wh):
+    return decision_log(prepare.cleaning_audit(wh.raw, wh.staged))
+
+
+def _key_sql(entity: str) -> str:
+    def text(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN 'null' ELSE '\"' || CAST({c} AS VARCHAR) || '\"' END"
+
+    return " || ',' || ".join(f"'\"{c}\":' || {text(c)}" for c in ROW_KEYS[entity])
+
+
 @query(
-    "decision_log",
-    _AUDIT_TABLES,
-    "SELECT entity, rule, entity || ': ' || rule || ': ' || CASE WHEN rows_before > rows_after "
-    "THEN format('{:,} rows reduced to {:,}', rows_before, rows_after) "
-    f"ELSE format('{{:,}} of {{:,}} rows', rows_changed, rows_after) END AS message FROM ({_AUDIT_SQL})",
+    "ledger",
+    " ".join(f"raw_{e}" for e in STAGING_TYPES),
+    union_sql(
+        [
+            f"SELECT '{e}' AS entity, {'NULL' if e == 'geolocation' else f"'{{' || {_key_sql(e)} || '}}'"} AS row_key, "
+            f"'{c}' AS column_name, '{kind}' AS declared, '{reason}' AS reason, CAST({c} AS VARCHAR) AS value, "
+            f"{str(stops).lower()} AS stops FROM raw_{e} WHERE {way}"
+            for e in STAGING_TYPES
+            for c, kind, reason, stops, way in _lost_sql(e)
+        ]
+    ),
+    flawed=True,
 )
 def _(wh):
-    return decision_log(prepare.cleaning_audit(wh.raw, wh.staged))
+    """Every cell lost from flawed raw tables. Points have no key but their coordinates, which print differently in SQL."""
+    return wh.ledger.withColumn("row_key", F.when(F.col("entity") != "geolocation", F.col("row_key")))
+
+
+@query(
+    "ledger_summary",
+    " ".join(f"raw_{e}" for e in STAGING_TYPES),
+    union_sql(
+        [
+            f"SELECT '{e}' AS entity, '{c}' AS column_name, '{kind}' AS declared, '{reason}' AS reason, "
+            f"{str(stops).lower()} AS stops, count(*) AS cells, min(CAST({c} AS VARCHAR)) AS first_value, "
+            f"max(CAST({c} AS VARCHAR)) AS last_value FROM raw_{e} WHERE {way} HAVING count(*) > 0"
+            for e in STAGING_TYPES
+            for c, kind, reason, stops, way in _lost_sql(e)
+        ]
+    ),
+    flawed=True,
+)
+def _(wh):
+    return ledger.summary(wh.ledger)
 
 
 _MODEL_COUNTS = [f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in DIMENSIONS + FACTS]
@@ -302,12 +365,16 @@ def _(wh):
     f"SELECT table_name, row_count AS first_build, row_count AS second_build FROM ({_MODEL_SQL})",
 )
 def _(wh):
-    def rebuilt():
-        other = Warehouse(wh.spark, wh.raw, f"{wh.root}/rebuilt", staging=wh)
-        other.rebuild_model()
-        return other
+    """A version built anew, published after its checks, and opened; the one before the last is retired."""
 
-    other = once(wh, "rebuilt", rebuilt)
+    def check(new: Warehouse) -> list[str]:
+        reports = {"row counts": validate.row_counts(new), "money totals": validate.money_totals(new)}
+        return [name for name, report in reports.items() if not report.filter("not passed").isEmpty()]
+
+    versions = Versions(wh.spark, wh.root)
+    Warehouse(wh.spark, wh.raw, wh.root, staging=wh).rebuild_model(check, versions)
+    versions.retire(keep=2)
+    other = Warehouse.open(wh.spark, wh.root, wh.raw)
     first, second = (
         quality.row_counts({t: w.table(t) for t in DIMENSIONS + FACTS}).withColumnRenamed("row_count", name)
         for w, name in ((wh, "first_build"), (other, "second_build"))
@@ -1277,6 +1344,43 @@ def _(wh):
     return metrics.year_to_date(wh)
 
 
+# The same by one attribute with a filter, and by two without: every group has every month.
+GROUPED = {
+    "category": (["category"], {"customer_state": [f"NATION_{i}" for i in range(25) if i != 3]}),
+    "state_category": (["customer_state", "category"], None),
+}
+
+
+def _grouped_sql(name: str, months: int, named: str, growth: str | None = None) -> str:
+    on = "c.category = p.category" + (" AND c.state = p.state" if name == "state_category" else "")
+    groups = "c.category" + (", c.state AS customer_state" if name == "state_category" else "")
+    extra = f", {pct('c.value - p.value', 'p.value')} AS {growth}" if growth else ""
+    return (
+        f"SELECT {groups}, c.year_month, {money('c.value', 'merchandise_value')}, {money('p.value', named)}{extra} "
+        f"FROM months_{name} c LEFT JOIN months_{name} p ON p.no = c.no - {months} AND {on}"
+    )
+
+
+def _grouped_ytd(name: str) -> str:
+    groups = "category" + (", state" if name == "state_category" else "")
+    shown = groups.replace("state", "state AS customer_state")
+    running = f"sum(value) OVER (PARTITION BY {groups}, year ORDER BY no ROWS UNBOUNDED PRECEDING)"
+    return f"SELECT {shown}, year_month, {money('value', 'merchandise_value')}, {money(running, 'ytd_value')} FROM months_{name}"
+
+
+for _name, (_by, _where) in GROUPED.items():
+    for _measure, _build, _sql in (
+        ("prev_month", metrics.prev_month, _grouped_sql(_name, 1, "prev_month_value")),
+        ("prev_year", metrics.prev_year, _grouped_sql(_name, 12, "prev_year_value")),
+        ("mom_growth", metrics.mom_growth, _grouped_sql(_name, 1, "prev_month_value", "mom_growth_pct")),
+        ("yoy_growth", metrics.yoy_growth, _grouped_sql(_name, 12, "prev_year_value", "yoy_growth_pct")),
+        ("year_to_date", metrics.year_to_date, _grouped_ytd(_name)),
+    ):
+        query(f"m_{_measure}_by_{_name}", f"months_{_name}", _sql)(
+            lambda wh, build=_build, by=_by, where=_where: build(wh, by=by, where=where)
+        )
+
+
 @query(
     "m_complete_months",
     "monthly fact_orders",
