@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import Steps, table
+from tradewind.llm.common import Steps, some_rows, table
 
 GRAM = 32  # bytes of an anchor
 SYMBOL = 8  # bytes that the transforms take as one letter
@@ -90,7 +90,7 @@ def _all_anchors(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.
         columns["place"] = columns["place"] + np.array(bases, np.int64)[at]
         return pa.RecordBatch.from_arrays([pa.array(v.astype(np.int64)) for v in columns.values()], names=list(columns))
 
-    for batch in batches:
+    for batch in some_rows(batches, "data", SLICE):
         for row, text in zip(batch.column("row").to_pylist(), batch.column("data").to_pylist(), strict=True):
             for base in range(0, len(text) - length + 1, CHUNK):
                 held.append((row, text[base : base + CHUNK + length - 1]))
@@ -309,7 +309,7 @@ def _in_groups(pieces: DataFrame, length: int, steps: Steps) -> tuple[DataFrame,
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Join overlapping spans, and the bytes outside them."""
-    for batch in batches:
+    for batch in some_rows(batches, "data", 8 * SLICE):
         kept, spans = [], []
         for data, found in zip(batch.column("data").to_pylist(), batch.column("found").to_pylist(), strict=True):
             merged: list[list[int]] = []
