@@ -346,19 +346,33 @@ def test_language_model_of_awkward_rows(awkward):
     assert mixing_lm.score_documents(awkward.limit(0)).count() == 0
 
 
-def test_every_word_counts_in_its_prefixes(spark, monkeypatch):
-    # More types than a table of fixed size held; the rare ones count like the others.
+def test_large_counts_are_halved_together():
+    counts = np.array([1 << 40, 3 << 40, 5, 7, 1 << 50, 1, 0, 1 << 33, 0, 0])
+    small = mixing_lm.in_32_bits(counts).astype(float).reshape(-1, 2)
+    assert small.dtype == float and small.max() < 2**31 and (small[1] == (5, 7)).all()
+    assert small[0, 1] / small[0, 0] == pytest.approx(3) and ((small > 0) == (counts.reshape(-1, 2) > 0)).all()
+
+
+@pytest.mark.parametrize("most", [20_000, 300])
+def test_every_word_counts_in_its_prefixes(spark, monkeypatch, most):
+    # More types than a table of fixed size held; the rare ones count like the others. Half begin alike.
     monkeypatch.setattr(mixing_lm, "GROUP", 100_000)
-    counts = {f"{i * 7919 % 100_003:x}".encode(): i % 3 for i in range(60_000)} | {b"": 9, b"a\x01": 2, b"\xff" * 40: 1}
+    monkeypatch.setattr(mixing_lm, "HEAD_WORDS", most)
+    counts = {f"{'http://a' * (i % 2)}{i * 7919 % 100_003:x}".encode(): i % 3 for i in range(60_000)}
+    counts |= {b"": 9, b"a\x01": 2, b"\xff" * 40: 1}
     words = spark.createDataFrame(list(counts.items()), "word binary, trained long")
     heads = mixing_lm.count_heads(words)
+    sizes = Counter(r.head for r in words.select(heads.column().alias("head")).toLocalIterator())
+    assert max(sizes.values()) <= most and sorted(map(bytes, sizes)) == heads.strings
+    assert heads.of(list(counts)) == set(heads.strings) and any(x.startswith(b"http://a") for x in heads.strings)
+    shared = spark.sparkContext.broadcast(heads)
     bits = {w: "".join(f"{b:08b}" for b in w + b" ") for w in counts}
     want = Counter()
     for w, path in bits.items():
         for d in range(len(path) + 1):
             want[path[:d]] += counts[w]
     seen = 0
-    for part in mixing_lm.by_head(words, 3).rdd.glom().toLocalIterator():
+    for part in mixing_lm.by_head(words, shared, 3).rdd.glom().toLocalIterator():
         rows = [{"word": bytes(r.word), "trained": r.trained, "head": bytes(r["head"])} for r in part]
         batches = pa.Table.from_pylist(rows).to_batches(max_chunksize=1000)
         for _, some, prefixes in mixing_lm.with_prefixes(iter(batches), heads):

@@ -6,7 +6,9 @@ import uuid
 from collections import deque
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -100,6 +102,28 @@ def ordered(df: DataFrame, order: Sequence[Column], out: str, steps: Steps, name
     return placed.select(*df.columns, (F.col(first) + F.col(at).bitwiseAND(F.lit((1 << 33) - 1))).alias(out))
 
 
+def some_rows(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most about ``limit`` bytes in a column, a longer one alone."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(sizes) // limit
+        borders = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else []
+        for low, high in zip(borders, [*borders[1:], batch.num_rows], strict=True):
+            yield batch.slice(low, high - low)
+
+
+def numbered_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct words between white space with A-Z lower-cased, and the word and the text of every occurrence."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    numbered = split.flatten().dictionary_encode()
+    words, word = numbered.dictionary.cast(pa.binary()).to_pylist(), numbered.indices.to_numpy()
+    text = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))
+    if b"" in words:  # what white space at the ends leaves
+        kept = word != words.index(b"")
+        word, text = word[kept], text[kept]
+    return words, word, text
+
+
 def append_columns(
     df: DataFrame, text_col: str, make: Callable[[Iterator[list]], Iterator[list]], ddl: dict[str, str]
 ) -> DataFrame:

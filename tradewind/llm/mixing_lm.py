@@ -11,27 +11,28 @@ probability, which is computed once per distinct word of the corpus.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import Steps, fold, table
+from tradewind.llm.common import Steps, fold, numbered_words, some_rows, table
 
 SIZES = (12, 16, 19, 20, 21, 21)
 BLOCK = 1 << 12
 PREFIX = len(SIZES)
 GATING = 3
-HEAD = 3
+HEAD_WORDS = 20_000
 GROUP = 1_000_000
 CHUNK = 100_000
-COUNTED = 400_000
+COUNTED = 16 << 20
+LOOKED_UP = 4 << 20
 CLASS_PRIOR = 0.1
 LEARNED, COMMON, FORGET, CALM = 60_000, 1000, 0.8, 20.0
 N_GATES, BINS, EDGE = 32, 49, 12.0
@@ -309,28 +310,23 @@ def count_words(docs: DataFrame, kinds: int) -> DataFrame:
     """(word, by_class, trained, total): how often each token occurs; the empty word ends a text.
 
     ``docs`` is (text, kind) with the number of a training text's class, or -1 if the text is held
-    out. A task counts what it reads in a table of bounded size and hands on partial counts
-    whenever it is full, so that frequent words are few rows before the shuffle.
+    out. A task counts some ``COUNTED`` bytes at a time and hands on the counts of each, which the
+    aggregate combines further before the shuffle.
     """
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, Counter] = {}
-
-        def rows() -> Iterator[pa.RecordBatch]:
-            for kind, counter in counts.items():
-                arrays = [pa.array(list(counter), pa.binary()), pa.array(list(counter.values()), pa.int64())]
-                kinds_ = pa.array(np.full(len(counter), kind, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays([*arrays, kinds_], names=["word", "n", "kind"])
-
-        for batch in batches:
-            for text, kind in zip(batch.column("text"), batch.column("kind").to_pylist(), strict=True):
-                into = counts.setdefault(kind, Counter())
-                into.update((text.as_py() or b"").lower().split())
-                into[b""] += 1
-                if sum(map(len, counts.values())) > COUNTED:
-                    yield from rows()
-                    counts = {}
-        yield from rows()
+        for batch in some_rows(batches, "text", COUNTED):
+            words, word, text = numbered_words(batch.column("text"))
+            kind = batch.column("kind").to_numpy()
+            counts = np.bincount(word * (kinds + 1) + kind[text] + 1, minlength=len(words) * (kinds + 1))
+            some = np.flatnonzero(counts)
+            ends = np.bincount(kind + 1, minlength=kinds + 1)
+            names = pa.concat_arrays(
+                [pa.array(words, pa.binary()).take(pa.array(some // (kinds + 1))), pa.array([b""] * (kinds + 1), pa.binary())]
+            )
+            n = pa.array(np.concatenate([counts[some], ends]), pa.int64())
+            of = pa.array(np.concatenate([some % (kinds + 1) - 1, np.arange(kinds + 1) - 1]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([names, n, of], names=["word", "n", "kind"]).filter(pc.greater(n, 0))
 
     partial = docs.mapInArrow(apply, "word binary, n long, kind int")
     sums = [F.coalesce(F.sum(F.when(F.col("kind") == z, F.col("n"))), F.lit(0)).alias(f"c{z}") for z in range(kinds)]
@@ -349,31 +345,68 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], n
             yield batch.column("word").to_pylist(), batch.column("trained").to_numpy()
 
 
-def head() -> Column:
-    """The first bytes of a word and its end."""
-    return F.substring(F.concat("word", F.lit(b" ")), 1, HEAD)
+@dataclass
+class Heads:
+    """First bytes of words, none the beginning of another, with the counts of their prefixes.
+
+    ``crowded`` are the beginnings that too many words have: a word's head is its shortest
+    beginning, its end included, that is not among them. ``strings`` are all heads in order.
+    """
+
+    crowded: list[bytes]
+    strings: list[bytes]
+    prefixes: Prefixes
+
+    def column(self) -> Column:
+        whole, deepest = F.concat("word", F.lit(b" ")), max(map(len, self.crowded), default=0)
+        head = F.substring(whole, 1, deepest + 1)
+        for size in range(deepest, 0, -1):
+            start = F.substring(whole, 1, size)
+            longer = [F.lit(x) for x in self.crowded if len(x) == size]
+            head = F.when(start.isin(longer), head).otherwise(start) if longer else start
+        return head
 
+    def of(self, words: list[bytes]) -> set[bytes]:
+        crowded = set(self.crowded)
+        return {next(x[:n] for n in range(1, len(x) + 1) if x[:n] not in crowded) for x in (w + b" " for w in words)}
 
-def count_heads(words: DataFrame) -> tuple[list[bytes], Prefixes]:
-    """The first bytes of all words, at most 2^24 values, and how often their prefixes occur."""
-    got = words.groupBy(head().alias("head")).agg(F.sum("trained").alias("trained")).orderBy("head").toArrow()
-    return got.column("head").to_pylist(), Prefixes.of(got.column("head").to_pylist(), got.column("trained").to_numpy())
 
+def count_heads(words: DataFrame) -> Heads:
+    """Heads that at most ``HEAD_WORDS`` words have; there are at most 256 to a crowded beginning.
 
-def by_head(words: DataFrame, tasks: int) -> DataFrame:
-    """Words with the same first bytes one after the other in one task, in the order of a hash of these."""
-    dealt = words.withColumn("head", head()).withColumn("order", F.xxhash64("head"))
+    A beginning of too many words is lengthened by one byte at a time, so words of one site or
+    one stem, however many, are split into groups of bounded size.
+    """
+    whole, crowded, strings, counts, now = F.concat("word", F.lit(b" ")), [], [], [], [b""]
+    size = 0
+    while now:
+        size += 1
+        some = words if size == 1 else words.filter(F.substring(whole, 1, size - 1).isin([F.lit(x) for x in now]))
+        start = F.substring(whole, 1, size).alias("head")
+        got = some.groupBy(start).agg(F.count(F.lit(1)).alias("n"), F.sum("trained").alias("trained")).collect()
+        now = sorted(bytes(r.head) for r in got if r.n > HEAD_WORDS)
+        crowded += now
+        strings += [bytes(r.head) for r in got if r.n <= HEAD_WORDS]
+        counts += [r.trained for r in got if r.n <= HEAD_WORDS]
+    order = sorted(range(len(strings)), key=strings.__getitem__)
+    strings = [strings[i] for i in order]
+    return Heads(crowded, strings, Prefixes.of(strings, np.array([counts[i] for i in order], dtype=np.int64)))
+
+
+def by_head(words: DataFrame, heads: Broadcast, tasks: int) -> DataFrame:
+    """Words with the same head one after the other in one task, in the order of a hash of these."""
+    dealt = words.withColumn("head", heads.value.column()).withColumn("order", F.xxhash64("head"))
     return dealt.repartition(tasks, "head").sortWithinPartitions("order", "head").drop("order").coalesce(tasks)
 
 
 def with_prefixes(
-    batches: Iterator[pa.RecordBatch], heads: tuple[list[bytes], Prefixes]
+    batches: Iterator[pa.RecordBatch], heads: Heads
 ) -> Iterator[tuple[pa.Table, list[bytes], Prefixes]]:
-    """Rows of ``by_head`` in groups of all words with the same first bytes, with their prefixes' counts.
+    """Rows of ``by_head`` in groups of all words with the same head, with their prefixes' counts.
 
-    A group has about ``GROUP`` bytes, and more only if more begin with the same bytes.
+    A group has about ``GROUP`` bytes, or the words of one head if those have more.
     """
-    number = {x: i for i, x in enumerate(heads[0])}
+    number = {x: i for i, x in enumerate(heads.strings)}
     held: list[pa.RecordBatch] = []
 
     def group(rows: pa.Table) -> tuple[pa.Table, list[bytes], Prefixes]:
@@ -381,7 +414,8 @@ def with_prefixes(
         order = sorted(range(len(strings)), key=strings.__getitem__)
         rows, strings = rows.take(pa.array(order)), [strings[i] for i in order]
         prefixes = Prefixes.of(strings, rows.column("trained").to_numpy())
-        prefixes.continue_from(heads[1], np.array([number[x[:HEAD]] for x in strings]))
+        names = rows.column("head").to_pylist()
+        prefixes.continue_from(heads.prefixes, np.array([number[x] for x in names]))
         return rows, [x[:-1] for x in strings], prefixes
 
     for batch in batches:
@@ -402,6 +436,14 @@ def with_prefixes(
         yield group(pa.Table.from_batches(held))
 
 
+def in_32_bits(counts: np.ndarray) -> np.ndarray:
+    """Counts of zeros and ones side by side; where one is too large both are halved until it is not."""
+    pairs = counts.reshape(-1, 2)
+    bits = np.frexp(pairs.max(axis=1).astype(float))[1]
+    small = pairs >> np.maximum(0, bits - 30)[:, None]
+    return np.maximum(small, pairs > 0).astype(np.int32).ravel()
+
+
 def build_tables(words: DataFrame, tasks: int) -> list[np.ndarray]:
     """Counts by context, slot and bit, summed over all words. Their size is fixed by ``SIZES``."""
 
@@ -420,7 +462,7 @@ def build_tables(words: DataFrame, tasks: int) -> list[np.ndarray]:
         key, total = None, None
 
         def row() -> pa.RecordBatch:
-            counts = np.minimum(total, np.iinfo(np.int32).max).astype(np.int32)
+            counts = in_32_bits(total)
             return pa.RecordBatch.from_arrays(
                 [pa.array([key[0]]), pa.array([key[1]]), pa.array([counts.tobytes()])], names=["j", "block", "counts"]
             )
@@ -461,8 +503,8 @@ def common_words(words: DataFrame, heads: Broadcast, tasks: int) -> tuple[list[b
             columns = [pa.array([some[i] for i in at], pa.binary()), rows.column("trained").combine_chunks().take(pa.array(at, pa.int64()))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.binary())], names=["word", "trained", "counts"])
 
-    same = words.filter(head().isin([F.lit(x) for x in sorted({(w + b" ")[:HEAD] for w in wanted})])) if wanted else words
-    dealt = by_head(same.select("word", "trained"), tasks)
+    same = words.filter(heads.value.column().isin([F.lit(x) for x in sorted(heads.value.of(list(wanted)))])) if wanted else words
+    dealt = by_head(same.select("word", "trained"), heads, tasks)
     got = dealt.mapInArrow(apply, "word binary, trained long, counts binary").orderBy(F.desc("trained"), "word").toArrow()
     counts = np.frombuffer(b"".join(got.column("counts").to_pylist()), dtype=np.int64).reshape(-1, 9)
     return got.column("word").to_pylist(), got.column("trained").to_numpy(), counts
@@ -493,7 +535,7 @@ def train(words: DataFrame, heads: Broadcast, tasks: int) -> tuple[Broadcast, np
         values = [pa.array([x.tobytes()]) for x in (mixer.weights * tokens, cells)]
         yield pa.RecordBatch.from_arrays([*values, pa.array([tokens])], names=["weights", "cells", "tokens"])
 
-    dealt = by_head(words.filter("trained > 0").select("word", "trained"), tasks)
+    dealt = by_head(words.filter("trained > 0").select("word", "trained"), heads, tasks)
     rows = dealt.mapInArrow(learn, "weights binary, cells binary, tokens double").toLocalIterator()
     weights, cells, tokens = np.zeros_like(Mixer().weights), np.zeros((2, 8 * BINS)), 0.0
     for row in rows:
@@ -541,7 +583,7 @@ def score_words(words: DataFrame, model: tuple[Broadcast, np.ndarray, np.ndarray
             columns = [batch.column("word"), pa.array(trained), batch.column("total"), lists]
             yield pa.RecordBatch.from_arrays(columns, names=["word", "trained", "total", "values"])
 
-    return by_head(words, tasks).mapInArrow(apply, "word binary, trained long, total long, values array<double>")
+    return by_head(words, heads, tasks).mapInArrow(apply, "word binary, trained long, total long, values array<double>")
 
 
 def class_norms(scored: DataFrame, kinds: int) -> list[float]:
@@ -567,30 +609,26 @@ def _documents(docs: DataFrame, frequent: pa.Table, width: int) -> DataFrame:
         words, values = shared.value
         at = {w: i for i, w in enumerate(words)}
         key = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            texts, sums, rare = [], [], []
-            for text in batch.column("text"):
-                raw = text.as_py() or b""
-                tokens = raw.lower().split()
-                tokens.append(b"")
-                found = np.array(list(map(at.get, tokens, repeat(-1))))
-                hit = found[found >= 0]
-                texts.append((key, len(tokens), len(raw)))
-                sums.append(np.bincount(hit, minlength=len(values)) @ values if len(hit) > len(values) else values[hit].sum(axis=0))
-                if len(hit) < len(tokens):
-                    others = Counter(tokens[i] for i in np.nonzero(found < 0)[0])
-                    rare.extend((key, w, n) for w, n in others.items())
-                key += 1
-            if texts:
-                k, n, size = zip(*texts, strict=True)
-                lists = pa.array(sums, pa.list_(pa.float64()))
-                arrays = [pa.array(k), batch.column("doc_id"), pa.nulls(len(k), pa.binary()), pa.array(n), pa.array(size)]
-                yield pa.RecordBatch.from_arrays([*arrays, lists], names=names)
-            for i in range(0, len(rare), 100_000):
-                k, w, n = zip(*rare[i : i + 100_000], strict=True)
-                ids = pa.nulls(len(k), batch.schema.field("doc_id").type)
-                arrays = [pa.array(k), ids, pa.array(w, pa.binary()), pa.array(n), pa.nulls(len(k), pa.int64())]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(len(k), pa.list_(pa.float64()))], names=names)
+        for batch in some_rows(batches, "text", LOOKED_UP):
+            rows = batch.num_rows
+            distinct, word, text = numbered_words(batch.column("text"))
+            distinct.append(b"")  # the end of each text
+            word, text = np.r_[word, np.full(rows, len(distinct) - 1)], np.r_[text, np.arange(rows)]
+            found = np.array(list(map(at.get, distinct, repeat(-1))), dtype=np.int64)[word]
+            hit = found >= 0
+            shared_sums = [np.bincount(text[hit], column[found[hit]], rows) for column in values.T]
+            sums = pa.FixedSizeListArray.from_arrays(pa.array(np.column_stack(shared_sums).ravel()), values.shape[1])
+            keys = key + np.arange(rows)
+            key += rows
+            size = pc.binary_length(batch.column("text")).cast(pa.int64())
+            tokens = pa.array(np.bincount(text, minlength=rows), pa.int64())
+            arrays = [pa.array(keys), batch.column("doc_id"), pa.nulls(rows, pa.binary()), tokens, size]
+            yield pa.RecordBatch.from_arrays([*arrays, sums.cast(pa.list_(pa.float64()))], names=names)
+            pair, times = np.unique(text[~hit] * len(distinct) + word[~hit], return_counts=True)
+            rare, ids = pa.array(distinct, pa.binary()).take(pa.array(pair % len(distinct))), batch.schema.field("doc_id").type
+            arrays = [pa.array(keys[pair // len(distinct)]), pa.nulls(len(pair), ids), rare, pa.array(times, pa.int64())]
+            arrays += [pa.nulls(len(pair), pa.int64()), pa.nulls(len(pair), pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return docs.mapInArrow(apply, f"key long, doc_id {kind}, word binary, times long, bytes long, sums array<double>")
 
@@ -626,7 +664,7 @@ def score_documents(
     kind = classes(training, class_col, most_classes)
     kinds = most_classes if class_col in docs.columns and most_classes > 1 else 1
     held = fold(id_col, folds) == held_fold
-    texts = docs.select(F.col(text_col).cast("binary").alias("text"), F.when(held, -1).otherwise(kind).cast("int").alias("kind"))
+    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.when(held, -1).otherwise(kind).cast("int").alias("kind"))
     words = steps.keep(count_words(texts, kinds), "words")
     each = [F.sum(F.col("by_class")[z]) for z in range(kinds)]
     row = words.agg(F.sum("trained"), F.count_if(F.col("trained") > 0), F.sum("total"), F.count(F.lit(1)), *each).first()
@@ -639,7 +677,7 @@ def score_documents(
     model = train(words, heads, tasks)
     scored = steps.keep(score_words(words, model, sums, heads, math.ceil(4 * types / words_per_task) or 1), "scored")
     least = max(2.0, frequent_share * total)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     parts = steps.keep(_documents(rows, scored.filter(F.col("total") >= least).toArrow(), kinds + 2), "documents")
     rare = parts.filter("word is not null").select("key", "word", "times")
     joined = rare.join(scored.filter(F.col("total") < least).select("word", "trained", "values"), "word")

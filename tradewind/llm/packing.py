@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import Steps, fresh, table
+from tradewind.llm.common import Steps, fresh, some_rows, table
 
 # ASCII punctuation that the tokenizer's pattern always keeps in one run of its own after a letter.
 TAIL = ".,!;:?$%&*#"
@@ -136,16 +136,6 @@ def pieces(
     return rows.mapInArrow(apply, schema)
 
 
-def some_rows(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most about ``limit`` bytes in a column, a longer one alone."""
-    for batch in batches:
-        sizes = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
-        part = np.cumsum(sizes) // limit
-        borders = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else []
-        for low, high in zip(borders, [*borders[1:], batch.num_rows], strict=True):
-            yield batch.slice(low, high - low)
-
-
 def dot_product_bins(demand: np.ndarray, limits: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
     """Bin of each item and its place in that bin. demand: a row per item, a column per limit.
 
