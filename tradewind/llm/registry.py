@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tradewind.llm import sql
 from tradewind.llm.ann import op9_collision_ann
 from tradewind.llm.language import op6_crf_language
 from tradewind.llm.line_dedup import op2_winnowing_lines
@@ -25,21 +26,9 @@ QUERIES = {
     )
 }
 
-# Exact integer arithmetic with ties by id: the one corpus query that SQL expresses as it stands.
 ORACLE = {
-    "op7_columnar_topk": """
-WITH usable AS (
-  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v,
-    row_number() OVER () AS r
-  FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
-), scored AS (
-  SELECT q.r AS q_row, q.vec_id AS query_id, c.vec_id, c.r, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
-  FROM usable q JOIN usable c ON q.r <> c.r WHERE q.vec_id % 20 = 0
-), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY q_row ORDER BY score DESC, vec_id, r) AS rank FROM scored
-)
-SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
-""",
+    "op7_columnar_topk": sql.TOP_K,
+    "op11_spelling_groups": sql.SPELLING,
+    "op12_bwt_dedup": sql.REPEATS,
+    "op13_merkle_manifest": sql.MANIFEST,
 }
