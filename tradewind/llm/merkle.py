@@ -50,14 +50,16 @@ def _parents(runs: DataFrame, arity: int) -> DataFrame:
     )
 
 
-def _edges(runs: DataFrame, arity: int) -> DataFrame:
-    """From every node its siblings before and after it, and its parent (none above the root).
+def _edges(runs: DataFrame, arity: int, trees: int) -> DataFrame:
+    """From every node its siblings before and after it, and its parent (none if that is the root).
 
-    The last node of a tree over leaves is the subroot: a node of the tree at the top.
+    The last node of a tree over leaves is the subroot: a node of the tree at the top, or the root
+    if there is one tree only.
     """
     ends, top = F.col("n") <= arity, F.col("tree") == TOP
+    joins_top = ends & ~top if trees > 1 else F.lit(False)
     above = F.when(~ends, F.struct("tree", (F.col("level") + 1).alias("level"), F.col("up").alias("idx"))).when(
-        ~top, F.struct(F.lit(TOP).cast("long").alias("tree"), F.lit(0).alias("level"), F.col("tree").alias("idx"))
+        joins_top, F.struct(F.lit(TOP).cast("long").alias("tree"), F.lit(0).alias("level"), F.col("tree").alias("idx"))
     )
     each = runs.select("tree", "level", "up", "n", "run", F.posexplode("run").alias("place", "digest"))
     side = F.struct(
@@ -140,7 +142,8 @@ def merkle_manifest(docs: DataFrame, arity: int = 8) -> DataFrame:
     top_runs, root = _build(tops, trees_n, arity, steps, "top")
     edges = None
     for level in [*runs, *top_runs]:
-        edges = _edges(level, arity) if edges is None else edges.unionByName(_edges(level, arity))
+        more = _edges(level, arity, trees_n)
+        edges = more if edges is None else edges.unionByName(more)
 
     node = F.when(F.col("n") > 1, F.struct("tree", "level", "idx")).otherwise(
         F.struct(F.lit(TOP).cast("long").alias("tree"), F.lit(0).alias("level"), F.col("tree").alias("idx"))
