@@ -2,12 +2,12 @@
 
 import itertools
 import math
+import re
 import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pytest
 import xxhash
@@ -475,16 +475,212 @@ def test_mixing_of_awkward_rows(awkward):
     assert mixing.mix(awkward.limit(0))[0].count() == 0
 
 
-def test_pipeline_stages(spark, docs):
-    now, columns = docs, docs.columns
-    for name, stage in corpus_pipeline.STAGES:
-        later = spark.createDataFrame(stage(spark, now, SMALL).toPandas())
+def plain_mixing(rows, repeats):
+    """Weight by source and, without a budget, passes over each, from token counts in plain Python."""
+    tokens = Counter()
+    for source, n in rows:
+        tokens[source] += n
+    total = sum(tokens.values())
+    low, high = 0.0, 1.0
+    most = max(tokens.values())
+    passes = lambda a: max((t / total) ** (a - 1) for t in tokens.values()) / (most / total) ** (a - 1)
+    if passes(0.0) <= repeats * (1 + 1e-12):
+        high = 0.0
+    for _ in range(60 if high else 0):
+        middle = (low + high) / 2
+        low, high = (low, middle) if passes(middle) <= repeats * (1 + 1e-12) else (middle, high)
+    z = sum((t / total) ** high for t in tokens.values())
+    weight = {s: (t / total) ** high / z for s, t in tokens.items()}
+    return weight, tokens, most / weight[max(tokens, key=tokens.get)]
+
+
+def words_of(text):
+    return len(re.findall("[^ \t-\r]+", text or ""))
+
+
+def test_mixing_weights_blocks_and_places(docs):
+    rows, names = mixing.mix(docs, mixing.Target(repeats=2.0), block_tokens=20_000)
+    frame = rows.toPandas()
+    weight, tokens, whole = plain_mixing([(r.source, words_of(r.text)) for r in docs.collect()], 2.0)
+    for source, part in frame.groupby("source"):
+        assert np.allclose(part[names["weight"]], weight[source], rtol=1e-6)
+        assert (part[names["tokens"]] == part.text.map(words_of)).all()
+        full, rest = divmod(weight[source] * whole, tokens[source])
+        times = part.groupby("doc_id").size()
+        assert set(times) <= {int(full), int(full) + 1} or rest < 1
+        drawn = part[names["tokens"]].sum()
+        assert weight[source] * whole - 1e-6 * whole <= drawn <= weight[source] * whole + part[names["tokens"]].max()
+        assert (part[names["block"]] == np.floor(part[names["offset"]] / max(weight[source] * 20_000, 1.0))).all()
+        for _, one in part.groupby(names["pass"]):  # each pass is a permutation: no document twice
+            assert one.doc_id.is_unique
+    # Every block but the last holds all sources at their weights, within a document.
+    for _, block in frame[frame[names["block"]] < frame[names["block"]].max()].groupby(names["block"]):
+        for source, part in block.groupby("source"):
+            largest = frame[frame.source == source][names["tokens"]].max()
+            assert abs(part[names["tokens"]].sum() - weight[source] * 20_000) <= 2 * largest
+    assert frame[names["place"]].nunique() > 0.99 * len(frame)
+
+
+def test_many_equal_rows_are_mixed_in_several_parts(documents):
+    rows = [(1, "the same text", "en", "s")] * 400 + [(i, f"text number {i}", "en", "s") for i in range(2, 802)]
+    mixed, names = mixing.mix(documents(rows), per_task=50)
+    frame = mixed.toPandas()
+    assert len(frame) == 1200 and sorted(frame[names["offset"]]) == list(range(0, 3600, 3))
+    alike = np.sort(frame[frame.doc_id == 1][names["offset"]].to_numpy() // 3)
+    assert (np.diff(alike) > 1).sum() >= 4  # not one run of 400
+
+
+def instructions(n):
+    """Examples of a prompt and an answer: all tokens count, only the answer's bear loss."""
+    pick = np.random.default_rng(7)
+    prompt, answer = pick.integers(0, 40, n), pick.integers(1, 60, n)
+    return [(int(i), int(p + a), int(a)) for i, (p, a) in enumerate(zip(prompt, answer, strict=True))]
+
+
+def test_packing_under_a_loss_limit(spark):
+    rows = instructions(600)
+    items = spark.createDataFrame(rows, "id long, tokens long, loss long").withColumn("segment", F.lit(1))
+    path = f"{mixing.Steps(spark).folder}/items"
+    items.write.parquet(path)
+    limits = {"tokens": 400, "segment": 12, "loss": 150}
+    stored = spark.read.parquet(path)
+    frame = packing.pack(stored, limits, "tokens").toPandas()
+    assert sorted(frame.id) == [r[0] for r in rows]
+    sums = frame.groupby("sequence_id")[["tokens", "loss", "segment"]].sum()
+    assert (sums.tokens <= 400).all() and (sums.loss <= 150).all() and (sums.segment <= 12).all()
+    # The loss limit binds: sequences are full of loss, not of tokens, and without it they are fewer.
+    assert (sums.loss >= 140).mean() > 0.8 and sums.tokens.mean() < 350
+    free = packing.pack(stored, limits | {"loss": 400}, "tokens").toPandas()
+    assert free.sequence_id.nunique() < frame.sequence_id.nunique()
+    for _, one in frame.groupby("sequence_id"):
+        one = one.sort_values("offset")
+        assert (one.tokens.cumsum() - one.tokens == one.offset).all()
+
+
+def test_a_document_is_cut_at_the_smaller_limit(documents):
+    docs = documents([(1, "word " * 500, "en", "s"), (2, None, None, None)])
+    frame = packing.pack_documents(docs, packing.tokenizer_path(), longest=64, segments=4, loss_tokens=32).toPandas()
+    assert frame.length.max() == 32 and frame.groupby("sequence_id").length.sum().max() <= 32
+
+
+def test_vectors_without_components_and_clashing_columns(spark):
+    ddl = "vec_id long, embedding array<float>, row string, id string, vec string, q_row int, score string, rank int"
+    empty = spark.createDataFrame([(i, [], "r", "i", "v", 1, "s", 2) for i in range(41)], ddl)
+    rows = topk.top_k(empty).collect()
+    assert {(r.query_id, r.rank, r.vec_id, r.score) for r in rows} == {
+        (q, i + 1, c, 0) for q in (0, 20, 40) for i, c in enumerate([c for c in range(41) if c != q][:20])
+    }
+    assert ann.neighbours(empty).count() == 0  # zero vectors have no cosine
+    pick = np.random.default_rng(3)
+    vectors = [(i, [float(x) for x in pick.normal(size=4)], "r", "i", "v", 1, "s", 2) for i in range(60)]
+    got = {(r.query_id, r.rank): r.vec_id for r in topk.top_k(spark.createDataFrame(vectors, ddl)).collect()}
+    scaled = np.floor(64 * np.array([np.float32(v[1]) for v in vectors], dtype=np.float64))
+    for q in (0, 20, 40):
+        order = sorted((c for c in range(60) if c != q), key=lambda c: (-(scaled[q] @ scaled[c]), c))
+        assert [got[q, i + 1] for i in range(20)] == order[:20]
+
+
+def plain_line_dedup(rows):
+    """Texts without later runs of 50 words in lines that occur before, comparing every pair of places."""
+    lines = []
+    for doc_id, text in rows:
+        for place, line in enumerate((text or "").split("\n")):
+            if line.split():
+                lines.append((doc_id, place, line.rstrip(" "), len(re.findall("[^ \t-\r]+", line))))
+    places = {}
+    gone = set()
+    for i, (_, _, line, _) in enumerate(lines):
+        for j in places.get(line, ()):
+            if i and j and lines[i - 1][:3:2] == (lines[i][0], lines[j - 1][2]) and lines[j - 1][0] == lines[j][0]:
+                continue  # inside a longer run
+            n, words = 0, 0
+            while i + n < len(lines) and j + n < i + n and lines[i + n][2] == lines[j + n][2]:
+                if lines[i + n][0] != lines[i][0] or lines[j + n][0] != lines[j][0]:
+                    break
+                words, n = words + lines[i + n][3], n + 1
+            if words >= 50:
+                first, last = lines[i][1], lines[i + n - 1][1]
+                gone |= {(lines[i][0], p) for p in range(first, last + 1)}
+        places.setdefault(line, []).append(i)
+    out = {}
+    for doc_id, text in rows:
+        kept = [x for p, x in enumerate((text or "").split("\n")) if (doc_id, p) not in gone]
+        out[doc_id] = None if text is None else "\n".join(kept)
+    return out
+
+
+def test_pipeline_stages(spark, docs, tmp_path):
+    """Each stage on what the stage before it kept, next to plain Python; then all of them by ``run``."""
+    now, columns, model = docs, docs.columns, quality.train(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, now, SMALL).write.parquet(f"{tmp_path}/{i}")
+        later = spark.read.parquet(f"{tmp_path}/{i}")
+        before, after = now.collect(), later.collect()
+        texts = {r.doc_id: r.text for r in before}
+        if name == "quality classifier":
+            score = {r.doc_id: float(model(quality.features(r.text.encode())[None])[0]) for r in before}
+            assert {r.doc_id: r.text for r in after} == {d: t for d, t in texts.items() if score[d] >= 0.7}
+            assert 0 < len(after) < len(before)
+        if name == "line dedup":
+            assert {r.doc_id: r.text for r in after} == plain_line_dedup(sorted(texts.items()))
+            assert all(r.n_chars == len(r.text) for r in after) and len(after) == len(before)
         if name == "SimHash near-dedup":
-            groups = components_of({r.doc_id: plain_fingerprint(r.text) for r in now.collect()}, 2)
-            assert sorted(r.doc_id for r in later.collect()) == sorted(set(groups.values()))
-        if name in ("line dedup", "mixing sources"):
-            assert {r.doc_id for r in later.collect()} == {r.doc_id for r in now.collect()}
+            groups = components_of({r.doc_id: plain_fingerprint(r.text) for r in before}, 2)
+            assert sorted(r.doc_id for r in after) == sorted(set(groups.values()))
+            assert all(texts[r.doc_id] == r.text for r in after)
+        if name == "mixing sources":
+            weight, tokens, whole = plain_mixing([(r.source, words_of(r.text)) for r in before], 2.0)
+            drawn = Counter(r.doc_id for r in after)
+            assert set(drawn) == set(texts) and all(texts[r.doc_id] == r.text for r in after)
+            for source, t in tokens.items():
+                full, rest = divmod(weight[source] * whole, t)
+                times = {drawn[r.doc_id] for r in before if r.source == source and words_of(r.text)}
+                assert times <= {int(full), int(full) + 1} or rest < 1 or t - rest < 1
+        if name == "packing":
+            held = {}
+            words = packing.word_ids(packing.tokenizer_path())
+            for r in after:
+                held.setdefault(r.doc_id, []).append((r.start, r.length, r.ids_crc32, r.doc_tokens))
+            for d, pieces in held.items():
+                ids = np.array([*words.tokenizer.encode(texts[d], add_special_tokens=False).ids, 2], dtype="<u4")
+                wanted = [(s, min(4096, len(ids) - s), zlib.crc32(ids[s : s + 4096]), len(ids)) for s in range(0, len(ids), 4096)]
+                copies = sum(r.doc_id == d for r in before)
+                assert sorted(pieces) == sorted(wanted * copies)
         if name != "packing":
             assert later.columns == columns
         now = later
-    assert isinstance(now.toPandas(), pd.DataFrame) and "sequence_id" in now.columns
+    piece = lambda r: (r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens)
+    assert sorted(map(piece, corpus_pipeline.run(spark, SMALL).collect())) == sorted(map(piece, now.collect()))
+
+
+def test_pipeline_without_labels_rejects_nothing(spark, docs, tmp_path):
+    spark.read.parquet(f"{SMALL}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.good_quality(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns and kept.count() == docs.count()
+
+
+def test_awkward_rows_go_through_all_stages(spark, awkward, tmp_path):
+    spark.read.parquet(f"{SMALL}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    for rows, least in ((awkward, 6), (awkward.limit(0), 0)):
+        now = rows
+        for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            stage(spark, now, str(tmp_path)).write.mode("overwrite").parquet(f"{tmp_path}/{least}-{i}")
+            now = spark.read.parquet(f"{tmp_path}/{least}-{i}")
+            assert name == "packing" or now.columns == awkward.columns
+        assert now.select("doc_id").distinct().count() >= min(least, 1) and now.count() >= least - 1
+
+
+def test_a_sample_is_bounded_by_rows_not_ids(spark, docs):
+    """One id that fills a third of the rows with different texts adds no more than its share."""
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    many = docs.select("doc_id", "text").unionByName(
+        spark.range(400).select(F.lit(3).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    )
+    sizes = []
+    kept, quality_fit = quality.fit_nnpu, lambda p, u: sizes.append((len(p), len(u)))
+    quality.fit_nnpu = quality_fit
+    try:
+        quality.train(many, labels, positives=20, unlabelled=50)
+    finally:
+        quality.fit_nnpu = kept
+    assert sizes[0][0] <= 40 and sizes[0][1] <= 90

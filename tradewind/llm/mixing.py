@@ -95,7 +95,8 @@ def mix(
 
     Documents without tokens, and sources of only such, are drawn once without a budget. A null
     source is a source; repeated rows are drawn each; an empty table gives no rows. A source is never
-    ordered in one task: passes are split by hash, and the parts' sums give their offsets.
+    ordered in one task: passes are split by hash, and the parts' sums give their offsets. Equal
+    rows, of which more than ``per_task`` are dealt over several parts, tie.
     """
     target = target or Target()
     steps = Steps(docs.sparkSession)
@@ -126,8 +127,14 @@ def mix(
     weighted = weighted.withColumn("passes", F.when(F.col("t") > 0, F.floor(F.col("q") / F.col("t"))).otherwise(0).cast("int"))
     parts = max(1, -(-rows // per_task))
     drawn = slim.join(weighted.select("g", "t", "w", "q", "passes"), "g")
+    # Equal rows have one place in a permutation; very many of them are split over several.
+    copies = slim.groupBy("p").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > per_task)
+    copies = steps.keep(copies.select("p", F.ceil(F.col("c") / per_task).cast("long").alias("split")), "copies")
+    drawn = drawn.join(copies, "p", "left")
     drawn = drawn.withColumn("e", F.explode(F.sequence(F.lit(0), F.col("passes"))))
-    drawn = drawn.withColumn("key", F.xxhash64("p", "e", F.lit(seed)))
+    spread = F.pmod(F.xxhash64("r", F.lit(seed)), F.col("split"))
+    one_of = F.when(F.col("split").isNotNull(), F.xxhash64("p", "e", F.lit(seed), spread))
+    drawn = drawn.withColumn("key", F.coalesce(one_of, F.xxhash64("p", "e", F.lit(seed)))).drop("split")
     drawn = drawn.withColumn("part", F.pmod(F.shiftright("key", 17), F.lit(parts)))
     inside = Window.partitionBy("g", "e", "part").orderBy("key", "r")
     placed = drawn.withColumn("inside", F.sum("n").over(inside) - F.col("n"))

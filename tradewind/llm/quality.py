@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm.common import append_columns, chosen, fold, sample_share, table
+from tradewind.llm.common import append_columns, chosen, fold, fresh, sample_share, table
 
 CLASSES = 16
 
@@ -137,7 +137,7 @@ def _matrix(rows: DataFrame, id_col: str, text_col: str) -> np.ndarray:
         for batch in texts:
             yield [[features(t) for t in batch]]
 
-    # In the order of ids: the fit draws batches by position.
+    # In a fixed order: the fit draws batches by position.
     slim = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     made = append_columns(slim, "text", make, {"x": "array<float>"}).select("id", "x").toArrow().sort_by("id")
     if not made.num_rows:
@@ -160,17 +160,21 @@ def train(
     """Model from at most about ``positives`` labelled and ``unlabelled`` other texts of the training folds.
 
     Only labels of value 1 are read; labels of value 0 and all further columns are not. The
-    samples are hash shares of the ids; the features of the sampled texts, some 2 KB each, are what
+    samples are hash shares of the rows, equal ones taken once, so an id that fills many rows adds
+    no more than its share; the features of the sampled texts, some 2 KB each, are what
     the driver gets. None without a positive or a text to learn from.
     """
     seen = fold(id_col, folds) != held_fold
     good = labels.filter((F.col(label_col) == 1) & seen).select(id_col).distinct()
-    good = good.join(docs.filter(seen).select(id_col).distinct(), id_col, "left_semi")
-    good = good.filter(chosen(F.col(id_col), sample_share(good.count(), positives), 1))
-    rest = docs.filter(seen)
-    rest = rest.filter(chosen(F.col(id_col), sample_share(rest.count(), unlabelled), 2))
-    p = _matrix(docs.join(good, id_col, "left_semi"), id_col, text_col)
-    u = _matrix(rest, id_col, text_col)
+    print_ = fresh("print_", docs.columns)
+    rows = docs.filter(seen).select(id_col, text_col, F.xxhash64(id_col, text_col).alias(print_))
+    labelled = rows.join(good, id_col, "left_semi")
+
+    def sample(of: DataFrame, wanted: int, seed: int) -> np.ndarray:
+        some = of.filter(chosen(F.col(print_), sample_share(of.count(), wanted), seed))
+        return _matrix(some.dropDuplicates([print_]), print_, text_col)
+
+    p, u = sample(labelled, positives, 1), sample(rows, unlabelled, 2)
     return fit_nnpu(p, u) if len(p) and len(u) else None
 
 

@@ -63,6 +63,9 @@ def branch_and_bound(ask: Block, have: Block, _: dict, k: int, dims: int) -> tup
                 limit = least[q] - 1e-3 - 1e-6 * np.abs(least[q])
                 alive = score + left[step][q] * rest[step][c] >= limit
                 q, c, score = q[alive], c[alive], score[alive]
+        if not len(cuts):  # vectors without components: every score is 0
+            q, c = np.nonzero(~own)
+            score = sums[q, c]
         top = best_of(q, have.ids[c], score, k)
         found.append((q[top] + at, c[top], score[top].astype(np.int64)))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
@@ -81,7 +84,7 @@ def top_k(
 
     Queries are the rows whose id is divisible by ``every``. Vectors that are null, hold null or
     non-finite components or have no id take no part; ties go to the smaller id; repeated
-    rows are candidates of their own; zero vectors have score 0; an empty table gives no rows;
+    rows are candidates of their own; zero vectors and those without components have score 0; an empty table gives no rows;
     further columns are not read. Vectors of different lengths fail the job.
     """
     whole = usable(vectors, id_col, vector_col, nonzero=False)
