@@ -14,9 +14,15 @@ from tradewind.llm.common import Steps, fresh, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts; it learns from ``labels`` next to the documents."""
+    """Documents that the classifier accepts; it learns from ``labels`` next to the documents.
+
+    Without a good label in the training folds there is no model, and no document is rejected.
+    """
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    if model is None:
+        return docs
     score = fresh("quality_score_", docs.columns)
-    scored = quality.with_quality(docs, quality.train(docs, table(spark, sf_dir, "labels")), score)
+    scored = quality.with_quality(docs, model, score)
     return scored.filter(F.col(score) >= 0.7).select(*docs.columns)
 
 
@@ -53,7 +59,7 @@ STAGES = [
     ("mixing sources", mixed),
     ("packing", packed),
 ]
-# No stage but line dedup is within SQL; tests hold each stage against a brute-force version.
+# The stages are beyond SQL; tests hold the rows of each, and of all in a row, against plain Python.
 ORACLE_SQL = None
 
 
