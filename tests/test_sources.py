@@ -1,8 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tradewind.sources import files
+from tradewind.sources import files, quoted
 from tradewind.sources.schemas import RAW_COLUMNS, STAGING_TYPES
 
 
@@ -46,6 +48,66 @@ def test_csv_round_trip(spark, frame, tmp_path):
     assert rows(back) == rows(df)
 
 
+@pytest.fixture
+def ranges_of(spark):
+    """Sets the bytes of a range, so that a small file has many."""
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+    def set_to(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+
+    yield set_to
+    spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("size", [7, 64, 1 << 20])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_quoted_line_breaks_across_ranges(spark, tmp_path, ranges_of, size, end):
+    pick = random.Random(size)
+    bits = ["a", "é", "\n", "\n\n", '""', ",", " ", '"",""', '\n"",', "x" * 90, ""]
+    lines = ["id,text,more"]
+    for i in range(40):
+        field = "".join(pick.choice(bits) for _ in range(pick.randint(0, 6)))
+        lines.append(f'{i},"{field}",{pick.choice(["z", "", "NA"])}' if i % 4 else f"{i},plain,")
+        if i == 20:
+            lines.append("")  # a blank line between records
+    path = write(tmp_path / "q.csv", end.join(lines) + (end if size != 64 else ""))
+    ddl = "id string, text string, more string"
+    ranges_of(1 << 30)
+    want = rows(files.read_csv(spark, path, ddl, multi_line=True))
+    ranges_of(size)
+    assert quoted._lines(spark, path).rdd.getNumPartitions() > (10 if size < 100 else 0)
+    got = rows(quoted.read_quoted_csv(spark, path, ddl))
+    assert got == want and len(got) == 40
+
+
+def test_several_files_and_a_folder_of_quoted_text(spark, tmp_path, ranges_of):
+    ranges_of(30)
+    for name in ("a", "b"):
+        write(tmp_path / f"{name}.csv", f'\ufeffid,text\n{name}1,"one\ntwo"\n{name}2,"x"\n')
+    write(tmp_path / "c.csv", "id,text\n")
+    got = rows(quoted.read_quoted_csv(spark, str(tmp_path), "id string, text string"))
+    assert got == [("a1", "one\ntwo"), ("a2", "x"), ("b1", "one\ntwo"), ("b2", "x")]
+
+
+@pytest.mark.parametrize("text", ['id,text\n1,"open\n2,x\n3,y\n', "id,other\n1,2\n", "id,text\n1\n", 'id,text\n1,"a\nb",c\n'])
+def test_faulty_quoted_text_fails(spark, tmp_path, ranges_of, text):
+    ranges_of(9)
+    path = write(tmp_path / "f.csv", text)
+    with pytest.raises(Exception, match="(?i)malformed|header|does not end"):
+        quoted.read_quoted_csv(spark, path, "id string, text string").collect()
+
+
+def test_a_review_file_is_read_by_many_tasks(spark, small, tmp_path, ranges_of):
+    files.write_csv(small.raw("order_reviews").coalesce(1), str(tmp_path / "reviews"))
+    ranges_of(4096)
+    read = files.read_entity(spark, str(tmp_path / "reviews"), "order_reviews")
+    assert quoted._lines(spark, str(tmp_path / "reviews")).rdd.getNumPartitions() > 20
+    assert rows(read) == rows(small.raw("order_reviews"))
+
+
 def test_catalog_lists_entities_in_name_order(spark, tmp_path):
     for e in ("sellers", "customers"):
         write(tmp_path / f"{e}.csv", ",".join(RAW_COLUMNS[e]) + "\n")

@@ -70,16 +70,92 @@ def key_profile(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     )
 
 
+def by_key_sets(df: DataFrame, sets: Sequence[Sequence[str]]) -> tuple[DataFrame, list[int]]:
+    """Rows per value of every key set, from one scan: (columns of all sets, _set, _n), and each set's number.
+
+    One shuffle carries the groups of all sets, combined on the map side, so a value that most rows
+    share is one row a task. Columns that are not of a row's set are null there.
+    """
+    columns = list(dict.fromkeys(c for keys in sets for c in keys))
+    numbers = [sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys) for keys in sets]
+    wanted = list(dict.fromkeys(tuple(c for c in columns if c in keys) for keys in sets))
+    if len(wanted) == 1:  # a single set needs no expansion of rows
+        grouped = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")).withColumn("_set", F.lit(numbers[0]).cast("long"))
+    else:
+        grouped = df.select(*columns).groupingSets([list(k) for k in wanted], *columns).agg(
+            F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_set")
+        )
+    return grouped.select(*columns, "_set", "_n"), numbers
+
+
+def _sum_where(condition: Column, value: Column | str = "_n") -> Column:
+    return F.coalesce(F.sum(F.when(condition, value if isinstance(value, Column) else F.col(value))), F.lit(0))
+
+
+def key_profiles(df: DataFrame, sets: Sequence[Sequence[str]], name: str) -> DataFrame:
+    """``key_profile`` of several keys of one table, which is read once."""
+    groups, numbers = by_key_sets(df, sets)
+    rows = []
+    for keys, number in zip(sets, numbers, strict=True):
+        mine = F.col("_set") == number
+        any_null = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+        rows.append(
+            F.struct(
+                F.lit(" + ".join(keys)).alias("key_columns"),
+                _sum_where(mine).alias("table_rows"),
+                F.count_if(mine).alias("distinct_keys"),
+                _sum_where(mine, F.col("_n") - 1).alias("duplicates"),
+                _sum_where(mine & any_null).alias("null_keys"),
+            )
+        )
+    found = groups.agg(F.array(*rows).alias("rows")).select(F.lit(name).alias("table_name"), F.inline("rows"))
+    return found.withColumn("is_unique", F.col("duplicates") == 0)
+
+
 def distinct_count(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
-    """Distinct values of each column, nulls not counted."""
-    frames = [
-        df.select(c)
-        .distinct()
-        .agg(F.count(c).alias("distinct_values"))
-        .select(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), "distinct_values")
-        for c in columns
+    """Distinct values of each column, nulls not counted; the table is read once."""
+    groups, numbers = by_key_sets(df, [[c] for c in columns])
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), F.count_if((F.col("_set") == number) & F.col(c).isNotNull()).alias("distinct_values"))
+        for c, number in zip(columns, numbers, strict=True)
+    ]
+    return groups.agg(F.array(*rows).alias("rows")).select(F.lit(name).alias("table_name"), F.inline("rows"))
+
+
+Relation = tuple[str, str, DataFrame, str]
+
+
+def with_parents(groups: DataFrame, numbers: Sequence[int], relations: Sequence[Relation]) -> DataFrame:
+    """Groups of key sets with ``_found``: whether the group's value is a key of its relation's parent.
+
+    The keys of all parents are one table next to the number of the set they belong to, so all
+    relations of a child are one join. A null value finds a null key. ``relations`` are (label,
+    column, parent, key), one per number.
+    """
+    of = list(zip(numbers, relations, strict=True))
+    kind = "long" if all(dict(p.dtypes)[k] in ("int", "bigint") for _, _, p, k in relations) else "string"
+    value = F.coalesce(*[F.when(F.col("_set") == n, F.col(c).cast(kind)) for n, (_, c, _, _) in of])
+    keys = union_all(
+        [
+            parent.select(F.lit(n).cast("long").alias("_of"), F.col(k).cast(kind).alias("_key")).distinct()
+            for n, (_, _, parent, k) in dict(of).items()
+        ]
+    ).withColumn("_found", F.lit(True))
+    match = (F.col("_set") == F.col("_of")) & F.col("_value").eqNullSafe(F.col("_key"))
+    return groups.withColumn("_value", value).join(keys, match, "left").drop("_of", "_key")
+
+
+def orphan_counts(child: DataFrame, relations: Sequence[Relation]) -> DataFrame:
+    """Child rows without a parent, for several relations of one child, which is read once."""
+    groups, numbers = by_key_sets(child, [[c] for _, c, _, _ in relations])
+    if len(set(numbers)) < len(numbers):  # two relations of one column: each on its own
+        return union_all([orphan_count(child, parent, [c], [k], label) for label, c, parent, k in relations])
+    matched = with_parents(groups, numbers, relations)
+    rows = [
+        F.struct(F.lit(label).alias("relation"), _sum_where((F.col("_set") == n) & F.col("_found").isNull()).alias("orphans"))
+        for n, (label, _, _, _) in zip(numbers, relations, strict=True)
     ]
-    return union_all(frames)
+    return matched.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 def orphans(

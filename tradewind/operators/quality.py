@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions import ratio
-from tradewind.operators.profiling import key_profile, orphan_count, profile_table, union_all
+from tradewind.operators.profiling import by_key_sets, key_profile, union_all, with_parents
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -88,24 +88,39 @@ def check_constraints(
     unique: Sequence[Sequence[str]] = (),
     references: Mapping[str, tuple[DataFrame, str]] | None = None,
 ) -> DataFrame:
-    """Violations of NOT NULL, UNIQUE and foreign-key rules. A null foreign key passes."""
-    parts = []
-    if not_null:
-        nulls = profile_table(df.select(*not_null), name)
-        parts.append(
-            nulls.select(F.lit("not null").alias("rule"), F.col("column_name").alias("columns"), F.col("nulls").alias("violations"))
-        )
-    for keys in unique:
-        profile = key_profile(df, keys, name)
-        parts.append(
-            profile.select(F.lit("unique").alias("rule"), F.col("key_columns").alias("columns"), F.col("duplicates").alias("violations"))
-        )
-    for column, (parent, key) in (references or {}).items():
-        lost = orphan_count(df.filter(F.col(column).isNotNull()), parent, [column], [key], column)
-        parts.append(
-            lost.select(F.lit("foreign key").alias("rule"), F.col("relation").alias("columns"), F.col("orphans").alias("violations"))
+    """Violations of NOT NULL, UNIQUE and foreign-key rules. A null foreign key passes.
+
+    The table is read once, whatever the number of rules: its rows are counted by every unique key,
+    by every foreign key and by which required columns they lack, in one aggregate; the values of
+    all foreign keys then meet the keys of all parents in one join.
+    """
+    relations = [(column, column, parent, key) for column, (parent, key) in (references or {}).items()]
+    lacking = sum(
+        (F.when(F.col(c).isNull(), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")) for i, c in enumerate(not_null)),
+        F.lit(0).cast("long"),
+    )
+    lacks = "_lacks"
+    sets = [list(keys) for keys in unique] + [[c] for c, _, _, _ in relations] + [[lacks]] * bool(not_null)
+    groups, numbers = by_key_sets(df.withColumn(lacks, lacking), sets)
+    foreign = numbers[len(unique) : len(unique) + len(relations)]
+    if relations:
+        groups = with_parents(groups, foreign, relations)
+    of, rows = F.col("_set"), []
+
+    def rule(kind: str, columns: str, condition: Column, value: Column | None = None) -> None:
+        found = F.sum(F.when(condition, F.col("_n") if value is None else value))
+        rows.append(
+            F.struct(F.lit(kind).alias("rule"), F.lit(columns).alias("columns"), F.coalesce(found, F.lit(0)).alias("violations"))
         )
-    return union_all(parts).select(
+
+    for i, c in enumerate(not_null):
+        rule("not null", c, (of == numbers[-1]) & (F.col(lacks).bitwiseAND(F.lit(1 << i).cast("long")) != 0))
+    for keys, number in zip(unique, numbers, strict=False):
+        rule("unique", " + ".join(keys), of == number, F.col("_n") - 1)
+    for (column, _, _, _), number in zip(relations, foreign, strict=True):
+        rule("foreign key", column, (of == number) & F.col(column).isNotNull() & F.col("_found").isNull())
+    found = groups.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+    return found.select(
         F.lit(name).alias("table_name"), "rule", "columns", "violations", (F.col("violations") == 0).alias("passed")
     )
 

@@ -49,13 +49,18 @@ def duplicate_report(raw: Raw) -> DataFrame:
 
 
 def key_report(raw: Raw, keys: Sequence[tuple[str, list[str]]]) -> DataFrame:
-    return P.union_all([P.key_profile(raw(e), columns, e) for e, columns in keys])
+    sets: dict[str, list[list[str]]] = {}
+    for entity, columns in keys:
+        sets.setdefault(entity, []).append(columns)
+    return P.union_all([P.key_profiles(raw(e), columns, e) for e, columns in sets.items()])
 
 
 def relation_report(raw: Raw, relations: Sequence[tuple[str, str, str, str]]) -> DataFrame:
-    return P.union_all(
-        [P.orphan_count(raw(child), raw(parent), [key], [key], label) for label, child, parent, key in relations]
-    )
+    """Rows without a partner, each child read once for all of its relations."""
+    children: dict[str, list[P.Relation]] = {}
+    for label, child, parent, key in relations:
+        children.setdefault(child, []).append((label, key, raw(parent), key))
+    return P.union_all([P.orphan_counts(raw(child), mine) for child, mine in children.items()])
 
 
 def date_report(raw: Raw) -> DataFrame:

@@ -17,6 +17,10 @@ DIMENSIONS = ["dim_date", "dim_customer", "dim_seller", "dim_product"]
 FACTS = list(star.FACT_KEYS)
 
 
+# What a table is partitioned and then sorted by.
+PARTITIONS = {fact: (star.MONTH_PARTITION, "purchase_date_key") for fact in FACTS} | {"dim_customer": ("state", "customer_key")}
+
+
 class ChecksFailed(RuntimeError):
     """A model that did not pass its checks, and so was not published."""
 
@@ -77,8 +81,8 @@ class Warehouse:
         raise AttributeError(name)
 
     def table(self, name: str) -> DataFrame:
-        month = star.MONTH_PARTITION if name in FACTS else None
-        return self._stored(name, lambda: self._build(name), month)
+        """Facts lie by purchase month, customers by state: filters on these open only the files they need."""
+        return self._stored(name, lambda: self._build(name), *PARTITIONS.get(name, (None, None)))
 
     def with_key(self, fact: str) -> DataFrame:
         """The fact with its dense integer key, derived from file positions on read."""
@@ -142,18 +146,20 @@ class Warehouse:
             return star.build_order_outcomes(self.fact_orders, self.fact_reviews)
         raise KeyError(name)
 
-    def _stored(self, name: str, build: Callable[[], DataFrame], partition_by: str | None = None) -> DataFrame:
+    def _stored(
+        self, name: str, build: Callable[[], DataFrame], partition_by: str | None = None, sort_by: str | None = None
+    ) -> DataFrame:
         with self._lock:
             if name not in self._tables:
                 of_model = name in DIMENSIONS or name in FACTS or name in star.ORDER_LAYOUT
                 path = f"{self.model_root if of_model else self.root}/{name}"
-                bucketed = name in star.ORDER_LAYOUT
+                bucketed, text = name in star.ORDER_LAYOUT, partition_by if name in DIMENSIONS else None
                 if self._complete:
-                    table = read_bucketed(self.spark, path, "order_id") if bucketed else read_table(self.spark, path)
+                    table = read_bucketed(self.spark, path, "order_id") if bucketed else read_table(self.spark, path, text_partition=text)
                 elif bucketed:
                     # One number of buckets for both, from the row count in the footers of the largest fact.
                     table = write_bucketed(build(), path, "order_id", self.fact_order_items.count())
                 else:
-                    table = write_table(build(), path, partition_by, ["purchase_date_key"] if partition_by else [])
+                    table = write_table(build(), path, partition_by, [sort_by] if sort_by else [])
                 self._tables[name] = table
             return self._tables[name]

@@ -7,7 +7,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tradewind.sources.quoted import read_quoted_csv
 from tradewind.sources.schemas import FREE_TEXT_ENTITIES, MISSING_TOKENS, RAW_COLUMNS, raw_ddl
 
 
@@ -21,8 +23,8 @@ def read_csv(
     """Delimited text with a header row, every column as text, missing values as null.
 
     The header must match the declared columns and a row with a wrong number of
-    fields fails the read: nothing is dropped silently. ``multi_line`` is needed for
-    free text with line breaks; leave it off elsewhere so large files stay splittable.
+    fields fails the read: nothing is dropped silently. ``multi_line`` reads line breaks
+    in fields, a file in one task; ``read_quoted_csv`` does so in many.
     """
     df = (
         spark.read.schema(ddl)
@@ -39,7 +41,10 @@ def read_csv(
 
 
 def read_entity(spark: SparkSession, path: str | Sequence[str], entity: str) -> DataFrame:
-    return read_csv(spark, path, raw_ddl(entity), multi_line=entity in FREE_TEXT_ENTITIES)
+    """The raw entity as text; free text may hold line breaks, and its files are split all the same."""
+    if entity in FREE_TEXT_ENTITIES:
+        return read_quoted_csv(spark, path, raw_ddl(entity))
+    return read_csv(spark, path, raw_ddl(entity))
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
@@ -117,11 +122,17 @@ def write_table(
     return read_table(df.sparkSession, path, df)
 
 
-def read_table(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame:
-    reader = spark.read
+def read_table(
+    spark: SparkSession, path: str, like: DataFrame | None = None, text_partition: str | None = None
+) -> DataFrame:
+    """A stored table with the columns of ``like``, or as found; a ``text_partition`` of digits stays text."""
     if like is not None:
-        reader = reader.schema(like.schema)
-    return reader.parquet(path)
+        return spark.read.schema(like.schema).parquet(path)
+    found = spark.read.parquet(path)
+    if text_partition is None:
+        return found
+    fields = [T.StructField(f.name, T.StringType() if f.name == text_partition else f.dataType) for f in found.schema.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def _bucket_table(path: str, key: str) -> str:

@@ -209,7 +209,7 @@ MISSING_TOKENS = [
 ]
 
 # Entities with free text, whose fields may hold line breaks. Only these pay the
-# price of multi-line parsing, which reads a file in one task.
+# price of putting records together from lines.
 FREE_TEXT_ENTITIES = {"order_reviews"}
 
 

@@ -306,7 +306,7 @@ def _(wh):
     return decision_log(prepare.cleaning_audit(wh.raw, wh.staged))
 
 
-def _key_sql(entity: str) -> str:
+def _row_key_sql(entity: str) -> str:
     def text(c: str) -> str:
         return f"CASE WHEN {c} IS NULL THEN 'null' ELSE '\"' || CAST({c} AS VARCHAR) || '\"' END"
 
@@ -318,7 +318,7 @@ def _key_sql(entity: str) -> str:
     " ".join(f"raw_{e}" for e in STAGING_TYPES),
     union_sql(
         [
-            f"SELECT '{e}' AS entity, {'NULL' if e == 'geolocation' else f"'{{' || {_key_sql(e)} || '}}'"} AS row_key, "
+            f"SELECT '{e}' AS entity, {'NULL' if e == 'geolocation' else f"'{{' || {_row_key_sql(e)} || '}}'"} AS row_key, "
             f"'{c}' AS column_name, '{kind}' AS declared, '{reason}' AS reason, CAST({c} AS VARCHAR) AS value, "
             f"{str(stops).lower()} AS stops FROM raw_{e} WHERE {way}"
             for e in STAGING_TYPES
