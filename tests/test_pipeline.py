@@ -180,8 +180,8 @@ def test_facts_are_pruned_by_month(small):
     df = Q.filtered_category_revenue(small, 19971001, 19971231, "NATION_3")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "purchase_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
-    customers = next(line for line in plan.splitlines() if "FileScan" in line and "state=" not in line and "customer" in line)
-    assert "PartitionFilters: [isnotnull(state" in customers and "NATION_3" in customers  # other states' files stay shut
+    # Customers of other states stay in their files too.
+    assert any("PartitionFilters: [isnotnull(state" in line and "NATION_3" in line for line in plan.splitlines())
     items = [line for line in plan.splitlines() if "FileScan" in line and "freight" in line]
     assert not items  # columns the question does not use are not read
 
