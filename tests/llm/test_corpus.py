@@ -221,9 +221,12 @@ def test_packing_of_awkward_rows(awkward):
 
 def test_word_ids_equal_the_tokenizer():
     held = packing.word_ids(packing.tokenizer_path())
-    for text in ["DON'T they're.", "<|endoftext|>x <|ENDOFTEXT|>", "eİ$\t H̱a ΟΔΟΣ, a b", "é,É. naïve!! 1,2", ""]:
-        want = held.tokenizer.encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(held.of(text.encode()), dtype="<u4").tolist() == want
+    texts = ["DON'T they're.", "<|endoftext|>x <|ENDOFTEXT|>", "eİ$\t H̱a ΟΔΟΣ, a b", "é,É. naïve!! 1,2", "", " \n x", "x \x0b\x1c "]
+    ids, begin = held.of(pa.array(texts))
+    for i, text in enumerate(texts):
+        assert ids[begin[i] : begin[i + 1]].tolist() == held.tokenizer.encode(text, add_special_tokens=False).ids
+    sliced, _ = held.of(pa.array(["skipped", *texts]).slice(1))
+    assert sliced.tolist() == ids.tolist()
 
 
 def test_quality_on_held_out_documents(spark):

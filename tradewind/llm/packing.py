@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewind.llm.common import Steps, fresh, some_rows, table
 
@@ -72,9 +73,11 @@ class WordIds(dict):
 
         Words are split and numbered by Arrow; only distinct ones are looked up.
         """
-        lower = pc.if_else(pc.match_substring(texts, SPECIAL), texts, pc.ascii_lower(texts))
-        split = pc.ascii_split_whitespace(lower)
-        numbered = split.flatten().dictionary_encode()
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten()
+        # Beyond ASCII, letters and marks are put together before they are lower-cased.
+        plain = pc.and_not(pc.string_is_ascii(words), pc.match_substring(words, SPECIAL))
+        numbered = pc.if_else(plain, pc.ascii_lower(words), words).dictionary_encode()
         found = list(map(self.__getitem__, numbered.dictionary.cast(pa.binary()).to_pylist()))
         size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         pool, first = np.frombuffer(b"".join(found), "<u4"), np.cumsum(size) - size
@@ -210,7 +213,7 @@ def pack(
             sequence_id=(frame[group].to_numpy(dtype=np.int64) << 32) | bins, offset=offset
         )
 
-    schema = items.schema.add("sequence_id", "long").add("offset", "long")
+    schema = T.StructType(list(items.schema.fields)).add("sequence_id", "long").add("offset", "long")
     return dealt.groupBy(group).applyInPandas(apply, schema)
 
 
