@@ -184,7 +184,7 @@ def _content(column: str, kind: str):
 _TYPED_SQL = union_sql(
         [
             f"SELECT 'stg_{e}' AS table_name, '{c}' AS column_name, count(*) AS table_rows, count({s}) AS non_null, "
-            f"round(CAST(sum({_content_sql(s, t)}) AS DOUBLE), 4) AS content_sum FROM stg_{e}"
+            f"CAST(round(CAST(sum({_content_sql(s, t)}) AS DECIMAL(38,8)), 4) AS DOUBLE) AS content_sum FROM stg_{e}"
             for e, types in STAGING_TYPES.items()
             for c, t in types.items()
             for s in [_GEO_SQL.get(c, c)]
@@ -198,12 +198,12 @@ def _(wh):
     """Every column of every typed staging table: rows, values, and a sum over what the values hold."""
     tables = []
     for e, types in STAGING_TYPES.items():
-        sums = [F.sum(_content(c, t)).cast("double") for c, t in types.items()]
+        sums = [F.round(F.sum(_content(c, t)), 4).cast("double") for c, t in types.items()]
         totals = wh.staged(e).agg(
             F.count(F.lit(1)).alias("table_rows"),
             F.array(
                 *[
-                    F.struct(F.lit(c).alias("column_name"), F.count(c).alias("non_null"), F.round(s, 4).alias("content_sum"))
+                    F.struct(F.lit(c).alias("column_name"), F.count(c).alias("non_null"), s.alias("content_sum"))
                     for c, s in zip(types, sums, strict=True)
                 ]
             ).alias("columns"),
