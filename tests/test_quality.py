@@ -1,10 +1,14 @@
+import json
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from conftest import rows
+from tradewind.operators import profiling as P
 from tradewind.operators import quality as Q
 from tradewind.operators import reconcile as R
+from tradewind.plans import star, validate
+from tradewind.testbed.readvolume import by_group
 
 
 def test_counts_and_sums(frame):
@@ -74,3 +78,72 @@ def test_reconcile_statuses(frame):
     assert "- explained (1): one was a duplicate" in text
     assert "Not reconciled: broken, unexplained" in text
     assert "All metrics reconcile." in R.render_markdown(result.filter("metric = 'same'"))
+
+
+def _scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_all_rules_of_a_table_are_checked_in_one_scan(spark, small):
+    fact = "fact_order_items"
+    parents = {"purchase_date_key": (small.dim_date, "date_key")}
+    parents |= {k: (small.table(t), k) for t, (k, _) in star.DIMENSION_KEYS.items()}
+    checked = Q.check_constraints(fact, small.table(fact), validate.REQUIRED[fact], validate.UNIQUE[fact], parents)
+    assert _scans(checked) == 1 + len(parents)  # the fact once, each parent once
+    assert {r.rule for r in checked.collect()} == {"not null", "unique", "foreign key"}
+
+
+def test_rules_of_one_table_count_alike_together_and_alone(frame):
+    parent = frame("k int", [(1,), (2,)])
+    other = frame("k long", [(7,)])
+    child = frame(
+        "id int, a int, b int, note string",
+        [(1, 1, 7, "x"), (1, 1, 8, None), (2, 3, 7, "y"), (None, None, None, None), (None, 3, 7, "z")],
+    )
+    got = rows(Q.check_constraints("t", child, ["id", "note"], [["id"], ["a", "b"]], {"a": (parent, "k"), "b": (other, "k")}))
+    assert got == sorted(
+        [
+            ("t", "not null", "id", 2, False),
+            ("t", "not null", "note", 2, False),
+            ("t", "unique", "id", 2, False),
+            ("t", "unique", "a + b", 1, False),
+            ("t", "foreign key", "a", 2, False),
+            ("t", "foreign key", "b", 1, False),
+        ],
+        key=lambda t: tuple((x is None, str(x)) for x in t),
+    )
+    empty = child.limit(0)
+    assert all(r.violations == 0 and r.passed for r in Q.check_constraints("t", empty, ["id"], [["id"]], {"a": (parent, "k")}).collect())
+
+
+def test_several_keys_of_a_table_in_one_scan(spark, small):
+    reviews = small.staged("order_reviews")
+    both = P.key_profiles(reviews, [["review_id"], ["order_id"], ["order_id", "review_score"]], "r")
+    assert _scans(both) == 1
+    alone = [P.key_profile(reviews, k, "r") for k in (["review_id"], ["order_id"], ["order_id", "review_score"])]
+    assert rows(both) == rows(P.union_all(alone))
+    assert _scans(P.distinct_count(reviews, ["order_id", "review_score"], "r")) == 1
+    relations = [("o", "order_id", small.staged("orders"), "order_id"), ("i", "review_id", small.staged("order_items"), "order_id")]
+    found = P.orphan_counts(reviews, relations)
+    assert _scans(found) == 3
+    assert rows(found) == rows(P.union_all([P.orphan_count(reviews, p, [c], [k], label) for label, c, p, k in relations]))
+
+
+def test_read_volume_from_an_event_log(tmp_path):
+    def plan(numbers):
+        metrics = [{"name": n, "accumulatorId": i} for n, i in zip(("number of files read", "size of files read"), numbers, strict=True)]
+        scan = {"nodeName": "Scan parquet ", "metadata": {"Location": "InMemoryFileIndex(1 paths)[file:/x/fact]"}, "metrics": metrics, "children": []}
+        return {"nodeName": "Project", "metadata": {}, "metrics": [], "children": [scan]}
+
+    prefix = "org.apache.spark.sql.execution.ui."
+    task = {"Input Metrics": {"Bytes Read": 40}, "Executor CPU Time": 2_000_000}
+    events = [
+        {"Event": f"{prefix}SparkListenerSQLExecutionStart", "executionId": 3, "sparkPlanInfo": plan((7, 8))},
+        {"Event": "SparkListenerJobStart", "Stage IDs": [5], "Properties": {"spark.jobGroup.id": "g", "spark.sql.execution.id": "3"}},
+        {"Event": f"{prefix}SparkListenerDriverAccumUpdates", "executionId": 3, "accumUpdates": [[7, 2], [8, 90]]},
+        {"Event": "SparkListenerTaskEnd", "Stage ID": 5, "Task Metrics": task},
+        {"Event": "SparkListenerTaskEnd", "Stage ID": 5, "Task Metrics": task},
+        {"Event": "SparkListenerTaskEnd", "Stage ID": 6, "Task Metrics": task},
+    ]
+    (tmp_path / "local-1").write_text("\n".join(map(json.dumps, events)) + "\n")
+    assert by_group(str(tmp_path)) == {"g": {"bytes_read": 80, "cpu_ms": 4.0, "tables": {"fact": {"files": 2, "bytes": 90}}}}
