@@ -6,13 +6,14 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tradewind.llm import merkle, spelling, suffix_dedup
 from tradewind.llm.common import Steps, ordered
-from tradewind.llm.registry import QUERIES
+from tradewind.llm.registry import ORACLE, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -52,6 +53,16 @@ def as_dicts(df):
     return [r.asDict() for r in df.collect()]
 
 
+@pytest.mark.parametrize("name", ["op11_spelling_groups", "op12_bwt_dedup", "op13_merkle_manifest"])
+def test_query_equals_its_sql(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    result = con.execute(ORACLE[name])
+    columns = [c[0] for c in result.description]
+    got = QUERIES[name](spark, SMALL).select(*columns).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(result.fetchall(), key=str)
+
+
 # ---------------------------------------------------------------- Merkle manifest
 
 
