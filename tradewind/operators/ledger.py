@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,10 +59,11 @@ def lost_cells(
 ) -> DataFrame:
     """One row per lost cell: entity, column, declared type, reason, text, the row's keys, and whether it stops a run.
 
-    All columns are checked in one pass; rows without a lost cell leave nothing behind, so the
-    table grows with the faults and not with the data. Rows are told apart by ``keys`` as JSON.
+    All columns are checked in one pass. Rows with a lost cell are picked first, and only these are
+    written out by cell, so the cost of that and the table grow with the faults and not with the data. Rows are told apart by ``keys`` as JSON.
     """
     key = F.to_json(F.struct(*[F.col(k).cast("string").alias(k) for k in keys]), {"ignoreNullFields": "false"})
+    checked = _checked(types, required)
     cells = [
         F.struct(
             F.lit(c).alias("column_name"),
@@ -70,10 +72,11 @@ def lost_cells(
             F.col(c).cast("string").alias("value"),
             F.lit(stops(kind, c in required)).alias("stops"),
         )
-        for c, kind in _checked(types, required).items()
+        for c, kind in checked.items()
     ]
+    any_lost = reduce(Column.__or__, [reason(c, kind, c in required).isNotNull() for c, kind in checked.items()], F.lit(False))
     lost = F.filter(F.array(*cells), lambda cell: cell["reason"].isNotNull())
-    rows = raw.select(key.alias("row_key"), lost.alias("cells")).filter(F.size("cells") > 0)
+    rows = raw.filter(any_lost).select(key.alias("row_key"), lost.alias("cells"))
     return rows.select(F.lit(entity).alias("entity"), "row_key", F.inline("cells"))
 
 
