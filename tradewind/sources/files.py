@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradewind.session import small_tasks
 from tradewind.sources.quoted import read_quoted_csv
 from tradewind.sources.schemas import FREE_TEXT_ENTITIES, MISSING_TOKENS, RAW_COLUMNS, raw_ddl
 
@@ -118,7 +119,8 @@ def write_table(
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    with small_tasks(df.sparkSession):
+        writer.parquet(path)
     return read_table(df.sparkSession, path, df)
 
 
@@ -140,7 +142,7 @@ def _bucket_table(path: str, key: str) -> str:
     return f"tradewind_{key}_{hashlib.sha256(path.encode()).hexdigest()[:24]}"
 
 
-def write_bucketed(df: DataFrame, path: str, key: str, rows: int, rows_a_bucket: int = 2_000_000) -> DataFrame:
+def write_bucketed(df: DataFrame, path: str, key: str, rows: int, rows_a_bucket: int = 500_000) -> DataFrame:
     """Write a Parquet table of about ``rows`` rows in buckets of ``key``, one sorted file each, below ``path``.
 
     Tables written with the same number of buckets join and group by the key without a shuffle.
@@ -154,7 +156,8 @@ def write_bucketed(df: DataFrame, path: str, key: str, rows: int, rows_a_bucket:
     name = _bucket_table(path, key)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     writer = df.repartition(buckets, key).write.format("parquet").mode("overwrite").bucketBy(buckets, key).sortBy(key)
-    writer.option("path", f"{path}/buckets={buckets}").saveAsTable(name)
+    with small_tasks(spark):
+        writer.option("path", f"{path}/buckets={buckets}").saveAsTable(name)
     return spark.table(name)
 
 
