@@ -209,16 +209,16 @@ def build_order_lines(fact_order_items: DataFrame, dim_product: DataFrame) -> Da
 
     The sums are combined on the map side and dealt by all three keys, so an order with very many
     items is split before it is ever stored as one; then it has a row for each product it holds.
+    Money travels as whole cents, half as wide as a decimal sum, and is a decimal again when stored.
     """
-    lines = fact_order_items.groupBy("order_id", "product_key", "seller_key").agg(
-        F.count(F.lit(1)).alias("items"),
-        F.sum("price").cast("decimal(22,2)").alias("price"),
-        F.sum("freight_value").cast("decimal(22,2)").alias("freight_value"),
+    cents = [(F.col(c) * 100).cast("long").alias(c) for c in ("price", "freight_value")]
+    lines = fact_order_items.select("order_id", "product_key", "seller_key", *cents)
+    lines = lines.groupBy("order_id", "product_key", "seller_key").agg(
+        F.count(F.lit(1)).alias("items"), F.sum("price").alias("price"), F.sum("freight_value").alias("freight_value")
     )
     products = dim_product.select("product_key", F.col("category_name_english").alias("category"))
-    return lines.join(products, "product_key").select(
-        "order_id", "product_key", "seller_key", "category", "items", "price", "freight_value"
-    )
+    money = [(F.col(c).cast("decimal(20,0)") / 100).cast("decimal(22,2)").alias(c) for c in ("price", "freight_value")]
+    return lines.join(products, "product_key").select("order_id", "product_key", "seller_key", "category", "items", *money)
 
 
 def build_order_outcomes(fact_orders: DataFrame, fact_reviews: DataFrame) -> DataFrame:
