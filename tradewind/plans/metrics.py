@@ -193,24 +193,27 @@ def shifted(monthly: DataFrame, value: str, months: Mapping[str, int], by: By =
     value of an older one. With groups, each has a row for every month from the first to the last of
     the input, so that groups line up; without, a month without data has no row.
 
-    Rows are not joined: each is written out at its own month and at the later ones that look back
-    on it, and one combined aggregate by group and month gathers them, so a group meets only itself
-    and a large one is not one task's work.
+    Months of a group are gathered into one row, as many values as months, and looked up there. All
+    parts of the plan start from these rows, so the input is read and summed once. Without groups each
+    row is written out at its own month and at the later ones that look back on it, and one aggregate
+    by month gathers them.
     """
     dated = monthly.select(*by, _number(F.col("year_month")).alias("_no"), F.col(value).alias("_value"))
-    names, kind = [value, *months], monthly.schema[value].dataType
-    first, last = (dated.agg(f("_no")).scalar() for f in (F.min, F.max))
+    kind = monthly.schema[value].dataType
+    if by:
+        sums = dated.filter("_no IS NOT NULL").groupBy(*by, "_no").agg(F.max("_value").alias("_value"))
+        groups = sums.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_no", "_value"))).alias("_months"))
+        numbers = F.map_keys("_months")
+        span = groups.agg(F.struct(F.min(F.array_min(numbers)), F.max(F.array_max(numbers))).alias("_span")).scalar()
+        rows = groups.withColumn("_no", F.explode(F.sequence(span["col1"], span["col2"])))
+        looked = [F.element_at("_months", F.col("_no") - k).cast(kind).alias(n) for n, k in {value: 0, **months}.items()]
+        return rows.select(*by, _label(F.col("_no")).alias("year_month"), *looked)
+    names = [value, *months]
     places = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(k).alias("later")) for n, k in {value: 0, **months}.items()])
-    spread = dated.select(*by, "_no", "_value", F.inline(places)).select(
-        *by, (F.col("_no") + F.col("later")).alias("_no"), "name", "_value"
-    )
+    spread = dated.select("_no", "_value", F.inline(places)).select((F.col("_no") + F.col("later")).alias("_no"), "name", "_value")
     values = [F.max(F.when(F.col("name") == n, F.col("_value"))).cast(kind).alias(n) for n in names]
-    if by:
-        spine = dated.select(*by).distinct().select(*by, F.explode(F.sequence(first, last)).alias("_no"))
-        spread = spread.unionByName(spine, allowMissingColumns=True).filter(F.col("_no") <= last)
-    gathered = spread.groupBy(*by, "_no").agg(*values, F.count_if(F.col("name") == value).alias("_rows"))
-    gathered = gathered if by else gathered.filter("_rows > 0")
-    return gathered.select(*by, _label(F.col("_no")).alias("year_month"), *names)
+    gathered = spread.groupBy("_no").agg(*values, F.count_if(F.col("name") == value).alias("_rows")).filter("_rows > 0")
+    return gathered.select(_label(F.col("_no")).alias("year_month"), *names)
 
 
 def _monthly(model, monthly: DataFrame | None, by: By, where: Where | None) -> DataFrame:

@@ -113,9 +113,9 @@ def slice_fact(model, fact: str, by: By = (), where: Where | None = None, sums:
     any calendar attribute prunes the files of the fact.
 
     ``sums`` names the measures of a caller that only adds them up. They are then summed per
-    key before the joins, so that a large dimension meets a row per key instead of the raw
-    rows. With two dimensions besides the calendar, pairs of keys are nearly as many as rows and
-    the sum would only be a further shuffle: rows are joined as they are.
+    key before the join, so that a large dimension meets a row per key instead of the raw
+    rows. With two dimensions, the calendar among them or not, pairs of keys are nearly as many as
+    rows and the sum would only be a further shuffle: rows are joined as they are.
     """
     where = dict(where or {})
     df: DataFrame = getattr(model, fact)
@@ -127,7 +127,7 @@ def slice_fact(model, fact: str, by: By = (), where: Where | None = None, sums:
         df = df.filter(condition(F.col(name), where.pop(name)))
     missing = [n for n in dict.fromkeys([*by, *where]) if n not in known]
     joined = [link for link in LINKS if link.fact_key in known and not link.attributes.keys().isdisjoint(missing)]
-    if sums and joined and sum(link.table != "dim_date" for link in joined) <= 1:
+    if sums and len(joined) == 1:
         keys = [link.fact_key for link in joined]
         if MONTH_PARTITION in known and "purchase_date_key" in keys:
             keys.append(MONTH_PARTITION)
