@@ -10,6 +10,7 @@ from tradewind.operators.profiling import union_all
 from tradewind.operators.reconcile import reconcile, stage_metrics
 from tradewind.plans import star
 from tradewind.plans.warehouse import Warehouse
+from tradewind.session import small_tasks
 
 # Entity: staging table, model table.
 LOADED = {
@@ -107,8 +108,18 @@ def money_totals(wh: Warehouse) -> DataFrame:
     )
 
 
+def _found(verdicts: DataFrame) -> DataFrame:
+    """The verdicts, one row a rule, found in tasks that stay small however large the tables are.
+
+    Groups of keys take more memory than rows on their way to a file, so their tasks are smaller still.
+    """
+    with small_tasks(verdicts.sparkSession, task_bytes=4 << 20, partitions=800):
+        rows = verdicts.collect()
+    return verdicts.sparkSession.createDataFrame(rows, verdicts.schema)
+
+
 def grain(wh: Warehouse) -> DataFrame:
-    return quality.check_grain({f: (wh.table(f), keys) for f, keys in star.FACT_GRAIN.items()})
+    return _found(quality.check_grain({f: (wh.table(f), keys) for f, keys in star.FACT_GRAIN.items()}))
 
 
 def identity(wh: Warehouse) -> DataFrame:
@@ -122,7 +133,7 @@ def fanout(wh: Warehouse) -> DataFrame:
 def constraints(wh: Warehouse) -> DataFrame:
     parents = {c: (wh.dim_date, "date_key") for columns in DATE_REFERENCES.values() for c in columns}
     parents |= {key: (wh.table(table), key) for table, (key, _) in star.DIMENSION_KEYS.items()}
-    return union_all(
+    verdicts = union_all(
         [
             quality.check_constraints(
                 table,
@@ -136,6 +147,7 @@ def constraints(wh: Warehouse) -> DataFrame:
             for table in REQUIRED
         ]
     )
+    return _found(verdicts)
 
 
 # The metric names below are those of the published reconciliation.
