@@ -76,8 +76,9 @@ def lost_cells(
     ]
     any_lost = reduce(Column.__or__, [reason(c, kind, c in required).isNotNull() for c, kind in checked.items()], F.lit(False))
     lost = F.filter(F.array(*cells), lambda cell: cell["reason"].isNotNull())
-    rows = raw.filter(any_lost).select(key.alias("row_key"), lost.alias("cells"))
-    return rows.select(F.lit(entity).alias("entity"), "row_key", F.inline("cells"))
+    # An outer inline: a filter on the cells would move into the reader and parse what is no record yet.
+    rows = raw.select(key.alias("row_key"), F.when(any_lost, lost).alias("cells"))
+    return rows.select(F.lit(entity).alias("entity"), "row_key", F.inline_outer("cells")).filter("column_name IS NOT NULL")
 
 
 def summary(ledger: DataFrame) -> DataFrame:
