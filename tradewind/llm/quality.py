@@ -7,12 +7,16 @@ from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm.common import append_columns, chosen, fold, fresh, sample_share, table
 
 CLASSES = 16
+WIDTH = 256 + CLASSES * CLASSES + 6
+# Rows and columns that the driver widens to double precision at a time.
+BLOCK, COLUMNS = 1024, 64
 
 
 def _byte_classes() -> np.ndarray:
@@ -33,7 +37,7 @@ def features(text: bytes | None) -> np.ndarray:
 
     Shares are square roots, which evens out their spread. A null or empty text is all zeros.
     """
-    out = np.zeros(256 + CLASSES * CLASSES + 6, dtype=np.float32)
+    out = np.zeros(WIDTH, dtype=np.float32)
     if not text:
         return out
     data = np.frombuffer(text, dtype=np.uint8)
@@ -82,11 +86,46 @@ def _fit(gradient, dims: int, n: int, seed: int, epochs: int, batch: int, rate:
     return w
 
 
-def _design(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    return np.hstack([np.clip((x - mean) / scale, -6, 6), np.ones((len(x), 1))])
+@dataclass
+class Design:
+    """Rows of a matrix as the linear model takes them, scaled in double precision when they are drawn.
+
+    The driver thus holds the features as they came, in single precision, and one batch.
+    """
+
+    x: np.ndarray
+    mean: np.ndarray
+    scale: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.x)
 
+    def half(self, turn: int) -> Design:
+        return Design(self.x[turn::2], self.mean, self.scale)
 
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 3, batch: int = 1024) -> float:
+    def rows(self, at: np.ndarray | slice) -> np.ndarray:
+        some = self.x[at]
+        out = np.ones((len(some), some.shape[1] + 1))
+        scaled = out[:, :-1]
+        np.subtract(some, self.mean, out=scaled)
+        scaled /= self.scale
+        np.clip(scaled, -6, 6, out=scaled)
+        return out
+
+    def margins(self, w: np.ndarray) -> np.ndarray:
+        return np.concatenate([self.rows(slice(i, i + BLOCK)) @ w for i in range(0, len(self), BLOCK)])
+
+
+def moments(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and standard deviation of every column in double precision, some columns at a time."""
+    mean, deviation = np.empty(x.shape[1]), np.empty(x.shape[1])
+    for at in range(0, x.shape[1], COLUMNS):
+        some = x[:, at : at + COLUMNS].astype(np.float64)
+        mean[at : at + COLUMNS], deviation[at : at + COLUMNS] = some.mean(axis=0), some.std(axis=0)
+    return mean, deviation
+
+
+def estimate_prior(positive: Design, unlabelled: Design, seed: int = 3, batch: int = 1024) -> float:
     """Share of positives among the unlabelled, from both samples alone.
 
     A discriminator of positives against unlabelled text, fitted on one half of each, gives the
@@ -95,14 +134,14 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, seed: int = 3,
     """
     ratios = []
     for turn in range(2):
-        p, u = positive[turn::2], unlabelled[turn::2]
+        p, u = positive.half(turn), unlabelled.half(turn)
 
         def gradient(w, rng, p=p, u=u):
-            a, b = p[rng.integers(0, len(p), batch)], u[rng.integers(0, len(u), batch)]
+            a, b = p.rows(rng.integers(0, len(p), batch)), u.rows(rng.integers(0, len(u), batch))
             return (a.T @ (_sigmoid(a @ w) - 1) + b.T @ _sigmoid(b @ w)) / (2 * batch)
 
-        w = _fit(gradient, p.shape[1] - 1, max(len(p), len(u)), seed, 30, batch, 0.01, 0.003)
-        odds = np.exp(np.clip(positive[1 - turn :: 2] @ w, -3, 3))
+        w = _fit(gradient, p.x.shape[1], max(len(p), len(u)), seed, 30, batch, 0.01, 0.003)
+        odds = np.exp(np.clip(positive.half(1 - turn).margins(w), -3, 3))
         ratios.append(np.median(odds))
     return float(np.clip(1 / np.mean(ratios), 0.05, 0.98))
 
@@ -116,19 +155,20 @@ def fit_nnpu(
     the positives' part of it. When a batch's estimate falls below zero the model has begun to
     fit the unlabelled rows one by one, and the step goes back up that term instead.
     """
-    mean, scale = unlabelled.mean(axis=0), unlabelled.std(axis=0) + 1e-3
-    p, u = _design(positive, mean, scale), _design(unlabelled, mean, scale)
+    mean, deviation = moments(unlabelled)
+    scale = deviation + 1e-3
+    p, u = Design(positive, mean, scale), Design(unlabelled, mean, scale)
     share = estimate_prior(p, u) if prior is None else prior
 
     def gradient(w, rng):
-        a, b = p[rng.integers(0, len(p), batch)], u[rng.integers(0, len(u), 2 * batch)]
+        a, b = p.rows(rng.integers(0, len(p), batch)), u.rows(rng.integers(0, len(u), 2 * batch))
         za, zb = a @ w, b @ w
         as_negative = b.T @ _sigmoid(zb) / len(b) - share * (a.T @ _sigmoid(za)) / len(a)
         if np.logaddexp(0, zb).mean() - share * np.logaddexp(0, za).mean() < 0:
             return -as_negative
         return share * (a.T @ (_sigmoid(za) - 1)) / len(a) + as_negative
 
-    w = _fit(gradient, p.shape[1] - 1, len(u), seed, 60, batch, 0.01, 0.001)
+    w = _fit(gradient, p.x.shape[1], len(u), seed, 60, batch, 0.01, 0.001)
     return Linear(mean, scale, w[:-1], float(w[-1]))
 
 
@@ -139,11 +179,15 @@ def _matrix(rows: DataFrame, id_col: str, text_col: str) -> np.ndarray:
 
     # In a fixed order: the fit draws batches by position.
     slim = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    made = append_columns(slim, "text", make, {"x": "array<float>"}).select("id", "x").toArrow().sort_by("id")
-    if not made.num_rows:
-        return np.zeros((0, 1))
-    flat = made.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(made.num_rows, -1).astype(np.float64)
+    made = append_columns(slim, "text", make, {"x": "array<float>"}).select("id", "x").toArrow()
+    out = np.zeros((made.num_rows, WIDTH), dtype=np.float32)
+    place = np.empty(made.num_rows, dtype=np.int64)
+    place[pc.sort_indices(made.column("id")).to_numpy()] = np.arange(made.num_rows)
+    at = 0
+    for chunk in made.column("x").chunks:
+        out[place[at : at + len(chunk)]] = chunk.flatten().to_numpy(zero_copy_only=False).reshape(len(chunk), WIDTH)
+        at += len(chunk)
+    return out
 
 
 def train(
