@@ -33,9 +33,11 @@ GROUP = 1_000_000
 CHUNK = 100_000
 COUNTED = 16 << 20
 LOOKED_UP = 4 << 20
+SUMMED = 1 << 16
 CLASS_PRIOR = 0.1
 LEARNED, COMMON, FORGET, CALM = 60_000, 1000, 0.8, 20.0
 N_GATES, BINS, EDGE = 32, 49, 12.0
+LOW_GATES, PREFIX_GATES = np.digitize(np.arange(33), (1, 4, 32)) * 8, np.digitize(np.arange(513), (1, 2, 4, 8, 16, 64, 512))
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -77,6 +79,35 @@ class Layout:
             hashes = [(c + np.uint64(j + 1)) * MIX[1] for j, c in enumerate(contexts)]
         return cls(data, first, length, hashes)
 
+    def places(self) -> tuple[np.ndarray, np.ndarray]:
+        """The places to predict, and for each place of all words its number among them.
+
+        A prediction follows from the word's bytes so far. Where those are the first bytes of the word
+        before as well, the place is that word's; of sorted words most places are.
+        """
+        shared = np.zeros(len(self.first), dtype=np.int64)
+        later, depth = np.arange(1, len(self.first)), 0
+        while len(later):
+            later = later[np.minimum(self.length[later], self.length[later - 1]) > depth]
+            later = later[self.data[self.first[later] + depth] == self.data[self.first[later - 1] + depth]]
+            depth += 1
+            shared[later] = depth
+        inside = np.arange(len(self.data)) - np.repeat(self.first, self.length)
+        own = inside >= np.repeat(shared, self.length)
+        number = np.cumsum(own) - 1
+        later, depth = np.flatnonzero(shared), 0
+        while len(later):
+            opens = np.r_[True, np.diff(later) > 1]
+            source = (later[opens] - 1)[np.cumsum(opens) - 1]
+            number[self.first[later] + depth] = number[self.first[source] + depth]
+            depth += 1
+            later = later[shared[later] > depth]
+        return np.flatnonzero(own), number
+
+    def at(self, places: np.ndarray) -> Layout:
+        """Bytes and hashes of some places only; the words keep their places among all."""
+        return Layout(self.data[places], self.first, self.length, [h[places] for h in self.hashes])
+
     def step(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The bits of step ``k`` and the number that the bits before it make."""
         node = (1 << k) | (self.data >> (8 - k))
@@ -84,7 +115,7 @@ class Layout:
 
     def slot(self, j: int, node: np.ndarray) -> np.ndarray:
         mixed = (self.hashes[j] ^ node) * MIX[3]
-        return (mixed >> np.uint64(64 - SIZES[j])).astype(np.int64)
+        return (mixed >> np.uint64(64 - SIZES[j])).view(np.int64)
 
 
 def stretched(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
@@ -93,7 +124,7 @@ def stretched(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
 
 def gate_of(low: np.ndarray, prefix: np.ndarray) -> np.ndarray:
     """Which weights mix: how often the last three bytes and the whole prefix were seen."""
-    return np.digitize(low, (1, 4, 32)) * 8 + np.digitize(prefix, (1, 2, 4, 8, 16, 64, 512))
+    return LOW_GATES.take(low.astype(np.int64), mode="clip") + PREFIX_GATES.take(prefix.astype(np.int64), mode="clip")
 
 
 def squash(z: np.ndarray) -> np.ndarray:
@@ -105,6 +136,10 @@ def refine_cell(k: int, z: np.ndarray) -> np.ndarray:
     return k * BINS + np.rint(scaled).astype(np.int64)
 
 
+def by_spelling(words: list[bytes]) -> np.ndarray:
+    return np.array(sorted(range(len(words)), key=words.__getitem__), dtype=np.int64)
+
+
 def count_tables(words: list[bytes], counts: np.ndarray, size: int, tables: list[np.ndarray]) -> None:
     """Add the bits of words, as often as they occur, in runs of about ``size`` bytes."""
     for some, often in chunks(words, counts, size):
@@ -162,15 +197,20 @@ class Prefixes:
         self.counts[np.repeat(8 * self.first, bits) + inside] = heads.counts[np.repeat(8 * heads.first[number], bits) + inside]
         self.total = heads.total
 
-    def rows(self, which: np.ndarray) -> np.ndarray:
-        """By byte of the strings ``which``: the count before its first bit and after each of its bits."""
+    def rows(self, which: np.ndarray, places: np.ndarray | None = None) -> np.ndarray:
+        """By byte of the strings ``which``: the count before its first bit and after each of its bits.
+
+        With ``places``, only of these bytes.
+        """
         length = self.length[which]
-        ends = np.cumsum(length)
-        inside = np.arange(ends[-1]) - np.repeat(ends - length, length)
-        out = np.empty((len(inside), 9), dtype=self.counts.dtype)
-        out[:, 1:] = self.counts.reshape(-1, 8)[np.repeat(self.first[which], length) + inside]
-        out[1:, 0] = out[:-1, 8]
-        out[inside == 0, 0] = self.total
+        begin = np.cumsum(length) - length
+        places = np.arange(length.sum()) if places is None else places
+        place = np.repeat(self.first[which] - begin, length)[places] + places
+        counts = self.counts.reshape(-1, 8)
+        out = np.empty((len(places), 9), dtype=self.counts.dtype, order="F")
+        out[:, 1:] = counts[place]
+        out[:, 0] = counts[place - 1, 7]
+        out[np.repeat(begin, length)[places] == places, 0] = self.total
         return out
 
 
@@ -226,10 +266,18 @@ def learn_mixing(
     for some, often in chunks(words, counts, LEARNED):
         rows = np.vstack([prefixes.rows(which[at : at + len(some)]), common[2]])
         at += len(some)
-        layout = Layout.of(some + common[0])
-        part = np.concatenate([often.astype(float), common[1] * (share * often.sum())])
-        weight = np.repeat(part, layout.length)
-        even = np.arange(len(layout.data)) * 2
+        both_kinds = some + common[0]
+        order = by_spelling(both_kinds)
+        layout = Layout.of([both_kinds[i] for i in order])
+        places, number = layout.places()
+        part = np.concatenate([often.astype(float), common[1] * (share * often.sum())])[order]
+        weight = np.bincount(number, np.repeat(part, layout.length), len(places))
+        unsorted = np.empty_like(layout.first)
+        unsorted[order] = layout.length
+        begin = (np.cumsum(unsorted) - unsorted)[order]
+        rows = np.asfortranarray(rows[np.repeat(begin - layout.first, layout.length)[places] + places])
+        layout = layout.at(places)
+        even = np.arange(len(places)) * 2
         for k in range(8):
             bit, node = layout.step(k)
             inputs, seen = np.ones((len(bit), len(SIZES) + 2), dtype=np.float32), {}
@@ -277,21 +325,23 @@ class Ready:
         """log10 probability of each word with the space after it; without counts all prefixes are new."""
         out = [np.zeros(0)]
         for some, which in chunks(words, np.arange(len(words))):
-            layout = Layout.of(some)
-            rows = prefixes.rows(which) if prefixes else np.zeros((len(layout.data), 9), dtype=np.int64)
-            total = np.zeros(len(layout.data))
+            whole = Layout.of(some)
+            places, number = whole.places()
+            layout = whole.at(places)
+            rows = prefixes.rows(which, places) if prefixes else np.zeros((len(places), 9), dtype=np.int64)
+            chance = np.ones(len(places))
             for k in range(8):
                 bit, node = layout.step(k)
                 slots = [layout.slot(j, node) for j in range(len(SIZES))]
-                gate = gate_of(self.seen[slots[GATING]], rows[:, k])
-                weights = self.weights[k]
+                gate = gate_of(self.seen.take(slots[GATING]), rows[:, k])
+                weights = self.weights[k].T.copy()
                 both = pair_of(rows, k, bit).astype(np.float32)
-                z = weights[gate, -1] + weights[gate, PREFIX] * stretched(both[:, 0], both[:, 1])
+                z = weights[-1].take(gate) + weights[PREFIX].take(gate) * stretched(both[:, 0], both[:, 1])
                 for j, slot in enumerate(slots):
-                    z += weights[gate, j] * self.inputs[j][slot]
+                    z += weights[j].take(gate) * self.inputs[j].take(slot)
                 p = np.clip((squash(z) + self.refined[refine_cell(k, z)]) / 2, 1e-6, 1 - 1e-6)
-                total += np.log10(np.where(bit == 1, p, 1 - p))
-            out.append(np.add.reduceat(total, layout.first))
+                chance *= np.where(bit == 1, p, 1 - p)
+            out.append(np.add.reduceat(np.log10(chance)[number], whole.first))
         return np.concatenate(out)
 
 
@@ -321,9 +371,7 @@ def count_words(docs: DataFrame, kinds: int) -> DataFrame:
             counts = np.bincount(word * (kinds + 1) + kind[text] + 1, minlength=len(words) * (kinds + 1))
             some = np.flatnonzero(counts)
             ends = np.bincount(kind + 1, minlength=kinds + 1)
-            names = pa.concat_arrays(
-                [pa.array(words, pa.binary()).take(pa.array(some // (kinds + 1))), pa.array([b""] * (kinds + 1), pa.binary())]
-            )
+            names = pa.concat_arrays([words.take(pa.array(some // (kinds + 1))), pa.array([b""] * (kinds + 1), pa.binary())])
             n = pa.array(np.concatenate([counts[some], ends]), pa.int64())
             of = pa.array(np.concatenate([some % (kinds + 1) - 1, np.arange(kinds + 1) - 1]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([names, n, of], names=["word", "n", "kind"]).filter(pc.greater(n, 0))
@@ -483,11 +531,15 @@ def build_tables(words: DataFrame, tasks: int) -> list[np.ndarray]:
     parts = _trained(words, tasks).mapInArrow(count, kind)
     # Rows of a block arrive one after the other and are added as they come.
     added = parts.repartition("j", "block").sortWithinPartitions("j", "block").mapInArrow(add, kind)
+    # Stored first: rows fetched one part after the other would also be made one part after the other.
+    steps = Steps(words.sparkSession)
+    added = steps.keep(added, "tables")
     tables = [np.zeros(2 << b, dtype=np.int32) for b in SIZES]
     for row in added.toLocalIterator():
         at = row.block * BLOCK
         part = np.frombuffer(row.counts, dtype=np.int32)
         tables[row.j][at : at + len(part)] = part
+    steps.drop("tables")
     return tables
 
 
@@ -533,15 +585,21 @@ def train(words: DataFrame, heads: Broadcast, tasks: int) -> tuple[Broadcast, np
                 learn_mixing([some[i] for i in rest], often, prefixes, rest, common, share, shared.value, mixer, cells)
                 tokens += float(often.sum())
         values = [pa.array([x.tobytes()]) for x in (mixer.weights * tokens, cells)]
-        yield pa.RecordBatch.from_arrays([*values, pa.array([tokens])], names=["weights", "cells", "tokens"])
+        part = pa.array([TaskContext.get().partitionId()], pa.int32())
+        yield pa.RecordBatch.from_arrays([part, *values, pa.array([tokens])], names=["part", "weights", "cells", "tokens"])
 
     dealt = by_head(words.filter("trained > 0").select("word", "trained"), heads, tasks)
-    rows = dealt.mapInArrow(learn, "weights binary, cells binary, tokens double").toLocalIterator()
+    # All tasks learn at once; each gives one row of some 22 KB, in the order of the tasks.
+    steps = Steps(spark)
+    kind = "part int, weights binary, cells binary, tokens double"
+    learned = steps.keep(dealt.mapInArrow(learn, kind), "learned")
+    rows = learned.orderBy("part").toLocalIterator()
     weights, cells, tokens = np.zeros_like(Mixer().weights), np.zeros((2, 8 * BINS)), 0.0
     for row in rows:
         weights += np.frombuffer(row.weights).reshape(weights.shape)
         cells += np.frombuffer(row.cells).reshape(cells.shape)
         tokens += row.tokens
+    steps.drop("learned")
     weights = weights / tokens if tokens else Mixer().weights
     prior = squash(np.tile(np.linspace(-EDGE, EDGE, BINS), 8))
     refined = (cells[0] + 2 * prior) / (cells[1] + 2)
@@ -596,6 +654,18 @@ def class_norms(scored: DataFrame, kinds: int) -> list[float]:
     return [math.log10(1 + (x or 0.0)) for x in scored.agg(*over).first()]
 
 
+def sums_by_text(text: np.ndarray, values: np.ndarray, which: np.ndarray, texts: int) -> np.ndarray:
+    """For each of ``texts`` texts the sum of the rows ``which`` of ``values`` that its tokens have."""
+    out = np.zeros((texts, values.shape[1]))
+    order = np.argsort(text, kind="stable")
+    text, which = text[order], which[order]
+    for low in range(0, len(text), SUMMED):
+        some = text[low : low + SUMMED]
+        edges = np.flatnonzero(np.r_[True, some[1:] != some[:-1]])
+        out[some[edges]] += np.add.reduceat(values[which[low : low + SUMMED]], edges, axis=0)
+    return out
+
+
 def _documents(docs: DataFrame, frequent: pa.Table, width: int) -> DataFrame:
     """Two kinds of rows: sums of a text's frequent tokens (no word), and its other tokens, counted."""
     values = frequent.column("values").combine_chunks().flatten().to_numpy().reshape(-1, width)
@@ -612,12 +682,12 @@ def _documents(docs: DataFrame, frequent: pa.Table, width: int) -> DataFrame:
         for batch in some_rows(batches, "text", LOOKED_UP):
             rows = batch.num_rows
             distinct, word, text = numbered_words(batch.column("text"))
-            distinct.append(b"")  # the end of each text
+            distinct = pa.concat_arrays([distinct, pa.array([b""], pa.binary())])  # the end of each text
             word, text = np.r_[word, np.full(rows, len(distinct) - 1)], np.r_[text, np.arange(rows)]
-            found = np.array(list(map(at.get, distinct, repeat(-1))), dtype=np.int64)[word]
+            found = np.array(list(map(at.get, distinct.to_pylist(), repeat(-1))), dtype=np.int64)[word]
             hit = found >= 0
-            shared_sums = [np.bincount(text[hit], column[found[hit]], rows) for column in values.T]
-            sums = pa.FixedSizeListArray.from_arrays(pa.array(np.column_stack(shared_sums).ravel()), values.shape[1])
+            shared_sums = sums_by_text(text[hit], values, found[hit], rows)
+            sums = pa.FixedSizeListArray.from_arrays(pa.array(shared_sums.ravel()), values.shape[1])
             keys = key + np.arange(rows)
             key += rows
             size = pc.binary_length(batch.column("text")).cast(pa.int64())
@@ -625,7 +695,7 @@ def _documents(docs: DataFrame, frequent: pa.Table, width: int) -> DataFrame:
             arrays = [pa.array(keys), batch.column("doc_id"), pa.nulls(rows, pa.binary()), tokens, size]
             yield pa.RecordBatch.from_arrays([*arrays, sums.cast(pa.list_(pa.float64()))], names=names)
             pair, times = np.unique(text[~hit] * len(distinct) + word[~hit], return_counts=True)
-            rare, ids = pa.array(distinct, pa.binary()).take(pa.array(pair % len(distinct))), batch.schema.field("doc_id").type
+            rare, ids = distinct.take(pa.array(pair % len(distinct))), batch.schema.field("doc_id").type
             arrays = [pa.array(keys[pair // len(distinct)]), pa.nulls(len(pair), ids), rare, pa.array(times, pa.int64())]
             arrays += [pa.nulls(len(pair), pa.int64()), pa.nulls(len(pair), pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
