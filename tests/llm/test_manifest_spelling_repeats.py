@@ -324,6 +324,41 @@ def test_repeats_of_passages(passages, monkeypatch, group, bucket):
     assert got == without_repeats([(d["doc_id"], d["text"]) for d in as_dicts(passages)])
 
 
+@pytest.mark.parametrize("length", [32, *range(64, 73), 270, 399, 400])
+def test_repeats_of_any_length(length):
+    """Bytes beside the whole letters of a string, up to 14 of them, count at both ends."""
+    pick = random.Random(length)
+    shared = bytes(pick.choices(b"abcd ", k=2 * length))
+    texts = [bytes(pick.choices(b"abcd ", k=pick.randint(0, 30))) + shared[i : i + length + pick.randint(-2, 9)] for i in range(60)]
+    texts += [t[:-1] + bytes([t[-1] ^ 1]) for t in texts] + [b"ab" * length]
+    texts = [t for t in texts if len(t) >= length]
+    found = suffix_dedup.anchors(list(enumerate(texts)), length)
+    row, place, strings = (found[c] for c in ("row", "place", "strings"))
+    pieces = [texts[r][p : p + n + length - 1] for r, p, n in zip(row, place, strings, strict=True)]
+    got = suffix_dedup.repeated_strings(pieces, found["ahead"], strings, np.ones(len(pieces), np.int64), length)
+    each = [p[i : i + length] for p, n in zip(pieces, strings, strict=True) for i in range(n)]
+    seen = Counter(each)
+    assert list(got) == [seen[s] > 1 for s in each]
+    assert 0 < sum(got) < len(got) == sum(len(t) - length + 1 for t in texts)
+
+
+def test_repeats_shorter_than_the_query_looks_for(documents):
+    """A passage of 51 words and 305 bytes is no repeat of 400 bytes; asked for its own length, it is."""
+    pick = random.Random(9)
+
+    def words(n):
+        return " ".join("".join(pick.choices("abcdefghijkl", k=5)) for _ in range(n))
+
+    passage = words(51)
+    docs = [(i, f"{words(80)} {passage} {words(40 + i)}") for i in range(4)] + [(9, words(200))]
+    rows = documents([(i, t, "en", "s") for i, t in docs])
+    for length, caught in ((400, 0), (len(passage), 4)):
+        got = sorted((tuple(r) for r in digests(suffix_dedup.remove_repeats(rows, length)).collect()), key=str)
+        assert got == without_repeats(docs, length) and sum(r[2] > 0 for r in got) == caught
+    with pytest.raises(ValueError, match="at least 32"):
+        suffix_dedup.remove_repeats(rows, 31)
+
+
 def test_repeats_of_awkward_rows(awkward, documents):
     found = suffix_dedup.remove_repeats(awkward)
     got = sorted((tuple(r) for r in digests(found).collect()), key=str)
