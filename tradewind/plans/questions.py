@@ -309,15 +309,17 @@ def payment_mix(model) -> DataFrame:
 
 
 def seller_watchlist(model, min_orders: int = 30, top: int = 20) -> DataFrame:
-    # One row per seller and order, summed and joined within the buckets of the order.
-    lines = order_lines(model).groupBy("order_id", "seller_key").agg(F.sum("price").alias("_value"))
+    # One row per seller and order, summed and joined within the buckets of the order. Where sellers are
+    # many, a bucket's sums by seller are nearly as many as its rows: they travel as whole cents.
+    cents = (F.col("price") * 100).cast("long")
+    lines = order_lines(model).groupBy("order_id", "seller_key").agg(F.sum(cents).alias("_cents"))
     outcomes = order_outcomes(model).select("order_id", "is_late", "review_score")
     performance = (
         lines.join(outcomes, "order_id")
         .groupBy("seller_key")
         .agg(
             _n().alias("orders"),
-            F.sum("_value").alias("merchandise_value"),
+            (F.sum("_cents").cast("decimal(20,0)") / 100).cast("decimal(38,2)").alias("merchandise_value"),
             ratio(_n(F.col("is_late")), F.count("is_late"), 2, 100).alias("late_pct"),
             _mean("review_score").alias("avg_review_score"),
         )

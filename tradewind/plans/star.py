@@ -16,8 +16,12 @@ from tradewind.operators.keys import with_dense_key
 # at the granularity that files are pruned by.
 MONTH_PARTITION = "purchase_month"
 
-# Tables for questions by order, stored in buckets of the order id so that they meet without a shuffle.
-ORDER_LAYOUT = ["order_lines", "order_outcomes"]
+# Tables stored in buckets of the order id: those for questions by order, which meet without a
+# shuffle, and the items that the items' fact and the lines are both made of.
+ORDER_LAYOUT = ["order_items", "order_lines", "order_outcomes"]
+
+# Those that a join on the order id ends with; its partitions are the buckets.
+JOINED_BY_ORDER = ["order_items", "order_outcomes"]
 
 # Surrogate key and natural key of the dimensions that have both.
 DIMENSION_KEYS = {
@@ -117,12 +121,19 @@ def build_dim_product(stg_products: DataFrame) -> DataFrame:
 def build_fact_orders(stg_orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
     customers = dim_customer.select("customer_id", "customer_key")
     purchase = F.col("order_purchase_timestamp")
-    return stg_orders.join(customers, "customer_id").select(
+    # Dates that only their keys are needed of become keys before they are shuffled.
+    orders = stg_orders.withColumns(
+        {
+            "delivered_date_key": date_key(F.col("order_delivered_customer_date")),
+            "estimated_date_key": date_key(F.col("order_estimated_delivery_date")),
+        }
+    )
+    return orders.join(customers, "customer_id").select(
         "order_id",
         "customer_key",
         date_key(purchase).alias("purchase_date_key"),
-        date_key(F.col("order_delivered_customer_date")).alias("delivered_date_key"),
-        date_key(F.col("order_estimated_delivery_date")).alias("estimated_date_key"),
+        "delivered_date_key",
+        "estimated_date_key",
         "order_status",
         purchase.alias("purchase_timestamp"),
         "delivery_days",
@@ -135,23 +146,29 @@ def build_fact_orders(stg_orders: DataFrame, dim_customer: DataFrame) -> DataFra
     )
 
 
-def conform(df: DataFrame, fact_orders: DataFrame, *carried: str) -> DataFrame:
+def conform(df: DataFrame, fact_orders: DataFrame, *carried: str, shuffled: bool = False) -> DataFrame:
     """Add customer key, purchase date and further order columns to rows that only know their order.
 
     One join with the order fact brings everything, as that fact has met the
-    customer dimension already.
+    customer dimension already. It is a shuffle join whatever the sizes if the rows
+    are to lie by order.
     """
     order = fact_orders.select("order_id", "customer_key", "purchase_date_key", MONTH_PARTITION, *carried)
-    return df.join(order, "order_id")
+    return df.join(order.hint("merge") if shuffled else order, "order_id")
 
 
-def build_fact_order_items(
+def build_order_items(
     stg_items: DataFrame, fact_orders: DataFrame, dim_product: DataFrame, dim_seller: DataFrame
 ) -> DataFrame:
+    """Items with all keys and the category of their product, by order: the last join is on the order.
+
+    The fact and the lines are both made of these rows, so items meet products and orders once.
+    """
     items = stg_items.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")
-    items = items.join(dim_product.select("product_id", "product_key"), "product_id")
     items = items.join(dim_seller.select("seller_id", "seller_key"), "seller_id")
-    return conform(items, fact_orders, "order_status").select(
+    products = dim_product.select("product_id", "product_key", F.col("category_name_english").alias("category"))
+    items = items.join(products, "product_id")
+    return conform(items, fact_orders, "order_status", shuffled=True).select(
         "order_id",
         "order_item_id",
         "customer_key",
@@ -162,9 +179,14 @@ def build_fact_order_items(
         "price",
         "freight_value",
         MONTH_PARTITION,
+        "category",
     )
 
 
+def build_fact_order_items(order_items: DataFrame) -> DataFrame:
+    return order_items.drop("category")
+
+
 def build_fact_payments(stg_payments: DataFrame, fact_orders: DataFrame) -> DataFrame:
     return conform(stg_payments, fact_orders, "order_status").select(
         "order_id",
@@ -204,28 +226,33 @@ def build_fact_reviews(stg_reviews: DataFrame, fact_orders: DataFrame) -> DataFr
     )
 
 
-def build_order_lines(fact_order_items: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """One row per order, product and seller.
+def build_order_lines(items: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """One row per order, product and seller, from the items' fact or from ``order_items``.
 
-    The sums are combined on the map side and dealt by all three keys, so an order with very many
-    items is split before it is ever stored as one; then it has a row for each product it holds.
-    Money travels as whole cents, half as wide as a decimal sum, and is a decimal again when stored.
+    Items that lie in buckets of the order are summed where they are. Others are combined on the map
+    side and dealt by all keys, so an order with very many items is split before it is ever stored
+    as one; then it has a row for each product it holds. A product has one category, which
+    ``order_items`` already hold. Money travels as whole cents, half as wide as a decimal sum, and is
+    a decimal again when stored.
     """
     cents = [(F.col(c) * 100).cast("long").alias(c) for c in ("price", "freight_value")]
-    lines = fact_order_items.select("order_id", "product_key", "seller_key", *cents)
-    lines = lines.groupBy("order_id", "product_key", "seller_key").agg(
+    keys = ["order_id", "product_key", "seller_key", *[c for c in items.columns if c == "category"]]
+    lines = items.select(*keys, *cents)
+    lines = lines.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("items"), F.sum("price").alias("price"), F.sum("freight_value").alias("freight_value")
     )
-    products = dim_product.select("product_key", F.col("category_name_english").alias("category"))
+    if "category" not in keys:
+        products = dim_product.select("product_key", F.col("category_name_english").alias("category"))
+        lines = lines.join(products, "product_key")
     money = [(F.col(c).cast("decimal(20,0)") / 100).cast("decimal(22,2)").alias(c) for c in ("price", "freight_value")]
-    return lines.join(products, "product_key").select("order_id", "product_key", "seller_key", "category", "items", *money)
+    return lines.select("order_id", "product_key", "seller_key", "category", "items", *money)
 
 
 def build_order_outcomes(fact_orders: DataFrame, fact_reviews: DataFrame) -> DataFrame:
-    """One row per order: how it was delivered and how it was reviewed."""
+    """One row per order: how it was delivered and how it was reviewed, by order, as a shuffle join leaves them."""
     reviews = fact_reviews.select(
         "order_id", F.lit(True).alias("is_reviewed"), "review_score", "is_negative", "is_positive"
     )
     orders = fact_orders.select("order_id", "is_late", "delivery_days", "delivery_delay_days")
-    joined = orders.join(reviews, "order_id", "left")
+    joined = orders.join(reviews.hint("merge"), "order_id", "left")
     return joined.withColumn("is_reviewed", F.coalesce("is_reviewed", F.lit(False)))

@@ -10,13 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from tradewind.operators.keys import with_dense_key
 from tradewind.plans import star
 from tradewind.plans.prepare import PREPARE, Raw, ledger_of, stage
-from tradewind.sources.files import read_bucketed, read_table, write_bucketed, write_table
+from tradewind.sources.files import CODEC, read_bucketed, read_even, read_table, write_bucketed, write_table
 from tradewind.sources.versions import Versions
 
 DIMENSIONS = ["dim_date", "dim_customer", "dim_seller", "dim_product"]
 FACTS = list(star.FACT_KEYS)
 
 
+# Tables with a row per order or more, besides those in buckets.
+PER_ORDER = [*FACTS, "stg_orders", "stg_order_items", "stg_order_payments", "stg_order_reviews"]
+
 # What a table is partitioned and then sorted by.
 PARTITIONS = {fact: (star.MONTH_PARTITION, "purchase_date_key") for fact in FACTS} | {"dim_customer": ("state", "customer_key")}
 
@@ -132,16 +135,20 @@ class Warehouse:
             return star.build_dim_product(self.staged("products"))
         if name == "fact_orders":
             return star.build_fact_orders(self.staged("orders"), self.dim_customer)
-        if name == "fact_order_items":
-            return star.build_fact_order_items(
+        if name == "order_items":
+            return star.build_order_items(
                 self.staged("order_items"), self.fact_orders, self.dim_product, self.dim_seller
             )
+        if name == "fact_order_items":
+            return star.build_fact_order_items(self.order_items)
         if name == "fact_payments":
             return star.build_fact_payments(self.staged("order_payments"), self.fact_orders)
         if name == "fact_reviews":
             return star.build_fact_reviews(self.staged("order_reviews"), self.fact_orders)
         if name == "order_lines":
-            return star.build_order_lines(self.fact_order_items, self.dim_product)
+            self.table("order_items")
+            items = read_even(self.spark, f"{self.model_root}/order_items", "order_id")
+            return star.build_order_lines(items, self.dim_product)
         if name == "order_outcomes":
             return star.build_order_outcomes(self.fact_orders, self.fact_reviews)
         raise KeyError(name)
@@ -157,9 +164,12 @@ class Warehouse:
                 if self._complete:
                     table = read_bucketed(self.spark, path, "order_id") if bucketed else read_table(self.spark, path, text_partition=text)
                 elif bucketed:
-                    # One number of buckets for both, from the row count in the footers of the largest fact.
-                    table = write_bucketed(build(), path, "order_id", self.fact_order_items.count())
+                    # One number of buckets for all, from the row count in the footers of the largest fact
+                    # or of what it is made from.
+                    rows = (self.staged("order_items") if name == "order_items" else self.fact_order_items).count()
+                    table = write_bucketed(build(), path, "order_id", rows, joined=name in star.JOINED_BY_ORDER)
                 else:
-                    table = write_table(build(), path, partition_by, [sort_by] if sort_by else [])
+                    codec = CODEC if name in PER_ORDER else None
+                    table = write_table(build(), path, partition_by, [sort_by] if sort_by else [], codec)
                 self._tables[name] = table
             return self._tables[name]

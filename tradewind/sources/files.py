@@ -9,11 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewind.session import small_tasks
+from tradewind.session import writing
 from tradewind.sources.quoted import read_quoted_csv
 from tradewind.sources.schemas import FREE_TEXT_ENTITIES, MISSING_TOKENS, RAW_COLUMNS, raw_ddl
 
 
+# Of tables that are large beside all others; 40 to 75 % of the size of Spark's default. Small tables
+# keep that: Spark tells by the size of the files whether a table can be broadcast.
+CODEC = "zstd"
+
+# Rows that a bucket is made for, and rows over which a bucket is too much for one task.
+BUCKET_ROWS, MOST_BUCKET_ROWS = 500_000, 2_000_000
+
+
 def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -106,6 +114,7 @@ def write_table(
     path: str,
     partition_by: str | None = None,
     sort_by: Sequence[str] = (),
+    codec: str | None = None,
 ) -> DataFrame:
     """Write a Parquet table, replacing what was there, and return a scan of it.
 
@@ -117,9 +126,11 @@ def write_table(
         df = df.hint("rebalance", partition_by)
         df = df.sortWithinPartitions(partition_by, *sort_by)
     writer = df.write.mode("overwrite")
+    if codec:
+        writer = writer.option("compression", codec)
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    with small_tasks(df.sparkSession):
+    with writing(df.sparkSession):
         writer.parquet(path)
     return read_table(df.sparkSession, path, df)
 
@@ -142,12 +153,17 @@ def _bucket_table(path: str, key: str) -> str:
     return f"tradewind_{key}_{hashlib.sha256(path.encode()).hexdigest()[:24]}"
 
 
-def write_bucketed(df: DataFrame, path: str, key: str, rows: int, rows_a_bucket: int = 500_000) -> DataFrame:
+def write_bucketed(
+    df: DataFrame, path: str, key: str, rows: int, rows_a_bucket: int = BUCKET_ROWS, joined: bool = False
+) -> DataFrame:
     """Write a Parquet table of about ``rows`` rows in buckets of ``key``, one sorted file each, below ``path``.
 
     Tables written with the same number of buckets join and group by the key without a shuffle.
     The number is a power of two, so tables of different sizes still fit each other, and part of
     the folder's name, so ``read_bucketed`` finds it again in another session.
+
+    ``joined`` rows come from a shuffle join on the key, whose partitions are made the buckets: they
+    are not shuffled once more, and a partition that adaptive execution splits is a bucket of several files.
     """
     spark = df.sparkSession
     buckets = 8
@@ -155,20 +171,38 @@ def write_bucketed(df: DataFrame, path: str, key: str, rows: int, rows_a_bucket:
         buckets *= 2
     name = _bucket_table(path, key)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    writer = df.repartition(buckets, key).write.format("parquet").mode("overwrite").bucketBy(buckets, key).sortBy(key)
-    with small_tasks(spark):
+    # Spark leaves out this shuffle where the rows already lie in these buckets.
+    df = df if joined else df.repartition(buckets, key)
+    writer = df.write.format("parquet").mode("overwrite").option("compression", CODEC).bucketBy(buckets, key).sortBy(key)
+    with writing(spark, buckets if joined else None):
         writer.option("path", f"{path}/buckets={buckets}").saveAsTable(name)
     return spark.table(name)
 
 
+def _bucket_folder(spark: SparkSession, path: str) -> str:
+    parent = spark._jvm.org.apache.hadoop.fs.Path(path)
+    statuses = parent.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(parent)
+    return next(s.getPath().toString() for s in statuses if s.getPath().getName().startswith("buckets="))
+
+
+def read_even(spark: SparkSession, path: str, key: str, most_rows: int = MOST_BUCKET_ROWS) -> DataFrame:
+    """A table of ``write_bucketed``, by its buckets only if each is a task's work.
+
+    A key with very many rows makes one bucket large, and a bucket is read by one task. Such a table
+    is read as plain files, which are split, and shuffled anew by what joins or groups it. The rows
+    of a bucket are counted from the footers.
+    """
+    files = spark.read.parquet(_bucket_folder(spark, path))
+    bucket = F.regexp_extract(F.col("_metadata.file_name"), r"_(\d+)(?:\..*)?$", 1)
+    largest = files.groupBy(bucket.alias("bucket")).count().agg(F.max("count")).first()[0] or 0
+    return read_bucketed(spark, path, key) if largest <= most_rows else files
+
+
 def read_bucketed(spark: SparkSession, path: str, key: str) -> DataFrame:
     """A table of ``write_bucketed``, made known to this session's catalog if it is not."""
     name = _bucket_table(path, key)
     if not spark.catalog.tableExists(name):
-        jvm = spark._jvm.org.apache.hadoop.fs
-        parent = jvm.Path(path)
-        statuses = parent.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(parent)
-        folder = next(s.getPath().toString() for s in statuses if s.getPath().getName().startswith("buckets="))
+        folder = _bucket_folder(spark, path)
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(folder).schema.fields)
         spark.sql(
             f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) "
