@@ -14,7 +14,7 @@ from tradewind.sources.quoted import read_quoted_csv
 from tradewind.sources.schemas import FREE_TEXT_ENTITIES, MISSING_TOKENS, RAW_COLUMNS, raw_ddl
 
 
-# Of tables that are large beside all others; 40 to 75 % of the size of Spark's default. Small tables
+# Of tables that are large beside all others; 37 to 75 % of the size of Spark's default. Small tables
 # keep that: Spark tells by the size of the files whether a table can be broadcast.
 CODEC = "zstd"
 
