@@ -37,3 +37,9 @@ def test_a_table_is_shuffled_into_enough_partitions(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
     stored = spark.read.parquet(str(tmp_path / "t"))
     assert stored.count() == 60_000 and len(stored.inputFiles()) > 4
+
+
+def test_scans_are_as_small_as_packed_files_need(spark):
+    # A shuffle of over 200 partitions sorts what a task scanned in memory, and spills above the task's share.
+    with small_tasks(spark):
+        assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) <= 8 << 20
